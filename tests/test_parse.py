@@ -1,0 +1,88 @@
+"""Unit cases of the parse (FIXTURES section 3) and its traps."""
+
+from conftest import messages
+
+from leadpulse.operators.lines import line_of, missing_line
+from leadpulse.operators.parse import PRODUCER_ALIASES, parse_leads, parse_messages, quarantine
+from leadpulse.schema import LEAD_FIELDS
+
+
+def one(spark, value, **kw):
+    rows = parse_leads(messages(spark, [value]), **kw).collect()
+    assert len(rows) == 1
+    return rows[0].asDict()
+
+
+def reason(spark, value):
+    rows = quarantine(messages(spark, [value])).collect()
+    return rows[0]["reason"] if rows else None
+
+
+def test_plain(spark):
+    r = one(spark, '{"leadId":"A1","vfrom1":"ON","newLeadDealer":"true"}')
+    assert r["leadId"] == "A1" and r["vfrom1"] == "ON" and r["newLeadDealer"] is True
+    assert all(r[f] is None for f in LEAD_FIELDS if f not in ("leadId", "vfrom1", "newLeadDealer"))
+    assert str(r["day"]) == "2024-03-01"
+
+
+def test_alias_is_opt_in(spark):
+    msg = '{"preLeadId":"A2","countryName":"C"}'
+    r = one(spark, msg)
+    assert r["leadId"] is None and r["countyName"] is None
+    r = one(spark, msg, aliases=PRODUCER_ALIASES)
+    assert r["leadId"] == "A2" and r["countyName"] == "C"
+
+
+def test_blank_is_null_but_spaces_are_kept(spark):
+    r = one(spark, '{"leadId":" \\t","regionCode":"","dealerName":" x "}')
+    assert r["leadId"] is None and r["regionCode"] is None
+    assert r["dealerName"] == " x "
+
+
+def test_flags(spark):
+    assert one(spark, '{"newLeadHQ":true}')["newLeadHQ"] is True
+    assert one(spark, '{"newLeadHQ":"false"}')["newLeadHQ"] is False
+    assert one(spark, '{"newLeadHQ":""}')["newLeadHQ"] is None
+    assert one(spark, '{"newLeadHQ":null}')["newLeadHQ"] is None
+
+
+def test_quarantine_reasons(spark):
+    assert reason(spark, '{"newLeadHQ":"maybe"}') == "bad_flag"
+    assert reason(spark, '{"leadId":"A3') == "malformed"
+    assert reason(spark, "") == "empty"
+    assert reason(spark, '[{"leadId":"A4"}]') == "malformed"
+    assert reason(spark, "null") == "malformed"
+    assert reason(spark, '{"leadId":"ok"}') is None
+
+
+def test_good_and_bad_split_is_a_partition(spark):
+    values = ['{"leadId":"a"}', '{"leadId":', "", '{"newLeadDealer":"x"}', "{}"]
+    parsed = parse_messages(messages(spark, values))
+    good = parse_leads(messages(spark, values)).count()
+    bad = quarantine(messages(spark, values)).count()
+    assert good + bad == parsed.count() == len(values)
+    assert (good, bad) == (2, 3)
+
+
+def test_separator_inside_a_value(spark):
+    df = parse_leads(messages(spark, ['{"dealerName":"a;b"}']))
+    r = df.select("dealerName", line_of().alias("line")).first()
+    assert r["dealerName"] == "a;b"
+    assert len(r["line"].split(";")) == 22     # one field too many, as the reference writes it
+
+
+def test_csv_quoted(spark):
+    r = one(spark, '"{""leadId"": ""A5""}"', unquote=True)
+    assert r["leadId"] == "A5"
+
+
+def test_empty_object_line(spark):
+    df = parse_leads(messages(spark, ["{}"]))
+    r = df.select(line_of().alias("line"), missing_line().alias("missing")).first()
+    assert r["line"] == "\\N;" * 20 + "lead_center"
+    assert r["missing"] == ";".join(["\\N"] * 20)
+
+
+def test_unknown_fields_ignored_and_numbers_kept_as_text(spark):
+    r = one(spark, '{"pkId":467,"id":1,"updateTime":"x","leadId":12,"dealerId":"D"}')
+    assert r["leadId"] == "12" and r["dealerId"] == "D"
