@@ -1,6 +1,7 @@
 """JSON message -> typed lead (P1-P4, P12) and the quarantine of bad messages.
 
-One ``from_json`` per message with every field declared STRING; the typed
+One ``from_json`` per message (kept under a one-row ``explode`` so that
+Catalyst cannot copy it into pushed-down filters) with every field STRING; the typed
 columns are derived from it with built-in expressions, so the whole parse
 stays in the JVM. A message is bad when it is empty (NULL struct), is not a
 JSON object (corrupt-record column set), or carries a flag that is neither
@@ -47,7 +48,12 @@ def parse_messages(df: DataFrame, value_col: str = "value",
     if unquote:
         value = unquote_csv_json(value)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    with_struct = df.withColumn(_PARSED, F.from_json(value, _schema_with_aliases(aliases), options))
+    parsed = F.from_json(value, _schema_with_aliases(aliases), options)
+    keep = [F.col(c) for c in df.columns if c not in LEAD_FIELDS]
+    # The parse sits in a one-row Generate: filters on the parsed fields
+    # cannot be pushed below it, so each message is parsed exactly once
+    # (pushed through a Project, every conjunct would re-run from_json).
+    with_struct = df.select(*keep, F.explode(F.array(parsed)).alias(_PARSED))
     lead = F.col(_PARSED)
 
     def text(name: str):
@@ -62,7 +68,6 @@ def parse_messages(df: DataFrame, value_col: str = "value",
               .when(lead[CORRUPT_COLUMN].isNotNull(), F.lit("malformed"))
               .when(bad_flag(lead[FLAG_FIELDS[0]]) | bad_flag(lead[FLAG_FIELDS[1]]),
                     F.lit("bad_flag")))
-    keep = [F.col(c) for c in df.columns if c not in LEAD_FIELDS]
     return with_struct.select(*keep, *typed, reason.alias(REASON))
 
 

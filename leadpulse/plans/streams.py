@@ -80,17 +80,15 @@ def _raw(spark, sf_dir, variant):
 
 def q_stream_totals(spark, sf_dir):
     sink, _ = _counters(spark, sf_dir)
-    return sink.tables["total"].read(spark)
+    return sink.views(spark)["total"]
 
 
 def q_stream_counters(spark, sf_dir):
     """All three day tables of one run, in long form."""
     sink, _ = _counters(spark, sf_dir)
     parts = []
-    for name, table in sink.tables.items():
-        date_col = table.keys[0]
-        df = table.read(spark)
-        amount = [c for c in df.columns if c != date_col][0]
+    for name, df in sink.views(spark).items():
+        date_col, amount = df.columns
         parts.append(df.select(F.lit(name).alias("counter"), F.col(date_col).alias("clue_dt"),
                                F.col(amount).alias("amount")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -99,7 +97,7 @@ def q_stream_counters(spark, sf_dir):
 def q_stream_late_totals(spark, sf_dir):
     """Slices fed newest first: rows behind the watermark are dropped."""
     sink, _ = _counters(spark, sf_dir, reverse=True, name="late")
-    return sink.tables["total"].read(spark)
+    return sink.views(spark)["total"]
 
 
 def q_stream_dims(spark, sf_dir):

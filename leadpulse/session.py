@@ -26,6 +26,8 @@ DEFAULTS = {
     # Many (day x dimension) keys: keep streaming state off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Commit one changelog file per partition and batch, not a full snapshot.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

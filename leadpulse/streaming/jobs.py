@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from leadpulse.operators import metrics
 from leadpulse.operators.oneid import oneid_outbox
 from leadpulse.operators.parse import parse_leads, parse_messages, split_good, split_quarantine
-from leadpulse.schema import DEALER_COLUMNS, DIM_COLUMNS, HQ_COLUMNS, TOTAL_COLUMNS
+from leadpulse.schema import DIM_COLUMNS
 from leadpulse.sinks.archive import write_archive
 from leadpulse.sinks.snapshot import SnapshotTable
 
@@ -72,22 +72,26 @@ class _PersistedBatch:
 
 
 class CounterSink:
-    """foreachBatch sink of :func:`counters_stream`: three day tables (K5)."""
+    """foreachBatch sink of :func:`counters_stream` (K5).
+
+    The three day tables (total, new to brand, new to dealer) come from one
+    aggregation row per day, so they are kept as one table (one upsert per
+    batch) and served as three views; a zero count gives no row, as in the
+    reference's tables.
+    """
 
     def __init__(self, base: str):
-        self.tables = {
-            "total": SnapshotTable(f"{base}/total", [TOTAL_COLUMNS[0]], TOTAL_COLUMNS[0]),
-            "hq": SnapshotTable(f"{base}/hq", [HQ_COLUMNS[0]], HQ_COLUMNS[0]),
-            "dealer": SnapshotTable(f"{base}/dealer", [DEALER_COLUMNS[0]], DEALER_COLUMNS[0]),
-        }
+        self.table = SnapshotTable(f"{base}/day_counters", ["day"], "day")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with _PersistedBatch(batch) as rows:
             if rows.isEmpty():          # F4: nothing to write
                 return
-            for name, changes in metrics.split_counters(rows).items():
-                self.tables[name].merge(changes)
+            self.table.merge(rows)
 
+    def views(self, spark) -> dict[str, DataFrame]:
+        """``total``, ``hq`` and ``dealer`` result tables."""
+        return metrics.split_counters(self.table.read(spark))
 
 class DimSink:
     """foreachBatch sink of :func:`dims_stream`: the daily dimension table (K6)."""

@@ -6,7 +6,7 @@ from leadpulse.operators import metrics
 from leadpulse.plans.batch import leads
 from leadpulse.plans.streams import ONCE, replay
 from leadpulse.session import scratch_dir
-from leadpulse.sources.fixtures import lead_messages
+from leadpulse.sources.fixtures import SLICE_CUTS, lead_messages
 from leadpulse.sources.stream import file_leads, kafka_options, write_envelopes
 from leadpulse.streaming import jobs
 from leadpulse.streaming.ledger import ledger_rows
@@ -25,8 +25,8 @@ def test_counters_stream_equals_batch_and_survives_restarts(spark, small_dir):
 
     base, progress = replay(spark, small_dir, run)
     batch = metrics.split_counters(metrics.day_counters(leads(spark, small_dir)))
-    for name, table in holder["sink"].tables.items():
-        assert rows(table.read(spark)) == rows(batch[name])
+    for name, view in holder["sink"].views(spark).items():
+        assert rows(view) == rows(batch[name])
     ledger = ledger_rows(progress)
     assert len(ledger) == 3                                    # one data batch per restart
     assert sum(r[5] for r in ledger) == lead_messages(spark, small_dir).count()
@@ -51,8 +51,8 @@ def test_late_slices_are_dropped_behind_the_watermark(spark, small_dir):
         return jobs.start(jobs.counters_stream(src), holder["sink"], f"{base}/_ckpt", ONCE)
 
     replay(spark, small_dir, run, reverse=True, name="late")
-    got = holder["sink"].tables["total"].read(spark)
-    newest = metrics.total_daily(leads(spark, small_dir)).filter(F.col("clue_dt") >= "1996-07-01")
+    got = holder["sink"].views(spark)["total"]
+    newest = metrics.total_daily(leads(spark, small_dir)).filter(F.col("clue_dt") >= SLICE_CUTS[-1])
     assert rows(got) == rows(newest)
 
 
@@ -65,7 +65,7 @@ def test_no_watermark_keeps_late_rows(spark, small_dir):
                           f"{base}/_ckpt", ONCE)
 
     replay(spark, small_dir, run, reverse=True, name="nowm")
-    got = holder["sink"].tables["total"].read(spark)
+    got = holder["sink"].views(spark)["total"]
     assert rows(got) == rows(metrics.total_daily(leads(spark, small_dir)))
 
 
