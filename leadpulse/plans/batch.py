@@ -114,7 +114,7 @@ def q_expire_counters(spark, sf_dir):
 
 
 def q_ms_to_midnight(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    events = table(spark, sf_dir, "events")
     return events.select("event_id", ms_to_next_midnight(F.col("ts")).alias("ms"))
 
 
