@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadpulse.functions.text import json_string_field
+from leadpulse.plans.backfill import Backfill
 from leadpulse.plans.batch import leads
 from leadpulse.plans.oracle import ORACLE_SQL, _L, _with
 from leadpulse.session import scratch_dir
@@ -129,6 +130,27 @@ def q_offset_ledger(spark, sf_dir):
     return offset_ledger(spark, progress).drop("query_id")
 
 
+def _backfill(spark, sf_dir, outputs, variant="clean"):
+    job = Backfill(scratch_dir(spark, "backfill"))
+    job.run(lead_messages(spark, sf_dir, variant), outputs)
+    return job
+
+
+def q_backfill_counters(spark, sf_dir):
+    """Day counters loaded in batch into the streaming result table."""
+    return _backfill(spark, sf_dir, ["counters"]).counters.table.read(spark)
+
+
+def q_backfill_dim_latest(spark, sf_dir):
+    return _backfill(spark, sf_dir, ["dims"]).dims.latest(spark)
+
+
+def q_backfill_quarantine(spark, sf_dir):
+    job = _backfill(spark, sf_dir, ["quarantine"], variant="truncated")
+    bad = spark.read.parquet(job.quarantine)
+    return bad.select(json_string_field(F.col("value"), "leadId").alias("leadid"), "reason")
+
+
 def q_archive_readback(spark, sf_dir):
     """Batch archive write (K1), read back with counts per day."""
     path = scratch_dir(spark, "archive")
@@ -147,6 +169,9 @@ STREAM_QUERIES = {
     "stream_outbox": q_stream_outbox,
     "stream_quarantine": q_stream_quarantine,
     "offset_ledger": q_offset_ledger,
+    "backfill_counters": q_backfill_counters,
+    "backfill_dim_latest": q_backfill_dim_latest,
+    "backfill_quarantine": q_backfill_quarantine,
 }
 
 _ARCHIVE_SQL = _with(_L) + "select day as dt, count(*) as lines from L group by day"
@@ -166,4 +191,7 @@ STREAM_ORACLE_SQL = {
     "stream_archive": _ARCHIVE_SQL,
     "stream_outbox": ORACLE_SQL["oneid_outbox"],
     "stream_quarantine": ORACLE_SQL["quarantine"],
+    "backfill_counters": ORACLE_SQL["lead_counters_daily"],
+    "backfill_dim_latest": ORACLE_SQL["lead_dim_latest"],
+    "backfill_quarantine": ORACLE_SQL["quarantine"],
 }

@@ -59,6 +59,7 @@ def test_every_query_is_registered_with_a_callable(spark):
     qs = E.queries()
     assert set(E.oracle_sql()) <= set(qs)
     assert set(qs) - set(E.oracle_sql()) == {"offset_ledger"}
+    assert len(qs) == 31
 
 
 def test_entry_smoke(spark):
