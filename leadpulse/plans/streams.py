@@ -28,6 +28,11 @@ from leadpulse.streaming.ledger import offset_ledger
 ONCE = {"availableNow": True}
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """State store partitions for a new checkpoint: one per core."""
+    return spark.sparkContext.defaultParallelism
+
+
 def replay(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame, str], object],
            variant: str = "clean", reverse: bool = False, name: str = "stream"):
     """Feed the fixture slices one run at a time; returns (base, progress)."""
@@ -51,7 +56,8 @@ def _counters(spark, sf_dir, reverse=False, name="counters"):
 
     def run(src, base):
         sinks.setdefault("sink", jobs.CounterSink(base))
-        return jobs.start(jobs.counters_stream(src), sinks["sink"], f"{base}/_ckpt", ONCE)
+        return jobs.start(jobs.counters_stream(src), sinks["sink"], f"{base}/_ckpt", ONCE,
+                          state_partitions=state_partitions(spark))
 
     base, progress = replay(spark, sf_dir, run, reverse=reverse, name=name)
     return sinks["sink"], progress
@@ -62,7 +68,8 @@ def _dims(spark, sf_dir):
 
     def run(src, base):
         sinks.setdefault("sink", jobs.DimSink(base))
-        return jobs.start(jobs.dims_stream(src), sinks["sink"], f"{base}/_ckpt", ONCE)
+        return jobs.start(jobs.dims_stream(src), sinks["sink"], f"{base}/_ckpt", ONCE,
+                          state_partitions=state_partitions(spark))
 
     replay(spark, sf_dir, run, name="dims")
     return sinks["sink"]

@@ -140,19 +140,34 @@ class RawSink:
 
 
 def start(frame: DataFrame, sink, checkpoint: str, trigger: dict | None = None,
-          output_mode: str = "update", name: str | None = None) -> StreamingQuery:
+          output_mode: str = "update", name: str | None = None,
+          state_partitions: int | None = None) -> StreamingQuery:
     """Start ``frame`` into a foreachBatch ``sink`` with its own checkpoint.
 
     ``trigger`` is a ``DataStreamWriter.trigger`` keyword dict; the default is
     the reference's 59 s interval, ``{"availableNow": True}`` runs what is
     there and stops (S6, S7).
+
+    ``state_partitions`` sizes the state store of a new checkpoint (a
+    stateful query takes it from ``spark.sql.shuffle.partitions`` at its
+    first start and keeps it in the checkpoint); the session setting is
+    restored once the query has started.
     """
     writer = (frame.writeStream.outputMode(output_mode).foreachBatch(sink)
               .option("checkpointLocation", checkpoint)
               .trigger(**(trigger or DEFAULT_TRIGGER)))
     if name:
         writer = writer.queryName(name)
-    return writer.start()
+    if not state_partitions:
+        return writer.start()
+    conf = frame.sparkSession.conf
+    key = "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(int(state_partitions)))
+    try:
+        return writer.start()
+    finally:
+        conf.set(key, before)
 
 
 def start_all(messages: DataFrame, base: str, trigger: dict | None = None,
