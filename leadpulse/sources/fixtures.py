@@ -47,8 +47,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     (no shuffle). A small one stored as a single row group would otherwise
     run every later per-row step (JSON building and parsing) in one task.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:       # no RDD view (e.g. a Spark Connect session)
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, *keys)
 
