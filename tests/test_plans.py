@@ -62,3 +62,21 @@ def test_archive_read_prunes_days(spark, small_dir):
     p = plan(df)
     assert "PartitionFilters: [isnotnull(dt" in p
     assert df.count() == good.filter(F.col("day") == last).count() > 0
+
+
+def test_stream_counters_partial_aggregate_before_state(spark, small_dir):
+    from leadpulse.sources.stream import file_leads, write_envelopes
+    from leadpulse.streaming import jobs
+    base = scratch_dir(spark, "splan")
+    write_envelopes(lead_messages(spark, small_dir), f"{base}/in")
+    q = jobs.start(jobs.counters_stream(file_leads(spark, f"{base}/in")), jobs.CounterSink(base),
+                   f"{base}/ck", {"availableNow": True}, state_partitions=4)
+    q.awaitTermination()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    p = buf.getvalue()
+    assert p.count("Exchange hashpartitioning") == 1
+    assert p.index("StateStoreSave") < p.index("StateStoreRestore") < p.index("Exchange") \
+        < p.index("partial_count")
+    assert "PythonUDF" not in p and "BatchEvalPython" not in p
