@@ -16,8 +16,11 @@ def is_blank(c: Column) -> Column:
 
 
 def blank_to_null(c: Column) -> Column:
-    """NULL for a blank value, else the value as it is (not trimmed)."""
-    return F.when(~is_blank(c), c)
+    """NULL for a blank value, else the value as it is (not trimmed).
+
+    A NULL input makes the test NULL, which also gives NULL.
+    """
+    return F.when(~c.rlike(_BLANK), c)
 
 
 def to_flag(c: Column) -> Column:
