@@ -59,7 +59,10 @@ class SnapshotTable:
         if current is not None:
             old = current.filter(F.col(PART).isin(touched)).select(*staged.columns)
             staged = upsert(old, staged, self.keys + [PART], self.keep)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # One file per month: a month of an aggregate table is at most 31 days
+        # x the key combinations of a day, whatever the number of leads.
+        (staged.repartition(PART)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(PART).parquet(self.path))
         return len(touched)
 
