@@ -5,10 +5,10 @@ so history is loaded with the batch functions instead; they are the same
 functions the streams use, and the result tables are the same snapshot
 tables, so a stream can continue where the backfill stopped.
 
-The messages are parsed once into a written table of typed leads (parquet,
-partitioned by month). That cuts the lineage (a lost executor recomputes
-from the table, not from the JSON) and every later output reads only the
-columns it needs from it.
+The messages are parsed once into a written table of typed leads (flat
+parquet: every output reads all of it, so partitions would only multiply
+files). That cuts the lineage (a lost executor recomputes from the table,
+not from the JSON) and every later output reads only the columns it needs.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ class Backfill:
 
     def leads(self, spark: SparkSession) -> DataFrame:
         """The parsed good leads, read back from the written table."""
-        return split_good(spark.read.parquet(self.parsed).drop("part_month", "value"))
+        return split_good(spark.read.parquet(self.parsed).drop("value"))
 
     def run(self, messages: DataFrame, outputs: Iterable[str] = OUTPUTS, **parse_options) -> None:
         """Parse ``messages`` once, then write the chosen outputs."""
@@ -53,11 +53,8 @@ class Backfill:
         parsed = parse_messages(messages, **parse_options)
         # The raw text is kept only for the messages set aside.
         raw_if_bad = F.when(F.col(REASON).isNotNull(), F.col("value"))
-        (parsed.withColumn("value", raw_if_bad)
-         .withColumn("part_month", F.date_format("ingest_ts", "yyyy-MM"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("part_month").parquet(self.parsed))
-        table = spark.read.parquet(self.parsed).drop("part_month")
+        parsed.withColumn("value", raw_if_bad).write.mode("overwrite").parquet(self.parsed)
+        table = spark.read.parquet(self.parsed)
         good = self.leads(spark)
         if "quarantine" in outputs:
             (table.filter(F.col(REASON).isNotNull())
