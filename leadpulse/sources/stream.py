@@ -33,23 +33,38 @@ def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "l
     return options
 
 
+def ingest_time(record_ts, clock: str = "record"):
+    """``ingest_ts`` of a message: the record's own timestamp (default) or,
+    with ``clock="processing"``, the time the micro-batch runs, which is the
+    day the reference counts a lead under."""
+    if clock == "record":
+        return record_ts
+    if clock == "processing":
+        return F.current_timestamp()
+    raise ValueError("clock must be 'record' or 'processing'")
+
+
 def kafka_leads(spark: SparkSession, bootstrap_servers: str, topic: str,
-                starting_offsets: str = "latest", **kwargs) -> DataFrame:
+                starting_offsets: str = "latest", clock: str = "record", **kwargs) -> DataFrame:
     """Lead messages from a Kafka topic (needs the Kafka connector jar)."""
     reader = spark.readStream.format("kafka")
     for key, value in kafka_options(bootstrap_servers, topic, starting_offsets, **kwargs).items():
         reader = reader.option(key, value)
     raw = reader.load()
     return raw.select(F.col("value").cast("string").alias("value"),
-                      F.col("timestamp").alias("ingest_ts"))
+                      ingest_time(F.col("timestamp"), clock).alias("ingest_ts"))
 
 
-def file_leads(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def file_leads(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+               clock: str = "record") -> DataFrame:
     """Lead messages from JSON-line envelope files (``value``, ``ingest_ts``)."""
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.json(path)
+    envelopes = reader.json(path)
+    if clock == "record":
+        return envelopes
+    return envelopes.select("value", ingest_time(F.col("ingest_ts"), clock).alias("ingest_ts"))
 
 
 def write_envelopes(messages: DataFrame, path: str) -> None:

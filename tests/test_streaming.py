@@ -88,3 +88,16 @@ def test_kafka_options():
     o = kafka_options("b:9092", "leads", max_offsets_per_trigger=1000)
     assert o["subscribe"] == "leads" and o["startingOffsets"] == "latest"
     assert o["kafka.bootstrap.servers"] == "b:9092" and o["maxOffsetsPerTrigger"] == "1000"
+
+
+def test_processing_clock_counts_leads_under_the_run_day(spark, small_dir):
+    import datetime as dt
+    base = scratch_dir(spark, "clock")
+    write_envelopes(lead_messages(spark, small_dir), f"{base}/in")
+    sink = jobs.CounterSink(base)
+    src = file_leads(spark, f"{base}/in", clock="processing")
+    q = jobs.start(jobs.counters_stream(src), sink, f"{base}/ck", ONCE, state_partitions=4)
+    q.awaitTermination()
+    got = sink.views(spark)["total"].collect()
+    assert len(got) == 1 and got[0]["clue_amounts"] == lead_messages(spark, small_dir).count()
+    assert abs((got[0]["clue_dt"] - dt.datetime.utcnow().date()).days) <= 1
