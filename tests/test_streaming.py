@@ -100,4 +100,4 @@ def test_processing_clock_counts_leads_under_the_run_day(spark, small_dir):
     q.awaitTermination()
     got = sink.views(spark)["total"].collect()
     assert len(got) == 1 and got[0]["clue_amounts"] == lead_messages(spark, small_dir).count()
-    assert abs((got[0]["clue_dt"] - dt.datetime.utcnow().date()).days) <= 1
+    assert abs((got[0]["clue_dt"] - dt.datetime.now(dt.timezone.utc).date()).days) <= 1
