@@ -171,13 +171,16 @@ def start(frame: DataFrame, sink, checkpoint: str, trigger: dict | None = None,
 
 
 def start_all(messages: DataFrame, base: str, trigger: dict | None = None,
-              watermark: str | None = DAY, **parse_options) -> dict[str, StreamingQuery]:
+              watermark: str | None = DAY, state_partitions: int | None = None,
+              **parse_options) -> dict[str, StreamingQuery]:
     """Start the raw, counters and dims queries on one source under ``base``."""
     return {
         "raw": start(messages, RawSink(base, **parse_options), f"{base}/_checkpoints/raw",
                      trigger, output_mode="append"),
         "counters": start(counters_stream(messages, watermark, **parse_options),
-                          CounterSink(base), f"{base}/_checkpoints/counters", trigger),
+                          CounterSink(base), f"{base}/_checkpoints/counters", trigger,
+                          state_partitions=state_partitions),
         "dims": start(dims_stream(messages, watermark, **parse_options),
-                      DimSink(base), f"{base}/_checkpoints/dims", trigger),
+                      DimSink(base), f"{base}/_checkpoints/dims", trigger,
+                      state_partitions=state_partitions),
     }
