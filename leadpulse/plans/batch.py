@@ -101,10 +101,17 @@ def q_quarantine(spark, sf_dir):
 
 def q_upsert_totals(spark, sf_dir):
     """Offline-only totals (old table) replaced by full totals from 1998 on."""
-    good = leads(spark, sf_dir)
-    old = metrics.count_by_day(good, TOTAL_COLUMNS, F.col("vfrom1") == "OFF")
-    new = metrics.count_by_day(good, TOTAL_COLUMNS, F.col("day") >= F.lit(UPSERT_CUT).cast("date"))
-    return upsert(old, new, [TOTAL_COLUMNS[0]])
+    day, amount = TOTAL_COLUMNS
+    # Both tables from one aggregation (one row per day), kept for the three
+    # branches of the upsert: the leads are parsed once, not per branch
+    # (column pruning would otherwise give each branch its own aggregate).
+    by_day = leads(spark, sf_dir).groupBy(F.col("day").alias(day)).agg(
+        F.count_if(F.col("vfrom1") == "OFF").alias("offline"),
+        F.count_if(F.col("day") >= F.lit(UPSERT_CUT).cast("date")).alias("recent"),
+        F.count(F.lit(1)).alias("every")).persist()
+    old = by_day.filter(F.col("offline") > 0).select(day, F.col("offline").alias(amount))
+    new = by_day.filter(F.col("recent") > 0).select(day, F.col("every").alias(amount))
+    return upsert(old, new, [day])
 
 
 def q_expire_counters(spark, sf_dir):
