@@ -44,27 +44,36 @@ class SnapshotTable:
             return None
 
     def merge(self, changes: DataFrame) -> int:
-        """Upsert ``changes`` (absolute values); returns the months written."""
+        """Upsert ``changes`` (absolute values); returns the months written.
+
+        The change set (result-table rows, bounded by the table's keys) is
+        kept while it is read for the touched months and both upsert branches.
+        """
         spark = changes.sparkSession
         now = F.current_timestamp()
         staged = (changes
                   .withColumn("create_time", now)
                   .withColumn("update_time", now)
-                  .withColumn(PART, F.date_format(F.col(self.date_col), "yyyy-MM")))
-        # The months a change touches: one short string per month.
-        touched = [r[0] for r in staged.select(PART).distinct().collect()]
-        if not touched:
-            return 0
-        current = self._current(spark)
-        if current is not None:
-            old = current.filter(F.col(PART).isin(touched)).select(*staged.columns)
-            staged = upsert(old, staged, self.keys + [PART], self.keep)
-        # One file per month: a month of an aggregate table is at most 31 days
-        # x the key combinations of a day, whatever the number of leads.
-        (staged.repartition(PART)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(PART).parquet(self.path))
-        return len(touched)
+                  .withColumn(PART, F.date_format(F.col(self.date_col), "yyyy-MM"))
+                  .persist())
+        try:
+            # The months a change touches: one short string per month.
+            touched = [r[0] for r in staged.select(PART).distinct().collect()]
+            if not touched:
+                return 0
+            merged = staged
+            current = self._current(spark)
+            if current is not None:
+                old = current.filter(F.col(PART).isin(touched)).select(*staged.columns)
+                merged = upsert(old, staged, self.keys + [PART], self.keep)
+            # One file per month: a month of an aggregate table is at most 31
+            # days x the key combinations of a day, whatever the number of leads.
+            (merged.repartition(PART)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(PART).parquet(self.path))
+            return len(touched)
+        finally:
+            staged.unpersist()
 
     def read(self, spark: SparkSession, audit: bool = False) -> DataFrame:
         """The table's rows (without the audit columns unless asked)."""
