@@ -75,11 +75,11 @@ def _dims(spark, sf_dir):
     return sinks["sink"]
 
 
-def _raw(spark, sf_dir, variant):
+def _raw(spark, sf_dir, variant, outputs=jobs.RAW_OUTPUTS):
     sinks = {}
 
     def run(src, base):
-        sinks.setdefault("sink", jobs.RawSink(base))
+        sinks.setdefault("sink", jobs.RawSink(base, outputs=outputs))
         return jobs.start(src, sinks["sink"], f"{base}/_ckpt", ONCE, output_mode="append")
 
     replay(spark, sf_dir, run, variant=variant, name="raw")
@@ -122,12 +122,12 @@ def q_stream_archive(spark, sf_dir):
 
 
 def q_stream_outbox(spark, sf_dir):
-    sink = _raw(spark, sf_dir, "clean")
+    sink = _raw(spark, sf_dir, "clean", outputs=("outbox",))
     return spark.read.parquet(sink.outbox).select("leadid", "payload")
 
 
 def q_stream_quarantine(spark, sf_dir):
-    sink = _raw(spark, sf_dir, "truncated")
+    sink = _raw(spark, sf_dir, "truncated", outputs=("quarantine",))
     bad = spark.read.parquet(sink.quarantine)
     return bad.select(json_string_field(F.col("value"), "leadId").alias("leadid"), "reason")
 

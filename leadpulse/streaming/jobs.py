@@ -110,14 +110,23 @@ class DimSink:
         return metrics.dim_latest(self.daily.read(spark))
 
 
+RAW_OUTPUTS = ("archive", "outbox", "quarantine")
+
+
 class RawSink:
     """foreachBatch sink of the raw messages: archive, outbox, quarantine.
 
     Each output is partitioned by ``batch`` and written with dynamic
     partition overwrite, so replaying a batch id replaces its own files.
+    ``outputs`` picks which of the three are written.
     """
 
-    def __init__(self, base: str, compression: str | None = None, **parse_options):
+    def __init__(self, base: str, compression: str | None = None,
+                 outputs=RAW_OUTPUTS, **parse_options):
+        unknown = set(outputs) - set(RAW_OUTPUTS)
+        if unknown:
+            raise ValueError(f"unknown outputs {sorted(unknown)}")
+        self.outputs = tuple(outputs)
         self.archive = f"{base}/archive"
         self.outbox = f"{base}/oneid_outbox"
         self.quarantine = f"{base}/quarantine"
@@ -130,13 +139,16 @@ class RawSink:
             if rows.isEmpty():
                 return
             good = split_good(rows)
-            write_archive(good, self.archive, compression=self.compression, batch_id=batch_id)
-            (oneid_outbox(good, "day").withColumn("batch", F.lit(int(batch_id)))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch").parquet(self.outbox))
-            (split_quarantine(rows).withColumn("batch", F.lit(int(batch_id)))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch").parquet(self.quarantine))
+            if "archive" in self.outputs:
+                write_archive(good, self.archive, compression=self.compression, batch_id=batch_id)
+            if "outbox" in self.outputs:
+                (oneid_outbox(good, "day").withColumn("batch", F.lit(int(batch_id)))
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("batch").parquet(self.outbox))
+            if "quarantine" in self.outputs:
+                (split_quarantine(rows).withColumn("batch", F.lit(int(batch_id)))
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("batch").parquet(self.quarantine))
 
 
 def start(frame: DataFrame, sink, checkpoint: str, trigger: dict | None = None,

@@ -10,8 +10,7 @@ import __spark_entry__ as E
 
 TABLES = ("region", "nation", "customer", "orders", "events")
 # Queries whose archive writes make one directory per fixture day; run with -m slow.
-SLOW = {"archive_readback", "stream_archive", "stream_outbox", "stream_quarantine",
-        "stream_counters"}
+SLOW = {"archive_readback", "stream_archive"}
 
 
 def _norm(rows, cols):
