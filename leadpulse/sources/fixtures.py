@@ -2,9 +2,11 @@
 
 One lead per order: ``orders`` joined to ``customer``, ``nation`` and
 ``region``, written as the JSON a producer sends, with blank and missing
-values injected by key. The join is planned by Spark: the two dimension
-tables (25 and 5 rows) fall under the broadcast threshold, while ``orders``
-and ``customer`` meet in a sort-merge join whose skewed partitions AQE splits.
+values injected by key. The join is planned by Spark, with no hints: the
+two dimension tables (25 and 5 rows) always fall under the broadcast
+threshold. ``customer`` does too at the test sizes. Once it outgrows the
+threshold, ``orders`` and ``customer`` meet in a sort-merge join, and AQE
+splits the partition of a customer that holds a large share of the orders.
 """
 
 from __future__ import annotations
