@@ -37,6 +37,8 @@ def _parser() -> argparse.ArgumentParser:
                    help="state store partitions of a new checkpoint")
     s.add_argument("--producer-aliases", action="store_true",
                    help="bind preLeadId / countryName as leadId / countyName")
+    s.add_argument("--ledger", action="store_true",
+                   help="append an offset ledger row per micro-batch under --out/offset_ledger")
     b = sub.add_parser("backfill", help="load a message table in batch")
     b.add_argument("--messages", required=True, help="parquet with value, ingest_ts")
     b.add_argument("--out", required=True)
@@ -68,6 +70,9 @@ def run(argv: list[str] | None = None, spark=None):
     trigger = ({"availableNow": True} if args.available_now
                else {"processingTime": f"{args.trigger_seconds} seconds"})
     watermark = None if args.watermark.lower() == "none" else args.watermark
+    if args.ledger:
+        from leadpulse.streaming.ledger import OffsetLedgerListener
+        spark.streams.addListener(OffsetLedgerListener(spark, f"{args.out}/offset_ledger"))
     return start_all(messages, args.out, trigger, watermark, args.state_partitions, **parse_options)
 
 

@@ -12,6 +12,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 LEDGER_SCHEMA = T.StructType([
     T.StructField("query_id", T.StringType()),
@@ -53,3 +54,34 @@ def offset_ledger(spark: SparkSession, progresses) -> DataFrame:
 def append_ledger(spark: SparkSession, progresses, path: str) -> None:
     """Append ledger rows to a parquet table."""
     offset_ledger(spark, progresses).write.mode("append").parquet(path)
+
+
+class OffsetLedgerListener(StreamingQueryListener):
+    """Append one ledger row per micro-batch and source as progress is
+    reported (S4): a durable, readable record next to the checkpoint.
+
+    ``query_ids`` limits it to some queries; by default every query of the
+    session is recorded. Register with ``spark.streams.addListener``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, query_ids=None):
+        self.spark = spark
+        self.path = path
+        self.query_ids = None if query_ids is None else {str(q) for q in query_ids}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        if self.query_ids is not None and str(progress.id) not in self.query_ids:
+            return
+        rows = ledger_rows([progress])
+        if rows:
+            self.spark.createDataFrame(rows, LEDGER_SCHEMA).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

@@ -101,3 +101,31 @@ def test_processing_clock_counts_leads_under_the_run_day(spark, small_dir):
     got = sink.views(spark)["total"].collect()
     assert len(got) == 1 and got[0]["clue_amounts"] == lead_messages(spark, small_dir).count()
     assert abs((got[0]["clue_dt"] - dt.datetime.now(dt.timezone.utc).date()).days) <= 1
+
+
+def test_offset_ledger_listener_appends_a_row_per_batch(spark, small_dir):
+    import time
+    from leadpulse.streaming.ledger import OffsetLedgerListener
+    base = scratch_dir(spark, "ledger")
+    write_envelopes(lead_messages(spark, small_dir), f"{base}/in")
+    sink = jobs.CounterSink(base)
+    listener = OffsetLedgerListener(spark, f"{base}/ledger")   # the only running query
+    spark.streams.addListener(listener)
+    try:
+        q = jobs.start(jobs.counters_stream(file_leads(spark, f"{base}/in")), sink, f"{base}/ck",
+                       ONCE, state_partitions=4)
+        q.awaitTermination()
+        deadline = time.time() + 30
+        rows = []
+        while time.time() < deadline:           # listener events arrive asynchronously
+            try:
+                rows = spark.read.parquet(f"{base}/ledger").collect()
+            except Exception:
+                rows = []
+            if rows:
+                break
+            time.sleep(1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert [r["num_rows"] for r in rows] == [lead_messages(spark, small_dir).count()]
+    assert rows[0]["end_offset"] is not None
