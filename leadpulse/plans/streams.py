@@ -34,12 +34,13 @@ def state_partitions(spark: SparkSession) -> int:
 
 
 def replay(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame, str], object],
-           variant: str = "clean", reverse: bool = False, name: str = "stream"):
+           variant: str = "clean", reverse: bool = False, name: str = "stream",
+           cuts=SLICE_CUTS):
     """Feed the fixture slices one run at a time; returns (base, progress)."""
     base = scratch_dir(spark, name)
     source = f"{base}/input"
     messages = lead_messages(spark, sf_dir, variant)
-    bounds = slice_bounds()
+    bounds = slice_bounds(tuple(cuts))
     if reverse:
         bounds = bounds[::-1]
     progress = []

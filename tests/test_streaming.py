@@ -129,3 +129,19 @@ def test_offset_ledger_listener_appends_a_row_per_batch(spark, small_dir):
         spark.streams.removeListener(listener)
     assert [r["num_rows"] for r in rows] == [lead_messages(spark, small_dir).count()]
     assert rows[0]["end_offset"] is not None
+
+
+def test_any_split_into_ordered_batches_gives_the_batch_totals(spark, small_dir):
+    import random
+    days = sorted({r[0] for r in leads(spark, small_dir).select("day").distinct().collect()})
+    cuts = sorted(random.Random(7).sample(days[1:], 4))
+    holder = {}
+
+    def run(src, base):
+        holder.setdefault("sink", jobs.DimSink(base))
+        return jobs.start(jobs.dims_stream(src), holder["sink"], f"{base}/_ckpt", ONCE,
+                          state_partitions=3)
+
+    _, progress = replay(spark, small_dir, run, name="split", cuts=[str(c) for c in cuts])
+    assert len([p for p in progress if p.numInputRows]) == 5
+    assert rows(holder["sink"].daily.read(spark)) == rows(metrics.dim_daily(leads(spark, small_dir)))
