@@ -1,7 +1,7 @@
 """DuckDB SQL that computes each registered query independently of Spark.
 
-``L`` is the cleaned lead view (one row per order), written straight from
-the driver tables; ``O`` is the raw order join it is built on.
+``LEAD_VIEW`` defines ``L``, the cleaned lead view (one row per order),
+written straight from the driver tables over the raw order join.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ _ORDER_JOIN = """
   join nation on c_nationkey = n_nationkey
   join region on n_regionkey = r_regionkey"""
 
-_L = f"""L as (
+LEAD_VIEW = f"""L as (
  select cast(o_orderdate as date) as day,
   cast(o_orderkey as varchar) as leadId,
   case when o_orderkey % 17 <> 0 then strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') end as createTime,
@@ -52,40 +52,40 @@ _PAYLOAD = ("'{\"createTime\":' || epoch_ms(cast(cast(substr(createTime, 1, 10)
 _MISSING = "'" + ";".join(["\\N"] * 20) + "'"
 
 
-def _with(*ctes: str) -> str:
+def with_ctes(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
 
 ORACLE_SQL = {
-    "parse_leads": _with(_L) + f"select {_FIELDS} from L",
-    "lead_lines": _with(_L) + f"select {_LINE} as line from L",
-    "line_fields": _with(_L) + (
+    "parse_leads": with_ctes(LEAD_VIEW) + f"select {_FIELDS} from L",
+    "lead_lines": with_ctes(LEAD_VIEW) + f"select {_LINE} as line from L",
+    "line_fields": with_ctes(LEAD_VIEW) + (
         "select leadId as leadid, regionCode as regioncode, vfrom2,"
         " cast(newLeadDealer as varchar) as newleaddealer from L"),
     "missing_line": (f"select cast(o_orderkey as varchar) as leadid, {_MISSING} as line"
                      f" from {_ORDER_JOIN} where o_orderkey % 19 = 0"),
-    "lead_total_daily": _with(_L) + "select day as clue_dt, count(*) as clue_amounts from L group by day",
-    "lead_hq_daily": _with(_L) + (
+    "lead_total_daily": with_ctes(LEAD_VIEW) + "select day as clue_dt, count(*) as clue_amounts from L group by day",
+    "lead_hq_daily": with_ctes(LEAD_VIEW) + (
         "select day as clue_hq_dt, count(*) as clue_hq_amounts from L where newLeadHQ group by day"),
-    "lead_dealer_daily": _with(_L) + (
+    "lead_dealer_daily": with_ctes(LEAD_VIEW) + (
         "select day as clue_new_dt, count(*) as clue_new_amounts from L where newLeadDealer group by day"),
-    "lead_counters_daily": _with(_L) + (
+    "lead_counters_daily": with_ctes(LEAD_VIEW) + (
         "select day, count(*) as total, count(*) filter (where newLeadHQ) as hq,"
         " count(*) filter (where newLeadDealer) as dealer from L group by day"),
-    "complete_leads": _with(_L) + f"select leadId as leadid from L where {_COMPLETE}",
-    "lead_dim_daily": _with(_L, _DD) + "select * from DD",
-    "lead_dim_latest": _with(_L, _DD) + (
+    "complete_leads": with_ctes(LEAD_VIEW) + f"select leadId as leadid from L where {_COMPLETE}",
+    "lead_dim_daily": with_ctes(LEAD_VIEW, _DD) + "select * from DD",
+    "lead_dim_latest": with_ctes(LEAD_VIEW, _DD) + (
         f"select {_DIM_COLS}, min(lz_date) as lz_date, arg_max(lead_cnt, lz_date) as lead_cnt"
         f" from DD group by all"),
-    "oneid_outbox": _with(_L) + (
+    "oneid_outbox": with_ctes(LEAD_VIEW) + (
         f"select leadId as leadid, {_PAYLOAD} as payload from L where createTime is not null"),
-    "oneid_reply": _with(_L) + (
+    "oneid_reply": with_ctes(LEAD_VIEW) + (
         f"select 200 as code, 'success' as status, leadId as msg, {_PAYLOAD} as data from L"),
-    "csv_unquote": _with(_L) + "select leadId as leadid from L",
+    "csv_unquote": with_ctes(LEAD_VIEW) + "select leadId as leadid from L",
     "quarantine": (f"select cast(o_orderkey as varchar) as leadid, 'malformed' as reason"
                    f" from {_ORDER_JOIN} where o_orderkey % 19 = 0"),
-    "upsert_totals": _with(
-        _L,
+    "upsert_totals": with_ctes(
+        LEAD_VIEW,
         "old as (select day as clue_dt, count(*) as clue_amounts from L"
         " where vfrom1 = 'OFF' group by day)",
         "new as (select day as clue_dt, count(*) as clue_amounts from L"
@@ -93,8 +93,8 @@ ORACLE_SQL = {
         "select coalesce(n.clue_dt, o.clue_dt) as clue_dt,"
         " case when n.clue_dt is not null then n.clue_amounts else o.clue_amounts end"
         " as clue_amounts from old o full join new n on o.clue_dt = n.clue_dt"),
-    "expire_counters": _with(
-        _L, _DD,
+    "expire_counters": with_ctes(
+        LEAD_VIEW, _DD,
         f"latest as (select {_DIM_COLS}, max(lz_date) as last_day,"
         f" arg_max(lead_cnt, lz_date) as lead_cnt from DD group by all)") + (
         f"select {_DIM_COLS}, lead_cnt from latest"

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from leadpulse.functions.text import json_string_field
 from leadpulse.plans.backfill import Backfill
 from leadpulse.plans.batch import leads
-from leadpulse.plans.oracle import ORACLE_SQL, _L, _with
+from leadpulse.plans.oracle import ORACLE_SQL, LEAD_VIEW, with_ctes
 from leadpulse.session import scratch_dir
 from leadpulse.sinks.archive import archive_counts, read_archive, write_archive
 from leadpulse.sources.fixtures import SLICE_CUTS, in_slice, lead_messages, slice_bounds
@@ -182,16 +182,16 @@ STREAM_QUERIES = {
     "backfill_quarantine": q_backfill_quarantine,
 }
 
-_ARCHIVE_SQL = _with(_L) + "select day as dt, count(*) as lines from L group by day"
+_ARCHIVE_SQL = with_ctes(LEAD_VIEW) + "select day as dt, count(*) as lines from L group by day"
 
 STREAM_ORACLE_SQL = {
     "archive_readback": _ARCHIVE_SQL,
     "stream_totals": ORACLE_SQL["lead_total_daily"],
-    "stream_counters": _with(_L) + (
+    "stream_counters": with_ctes(LEAD_VIEW) + (
         "select 'total' as counter, day as clue_dt, count(*) as amount from L group by day"
         " union all select 'hq', day, count(*) from L where newLeadHQ group by day"
         " union all select 'dealer', day, count(*) from L where newLeadDealer group by day"),
-    "stream_late_totals": _with(_L) + (
+    "stream_late_totals": with_ctes(LEAD_VIEW) + (
         "select day as clue_dt, count(*) as clue_amounts from L"
         f" where day >= date '{SLICE_CUTS[-1]}' group by day"),
     "stream_dims": ORACLE_SQL["lead_dim_daily"],
