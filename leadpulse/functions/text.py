@@ -10,6 +10,34 @@ from pyspark.sql import functions as F
 _BLANK = r"^[\x00-\x20]*$"
 
 
+def blank_pattern_sql(spark) -> str:
+    """The blank pattern as a SQL literal for ``spark``'s parser.
+
+    A raw literal R'...' keeps the backslashes as written; with the legacy
+    setting ``spark.sql.parser.escapedStringLiterals`` a plain literal does.
+    """
+    legacy = str(spark.conf.get("spark.sql.parser.escapedStringLiterals", "false")).lower() == "true"
+    return ("'" if legacy else "R'") + _BLANK + "'"
+
+
+# The same tests as SQL text (for ``selectExpr``); ``blank`` is the literal
+# from :func:`blank_pattern_sql`.
+def blank_to_null_sql(expr: str, blank: str) -> str:
+    """SQL of :func:`blank_to_null` over the SQL expression ``expr``."""
+    return f"CASE WHEN NOT ({expr} RLIKE {blank}) THEN {expr} END"
+
+
+def to_flag_sql(expr: str) -> str:
+    """SQL of :func:`to_flag`."""
+    return f"CASE {expr} WHEN 'true' THEN true WHEN 'false' THEN false END"
+
+
+def bad_flag_sql(expr: str, blank: str) -> str:
+    """SQL of :func:`bad_flag`."""
+    return (f"(NOT ({expr} IS NULL OR {expr} RLIKE {blank})"
+            f" AND NOT ({expr} IN ('true', 'false')))")
+
+
 def is_blank(c: Column) -> Column:
     """TRUE when ``c`` is NULL or empty after a JVM-style trim."""
     return c.isNull() | c.rlike(_BLANK)

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadpulse.functions.dates import ingest_day
-from leadpulse.functions.text import bad_flag, blank_to_null, to_flag, unquote_csv_json
+from leadpulse.functions.text import (bad_flag_sql, blank_pattern_sql, blank_to_null_sql,
+                                      to_flag_sql, unquote_csv_json)
 from leadpulse.schema import CORRUPT_COLUMN, FLAG_FIELDS, LEAD_FIELDS, LEAD_SCHEMA, TEXT_FIELDS
 
 REASON = "_reason"
@@ -54,21 +55,29 @@ def parse_messages(df: DataFrame, value_col: str = "value",
     # cannot be pushed below it, so each message is parsed exactly once
     # (pushed through a Project, every conjunct would re-run from_json).
     with_struct = df.select(*keep, F.explode(F.array(parsed)).alias(_PARSED))
-    lead = F.col(_PARSED)
 
-    def text(name: str):
-        column = blank_to_null(lead[name])
+    # The typed projection is built as SQL text: one call instead of a few
+    # hundred Column calls, each of which costs the driver a round trip.
+    blank = blank_pattern_sql(df.sparkSession)
+
+    def field(name: str) -> str:
+        return f"`{_PARSED}`.`{name}`"
+
+    def text(name: str) -> str:
+        expr = blank_to_null_sql(field(name), blank)
         for alias, target in aliases.items():
             if target == name:
-                column = F.coalesce(column, blank_to_null(lead[alias]))
-        return column.alias(name)
-
-    typed = [text(n) if n in TEXT_FIELDS else to_flag(lead[n]).alias(n) for n in LEAD_FIELDS]
-    reason = (F.when(lead.isNull(), F.lit("empty"))
-              .when(lead[CORRUPT_COLUMN].isNotNull(), F.lit("malformed"))
-              .when(bad_flag(lead[FLAG_FIELDS[0]]) | bad_flag(lead[FLAG_FIELDS[1]]),
-                    F.lit("bad_flag")))
-    return with_struct.select(*keep, *typed, reason.alias(REASON))
+                expr = f"coalesce({expr}, {blank_to_null_sql(field(alias), blank)})"
+        return f"{expr} AS `{name}`"
+
+    typed = [text(n) if n in TEXT_FIELDS else f"{to_flag_sql(field(n))} AS `{n}`"
+             for n in LEAD_FIELDS]
+    reason = (f"CASE WHEN `{_PARSED}` IS NULL THEN 'empty'"
+              f" WHEN {field(CORRUPT_COLUMN)} IS NOT NULL THEN 'malformed'"
+              f" WHEN {bad_flag_sql(field(FLAG_FIELDS[0]), blank)}"
+              f" OR {bad_flag_sql(field(FLAG_FIELDS[1]), blank)} THEN 'bad_flag' END AS `{REASON}`")
+    kept = [f"`{c}`" for c in df.columns if c not in LEAD_FIELDS]
+    return with_struct.selectExpr(*kept, *typed, reason)
 
 
 def parse_leads(df: DataFrame, value_col: str = "value",

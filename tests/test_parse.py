@@ -86,3 +86,14 @@ def test_empty_object_line(spark):
 def test_unknown_fields_ignored_and_numbers_kept_as_text(spark):
     r = one(spark, '{"pkId":467,"id":1,"updateTime":"x","leadId":12,"dealerId":"D"}')
     assert r["leadId"] == "12" and r["dealerId"] == "D"
+
+
+def test_blank_test_does_not_depend_on_string_escape_setting(spark):
+    key = "spark.sql.parser.escapedStringLiterals"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        r = one(spark, '{"leadId":" \\t","regionCode":"x","newLeadHQ":" "}')
+        assert r["leadId"] is None and r["regionCode"] == "x" and r["newLeadHQ"] is None
+    finally:
+        spark.conf.set(key, before)
