@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadpulse.llm.common import prepare, stage
+from leadpulse.llm.common import free_name, prepare, stage
 
 FIT_ROWS = 8000      # labelled rows that the text model is fitted on, at most
 BUCKETS = 1 << 15
@@ -177,30 +177,30 @@ def identify(spark: SparkSession, rows: DataFrame, model: TextModel) -> DataFram
                         declared, suffix))
         return pd.DataFrame(out, columns=["log", "p", "text_lang", "declared", "suffix"])
 
+    at, zone, e, by_host, by_zone, post = (free_name(rows, f"_lang_{c}") for c in (
+        "host", "domain", "evidence", "of_host", "of_domain", "posterior"))
     host = host_of(F.col("address"))
-    domain = F.substring_index("_host", ".", -2)
-    seen = rows.select(*keys, host.alias("_host"), look("text", "html", host).alias("_e"))
-    seen = stage(spark, seen.withColumn("_domain", domain), "lang-evidence")
-    own = seen.select("_host", "_domain", F.col("_e.p").alias("p"))
-    by_host = stage(spark, own.groupBy("_host", "_domain").agg(_array_sum("p", n).alias("of_host")),
-                    "lang-hosts")
-    by_domain = by_host.groupBy("_domain").agg(_array_sum("of_host", n).alias("of_domain"))
-    total = by_host.agg(_array_sum("of_host", n).alias("all")).first()["all"]
+    seen = rows.select(*keys, host.alias(at), look("text", "html", host).alias(e))
+    seen = stage(spark, seen.withColumn(zone, F.substring_index(at, ".", -2)), "lang-evidence")
+    hosts = stage(spark, seen.select(at, zone, F.col(f"{e}.p").alias("p")).groupBy(at, zone)
+                  .agg(_array_sum("p", n).alias(by_host)), "lang-hosts")
+    zones = hosts.groupBy(zone).agg(_array_sum(by_host, n).alias(by_zone))
+    total = hosts.agg(_array_sum(by_host, n).alias("all")).first()["all"]
     everywhere = np.array([x or 0.0 for x in total]) + 1
     base = F.array(*[F.lit(float(x)) for x in everywhere / everywhere.sum()])
-    hosts = stage(spark, by_host.join(by_domain, "_domain").drop("_domain"), "lang-priors")
-    both = seen.join(hosts, "_host")
-    prior = _smoothed(F.col("of_host"), F.col("_e.p"),
-                      _smoothed(F.col("of_domain"), F.col("_e.p"), base))
-    scored = both.withColumn("_q", F.zip_with(F.col("_e.log"), prior,
-                                              lambda x, p: F.exp(x) * p))
-    best = F.array_max("_q")
+    # Staged, so that Spark can split the join's partition of a hot host.
+    priors = stage(spark, hosts.join(zones, zone).drop(zone), "lang-priors")
+    own = F.col(f"{e}.p")
+    prior = _smoothed(F.col(by_host), own, _smoothed(F.col(by_zone), own, base))
+    scored = seen.join(priors, at).withColumn(post, F.zip_with(
+        F.col(f"{e}.log"), prior, lambda x, p: F.exp(x) * p))
+    best = F.array_max(post)
     names = F.array(*[F.lit(x) for x in langs])
     return scored.select(
-        *keys, F.element_at(names, F.array_position("_q", best).cast("int")).alias("lang"),
-        (best / F.aggregate("_q", F.lit(0.0), lambda s, x: s + x)).alias("prob"),
-        F.col("_e.text_lang").alias("text_lang"), F.col("_e.declared").alias("declared_lang"),
-        F.col("_e.suffix").alias("suffix_lang"))
+        *keys, F.element_at(names, F.array_position(post, best).cast("int")).alias("lang"),
+        (best / F.aggregate(post, F.lit(0.0), lambda s, x: s + x)).alias("prob"),
+        F.col(f"{e}.text_lang").alias("text_lang"), F.col(f"{e}.declared").alias("declared_lang"),
+        F.col(f"{e}.suffix").alias("suffix_lang"))
 
 
 def evidence_rows(docs: DataFrame, pages: DataFrame) -> DataFrame:

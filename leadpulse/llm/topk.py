@@ -51,6 +51,12 @@ def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int = SCALE
             .groupBy("vec_id").agg(F.min("v").alias("v")))
 
 
+def matrix(rows, kind) -> np.ndarray:
+    """Rows of equal length, which may be 0, as a matrix."""
+    rows = list(rows)
+    return np.array([np.asarray(r, dtype=kind) for r in rows]).reshape(len(rows), len(rows[0]))
+
+
 def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
     """n rows far from one another: each next one maximizes the distance to
     those chosen."""
@@ -103,13 +109,12 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = K,
               .select("dim", "v").collect())
     by_dim = {}
     for dim in {r.dim for r in sample}:
-        rows = np.array([r.v for r in sample if r.dim == dim], dtype=float).reshape(-1, dim)
-        by_dim[dim] = choose_pivots(rows, pivots)
+        by_dim[dim] = choose_pivots(matrix([r.v for r in sample if r.dim == dim], float), pivots)
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for dim, part in frame.groupby("dim"):
-                v = np.stack(part.v.to_numpy()).astype(float).reshape(len(part), dim)
+                v = matrix(part.v, float)
                 d = pivot_distances(v, by_dim[dim]) if dim in by_dim else np.empty((len(part), 0))
                 yield part.assign(d=list(d))
 
@@ -134,9 +139,8 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = K,
     def meet(qs: pd.DataFrame, xs: pd.DataFrame) -> pd.DataFrame:
         rows: list = []
         if len(qs) and len(xs):
-            def parts(f):
-                d = np.stack(f.d.to_numpy()).reshape(len(f), -1)
-                return f.vec_id.to_numpy(), np.stack(f.v.to_numpy()).reshape(len(f), -1), d
+            def parts(f: pd.DataFrame) -> tuple:
+                return f.vec_id.to_numpy(), matrix(f.v, np.int64), matrix(f.d, float)
             rows = list(search_block(*parts(qs), *parts(xs), k))
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
 

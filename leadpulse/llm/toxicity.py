@@ -162,16 +162,17 @@ def quoted(text: str, start: int, end: int) -> bool:
     return before.count('"') % 2 == 1 and '"' in after
 
 
-FEATURES = 9
+FEATURES = 7
 
 
 def features(text: str | None, lexicon: Lexicon) -> np.ndarray:
-    """What the lexicon finds in a text."""
+    """What the lexicon finds in a text. All kinds of hits count alike, but for
+    their context, so what is learned of exact ones holds for misspelt ones."""
     low = (text or "").lower()
     tokens = TOKEN.findall(low)
     kinds = list(map(lexicon.__getitem__, tokens))
     out = np.zeros(FEATURES)
-    out[7] = math.log1p(len(tokens))
+    out[0] = math.log1p(len(tokens))
     if not any(kinds):
         return out
     score = np.zeros(len(tokens))
@@ -186,14 +187,12 @@ def features(text: str | None, lexicon: Lexicon) -> np.ndarray:
     sums = np.concatenate([[0.0], np.cumsum(score)])
     width = min(WINDOW, len(tokens))
     hits = np.bincount(kinds, minlength=4)
-    out[0] = math.log1p(hits[EXACT])
-    out[1] = math.log1p(hits[STEM])
-    out[2] = math.log1p(hits[NEAR])
-    out[3] = math.log1p(sums[-1])
-    out[4] = (sums[width:] - sums[:len(sums) - width]).max()
-    out[5] = min(sums[-1] / len(tokens), 0.1) * 100
-    out[6] = in_quotes / hits[1:].sum()
-    out[8] = 1.0
+    out[1] = 1.0
+    out[2] = math.log1p(sums[-1])
+    out[3] = min((sums[width:] - sums[:len(sums) - width]).max(), 6.0)
+    out[4] = min(sums[-1] / len(tokens), 0.1) * 100
+    out[5] = in_quotes / hits[1:].sum()
+    out[6] = hits[STEM] / hits[1:].sum()
     return out
 
 

@@ -1,0 +1,77 @@
+import zlib
+
+import pytest
+
+from leadpulse.llm import langid, registry
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_query_on_held_out_documents_and_pages(spark):
+    rows = registry.QUERIES["op5_language_id"](spark, SF).collect()
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    pages = {r.page_id: r.url.split("/")[3] for r in
+             spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    docs = {r.doc_id: r for r in rows if r.kind == "document"}
+    assert set(docs) == set(truth)
+    held = [d for d in truth if zlib.crc32(str(d).encode()) % 5 == 0]
+    right = sum(docs[d].lang == truth[d] for d in held)
+    assert len(held) > 150 and right / len(held) > 0.97
+    got = {r.page_id: r for r in rows if r.kind == "page"}
+    assert set(got) == set(pages)
+    assert sum(got[p].lang == pages[p] for p in pages) / len(pages) > 0.97
+    assert all(0 < r.prob <= 1 for r in rows)
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return langid.fit(spark, spark.read.parquet(f"{SF}/documents.parquet"))
+
+
+ROWS = "id int, text string, html string, address string, lang string"
+
+
+def test_evidence_adds_up(spark, model):
+    rows = [(i, None, '<html lang="fr"><p>x</p>', "http://a.example.com/1", "z") for i in range(30)]
+    rows += [(100, "", None, "https://a.example.com/2", "z"),     # host prior
+             (101, "", None, "http://b.example.com/", "z"),       # domain prior
+             (102, None, "<p></p>", "http://x.de/", "z"),         # address suffix
+             (103, None, '<html lang="de">', "http://x.example.fr/", "z"),  # at odds
+             (104, None, None, None, None)]
+    df = spark.createDataFrame(rows, ROWS).withColumnRenamed("lang", "of_host")
+    got = {r.id: r for r in langid.identify(spark, df, model).collect()}
+    assert len(got) == len(rows)
+    assert {got[i].lang for i in (0, 100, 101)} == {"fr"}
+    assert got[102].lang == "de"
+    assert got[100].prob > got[101].prob > 0.25
+    assert got[104].lang == "fr"  # what most rows are
+    assert got[0].declared_lang == "fr" and got[102].suffix_lang == "de"
+    assert (got[103].declared_lang, got[103].suffix_lang) == ("de", "fr")
+    assert got[103].lang in ("de", "fr")
+
+
+def test_odd_documents(spark, model, odd_docs, no_docs):
+    empty = spark.createDataFrame([], "page_id long, url string, html string")
+    rows = langid.identify(spark, langid.evidence_rows(odd_docs, empty), model).collect()
+    assert len(rows) == odd_docs.count() and all(r.lang for r in rows)
+    assert langid.identify(spark, langid.evidence_rows(no_docs, empty), model).count() == 0
+    nothing = langid.fit(spark, no_docs)
+    rows = langid.identify(spark, langid.evidence_rows(odd_docs, empty), nothing).collect()
+    assert {(r.lang, r.prob) for r in rows} == {(None, 0.0)} and len(rows) == odd_docs.count()
+
+
+def test_text_of_a_page():
+    html = ('<!DOCTYPE html><HTML class="a" LANG=\'pt-BR\'><style>p{}</style><script>var t="</p>";'
+            "</script><!-- no --><p>caf&eacute; <b>x</b></p><script>unclosed")
+    assert langid.visible_text(html).split() == ["café", "x"]
+    assert langid.declared_lang(html) == "pt"
+    assert langid.declared_lang("<p lang='de'>") is None
+    assert langid.visible_text(None) == "" and langid.visible_text("<" * 50000 + "a").endswith("a")
+
+
+def test_host(spark):
+    cases = {"http://User@WWW.a.example.com:80/x?y": "www.a.example.com", "//b.org#c": "b.org",
+             "src0": "src0", None: "", "": "", "ftp://x/y//z": "x"}
+    df = spark.createDataFrame([(k,) for k in cases], "a string")
+    from pyspark.sql import functions as F
+    assert {r.a: r.h for r in df.select("a", langid.host_of(F.col("a")).alias("h")).collect()} == cases

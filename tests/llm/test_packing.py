@@ -1,0 +1,118 @@
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import regex
+from tokenizers import Tokenizer
+
+from leadpulse.llm import packing, registry
+
+PATH = str(public_tokenizers.path(registry.TOKENIZER))
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+def check(rows, docs, tokenizer):
+    ids = {d: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for d, t in docs}
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        one = ids[r.doc_id]
+        assert r.doc_tokens == len(one) and r.length > 0
+        assert r.ids_crc32 == zlib.crc32(np.array(one[r.start:r.start + r.length], "<u4").tobytes())
+        pieces[r.doc_id].append((r.start, r.length))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert set(pieces) == set(ids)
+    for d, own in pieces.items():
+        at = 0
+        for start, length in sorted(own):
+            assert start == at
+            at += length
+        assert at == len(ids[d])
+    padding = 0
+    for own in sequences.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 4096 and len(own) <= packing.MAX_SEGMENTS
+        padding += 0 if at & (at - 1) == 0 else 4096 - at
+    assert padding == 0
+
+
+def test_query_against_the_tokenizer(spark, small_dir, tokenizer):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small_dir}/documents.parquet").collect()]
+    rows = registry.QUERIES["op8_packing"](spark, small_dir).collect()
+    check(rows, docs, tokenizer)
+    whole = sum(r.length == r.doc_tokens for r in rows)
+    assert whole > 0.8 * len(docs)
+
+
+def test_odd_documents(spark, odd_docs, no_docs, tokenizer):
+    docs = odd_docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    rows = packing.pack_documents(spark, docs, PATH).collect()
+    check(rows, [(r.doc_id, r.text) for r in docs.collect()], tokenizer)
+    every = packing.pack_documents(spark, odd_docs, PATH).collect()
+    assert sum(r.start == 0 for r in every) == odd_docs.count()
+    assert packing.pack_documents(spark, no_docs, PATH).count() == 0
+
+
+def test_encoder_equals_the_tokenizer(tokenizer):
+    encoder = packing.Encoder(open(PATH, encoding="utf-8").read())
+
+    def same(text):
+        got = np.frombuffer(encoder.encode(text), encoder.kind).tolist()
+        assert got == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+    rng = random.Random(4)
+    alphabet = [chr(c) for c in range(0x180)] + list("́İΣσςAé'’Kﬁ\U0001f600　")
+    for size in (1, 2, 3, 8, 40):
+        for _ in range(400):
+            same("".join(rng.choice(alphabet) for _ in range(size)))
+    for c in range(0x180):
+        same(f"a{chr(c)}b {chr(c)}{chr(c)} '{chr(c)}1")
+    for text in ("It's we're I'VE 'll 'S''s", "<|endoftext|> x", "<|startoftext|", "", " \n\t ",
+                 "12 3.4 ½²", "x" * 5000, "ERNT*** !!A!! #$%"):
+        same(text)
+
+
+def test_character_classes():
+    letters = "".join(regex.findall(r"\p{L}", "".join(map(chr, range(0x180))).lower()))
+    assert re.fullmatch(f"[{packing.Encoder.LETTERS}]*", letters)
+    for c in map(chr, range(0x180)):
+        if packing.Encoder.PLAIN.fullmatch(c):
+            low = c.lower()
+            assert bool(regex.fullmatch(r"\p{N}", low)) == bool(
+                re.fullmatch(f"[{packing.Encoder.NUMBERS}]", low))
+            assert bool(regex.fullmatch(r"\p{L}", low)) == bool(
+                re.fullmatch(f"[{packing.Encoder.LETTERS}]", low))
+
+
+@pytest.mark.parametrize("limits", [(64, 4, 64), (64, 3, 20), (100, 50, 100), (16, 1, 9)])
+def test_limits_hold_together(limits):
+    rng = random.Random(str(limits))
+    lengths = [rng.choice([1, 3, 10, 40, 64, 130, 700]) for _ in range(120)]
+    free = [rng.randint(0, n) for n in lengths]
+    seen = defaultdict(list)
+    for sequence in packing.pack(lengths, free, *limits):
+        total = sum(n for _, _, n in sequence)
+        loss = sum(max(0, s + n - max(s, free[i])) for i, s, n in sequence)
+        assert total == limits[0] or total & (total - 1) == 0
+        assert total <= limits[0] and len(sequence) <= limits[1] and loss <= limits[2]
+        for i, s, n in sequence:
+            seen[i].append((s, n))
+    for i, length in enumerate(lengths):
+        at = 0
+        for s, n in sorted(seen[i]):
+            assert s == at and n > 0
+            at += n
+        assert at == length
+    with pytest.raises(ValueError):
+        packing.pack([5], [0], 8, 4, 0)
+    assert packing.pack([], [], *limits) == []
