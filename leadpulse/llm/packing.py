@@ -21,7 +21,9 @@ import hashlib
 import math
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +38,18 @@ MAX_SEGMENTS = 128
 MAX_LOSS = 4096
 END_ID = 2
 GROUP = 512            # documents in a group, on average
-KEPT_WORDS = 400_000   # words whose ids a worker remembers
+KEPT_WORDS = 400_000   # words of a generation; a worker remembers two of them
+
+
+def _byte_symbols() -> dict[int, int]:
+    """Code points that byte-level tokenizers write bytes as: printable Latin-1
+    as it is, the others in order from 256 on."""
+    plain = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTES = _byte_symbols()
 
 
 class Encoder:
@@ -61,24 +74,33 @@ class Encoder:
         self.kind = np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
                         dtype=self.kind).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a text, little-endian."""
-        if not self.PLAIN.fullmatch(text) or any(s in text for s in self.special):
-            return self._ids(text)
-        words = self.WORDS.findall(text.lower())
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            if len(self.known) > KEPT_WORDS:
-                self.known.clear()
-            for word in set(words).difference(self.known):
-                self.known[word] = self._ids(word)
-            return b"".join(map(self.known.__getitem__, words))
+    def _learn(self, words: set[str]) -> None:
+        """Remember the ids of words, straight from the model: its symbols are
+        the characters that stand for a word's bytes."""
+        if len(self.known) > KEPT_WORDS:
+            self.known, self.older = {}, self.known
+        words = words - self.known.keys()
+        back = words & self.older.keys()
+        self.known.update((word, self.older[word]) for word in back)
+        model = self.tokenizer.model
+        for word in words - back:
+            symbols = word if word.isascii() else word.encode().decode("latin-1").translate(BYTES)
+            ids = array(self.kind.char, [token.id for token in model.tokenize(symbols)])
+            self.known[word] = ids.tobytes() if sys.byteorder == "little" else self._ids(word)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts, little-endian."""
+        words = [self.WORDS.findall(t.lower()) if self.PLAIN.fullmatch(t)
+                 and not any(s in t for s in self.special) else None for t in texts]
+        self._learn(set().union(*filter(None, words)))
+        return [self._ids(t) if w is None else b"".join(map(self.known.__getitem__, w))
+                for t, w in zip(texts, words)]
 
 
 _ENCODERS: dict[str, Encoder] = {}  # per worker, by definition
@@ -167,7 +189,7 @@ def tokenized(spark: SparkSession, docs: DataFrame, definition: str,
     def ids(texts: pd.Series) -> pd.Series:
         enc = encoder(shared.value)
         end = np.array([end_id], dtype=enc.kind).tobytes()
-        return pd.Series([enc.encode(t or "") + end for t in texts], dtype=object)
+        return pd.Series([x + end for x in enc.encode([t or "" for t in texts])], dtype=object)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), ids("text").alias("ids"),
                        F.lit(1).cast("long").alias("free"))

@@ -67,7 +67,7 @@ def test_encoder_equals_the_tokenizer(tokenizer):
     encoder = packing.Encoder(open(PATH, encoding="utf-8").read())
 
     def same(text):
-        got = np.frombuffer(encoder.encode(text), encoder.kind).tolist()
+        got = np.frombuffer(encoder.encode([text])[0], encoder.kind).tolist()
         assert got == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
     rng = random.Random(4)
@@ -82,6 +82,18 @@ def test_encoder_equals_the_tokenizer(tokenizer):
         same(text)
 
 
+def test_forgotten_words_are_learned_again(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "KEPT_WORDS", 20)
+    encoder = packing.Encoder(open(PATH, encoding="utf-8").read())
+    rng = random.Random(5)
+    for _ in range(40):
+        texts = [" ".join(rng.choice("abcdefg") * rng.randint(1, 4) for _ in range(12))
+                 for _ in range(5)]
+        for text, got in zip(texts, encoder.encode(texts)):
+            want = tokenizer.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(got, encoder.kind).tolist() == want
+
+
 def test_character_classes():
     letters = "".join(regex.findall(r"\p{L}", "".join(map(chr, range(0x180))).lower()))
     assert re.fullmatch(f"[{packing.Encoder.LETTERS}]*", letters)
