@@ -22,8 +22,8 @@ def timestamp_text(c: Column) -> Column:
 
 
 def date_prefix(c: Column) -> Column:
-    """Date from the first ten characters of a timestamp text, else NULL."""
-    return F.try_to_date(F.substring(c, 1, 10), DATE_FORMAT)
+    """Date that a timestamp text starts with, padded or not, else NULL."""
+    return F.try_to_date(F.regexp_extract(c, r"^\d{4}-\d{1,2}-\d{1,2}", 0), "yyyy-M-d")
 
 
 def ingest_day(ts: Column) -> Column:

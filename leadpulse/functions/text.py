@@ -7,63 +7,51 @@ from pyspark.sql import functions as F
 
 # A value is blank when it is NULL or holds only characters <= U+0020, the
 # set a JVM String.trim() removes. Spark's trim() strips only spaces.
-_BLANK = r"^[\x00-\x20]*$"
+# ``\\z`` is the very end: ``$`` would also match before a last line separator.
+_BLANK = r"\A[\x00-\x20]*\z"
 
+# Flags as a JSON binder reads them into a boolean: the two words with a small
+# or capital first letter, trimmed, and integers (0 is false).
+_TRUE = r"\A(?:[\x00-\x20]*[tT]rue[\x00-\x20]*|-?0*[1-9][0-9]*)\z"
+_FALSE = r"\A(?:[\x00-\x20]*[fF]alse[\x00-\x20]*|-?0+)\z"
 
-def blank_pattern_sql(spark) -> str:
-    """The blank pattern as a SQL literal for ``spark``'s parser.
+
+def _literal(spark, pattern: str) -> str:
+    """A pattern as a SQL literal for ``spark``'s parser.
 
     A raw literal R'...' keeps the backslashes as written; with the legacy
     setting ``spark.sql.parser.escapedStringLiterals`` a plain literal does.
     """
     legacy = str(spark.conf.get("spark.sql.parser.escapedStringLiterals", "false")).lower() == "true"
-    return ("'" if legacy else "R'") + _BLANK + "'"
-
+    return ("'" if legacy else "R'") + pattern + "'"
 
-# The same tests as SQL text (for ``selectExpr``); ``blank`` is the literal
-# from :func:`blank_pattern_sql`.
-def blank_to_null_sql(expr: str, blank: str) -> str:
-    """SQL of :func:`blank_to_null` over the SQL expression ``expr``."""
-    return f"CASE WHEN NOT ({expr} RLIKE {blank}) THEN {expr} END"
 
-
-def to_flag_sql(expr: str) -> str:
-    """SQL of :func:`to_flag`."""
-    return f"CASE {expr} WHEN 'true' THEN true WHEN 'false' THEN false END"
-
-
-def bad_flag_sql(expr: str, blank: str) -> str:
-    """SQL of :func:`bad_flag`."""
-    return (f"(NOT ({expr} IS NULL OR {expr} RLIKE {blank})"
-            f" AND NOT ({expr} IN ('true', 'false')))")
-
-
-def is_blank(c: Column) -> Column:
-    """TRUE when ``c`` is NULL or empty after a JVM-style trim."""
-    return c.isNull() | c.rlike(_BLANK)
+def blank_pattern_sql(spark) -> str:
+    """The blank pattern as a SQL literal."""
+    return _literal(spark, _BLANK)
 
 
-def blank_to_null(c: Column) -> Column:
-    """NULL for a blank value, else the value as it is (not trimmed).
+def flag_patterns_sql(spark) -> tuple[str, str]:
+    """The patterns of true and false flags as SQL literals."""
+    return _literal(spark, _TRUE), _literal(spark, _FALSE)
 
-    A NULL input makes the test NULL, which also gives NULL.
-    """
-    return F.when(~c.rlike(_BLANK), c)
 
+# The parse is SQL text (for ``selectExpr``); ``blank`` is the literal from
+# :func:`blank_pattern_sql`, ``flags`` those from :func:`flag_patterns_sql`.
+def blank_to_null_sql(expr: str, blank: str) -> str:
+    """NULL for a blank value, else the value as it is (not trimmed)."""
+    return f"CASE WHEN NOT ({expr} RLIKE {blank}) THEN {expr} END"
 
-def to_flag(c: Column) -> Column:
-    """Nullable boolean from the text forms a producer sends.
 
-    ``"true"`` and ``"false"`` map to booleans; blank text is NULL. Anything
-    else is NULL here and flagged by :func:`bad_flag` (a plain cast would
-    accept ``"t"`` or ``"1"``).
-    """
-    return F.when(c == "true", F.lit(True)).when(c == "false", F.lit(False))
+def to_flag_sql(expr: str, flags: tuple[str, str]) -> str:
+    """Nullable boolean from the forms a producer sends; NULL for any other."""
+    return f"CASE WHEN {expr} RLIKE {flags[0]} THEN true WHEN {expr} RLIKE {flags[1]} THEN false END"
 
 
-def bad_flag(c: Column) -> Column:
-    """TRUE for a flag that is neither blank nor ``true`` / ``false``."""
-    return ~is_blank(c) & ~c.isin("true", "false")
+def bad_flag_sql(expr: str, blank: str, flags: tuple[str, str]) -> str:
+    """TRUE for a flag that is neither blank nor a boolean."""
+    return (f"(NOT ({expr} IS NULL OR {expr} RLIKE {blank})"
+            f" AND NOT ({expr} RLIKE {flags[0]} OR {expr} RLIKE {flags[1]}))")
 
 
 def unquote_csv_json(c: Column) -> Column:

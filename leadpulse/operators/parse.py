@@ -5,7 +5,8 @@ Catalyst cannot copy it into pushed-down filters) with every field STRING; the t
 columns are derived from it with built-in expressions, so the whole parse
 stays in the JVM. A message is bad when it is empty (NULL struct), is not a
 JSON object (corrupt-record column set), or carries a flag that is neither
-blank nor ``true`` / ``false``.
+blank nor a boolean. Single-quoted JSON is malformed; an object in a text field
+is kept as its JSON text.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 
 from leadpulse.functions.dates import ingest_day
 from leadpulse.functions.text import (bad_flag_sql, blank_pattern_sql, blank_to_null_sql,
-                                      to_flag_sql, unquote_csv_json)
+                                      flag_patterns_sql, to_flag_sql, unquote_csv_json)
 from leadpulse.schema import CORRUPT_COLUMN, FLAG_FIELDS, LEAD_FIELDS, LEAD_SCHEMA, TEXT_FIELDS
 
 REASON = "_reason"
@@ -48,7 +49,8 @@ def parse_messages(df: DataFrame, value_col: str = "value",
     value = F.col(value_col).cast("string")
     if unquote:
         value = unquote_csv_json(value)
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN,
+               "allowSingleQuotes": "false"}
     parsed = F.from_json(value, _schema_with_aliases(aliases), options)
     keep = [F.col(c) for c in df.columns if c not in LEAD_FIELDS]
     # The parse sits in a one-row Generate: filters on the parsed fields
@@ -59,6 +61,7 @@ def parse_messages(df: DataFrame, value_col: str = "value",
     # The typed projection is built as SQL text: one call instead of a few
     # hundred Column calls, each of which costs the driver a round trip.
     blank = blank_pattern_sql(df.sparkSession)
+    flags = flag_patterns_sql(df.sparkSession)
 
     def field(name: str) -> str:
         return f"`{_PARSED}`.`{name}`"
@@ -70,12 +73,12 @@ def parse_messages(df: DataFrame, value_col: str = "value",
                 expr = f"coalesce({expr}, {blank_to_null_sql(field(alias), blank)})"
         return f"{expr} AS `{name}`"
 
-    typed = [text(n) if n in TEXT_FIELDS else f"{to_flag_sql(field(n))} AS `{n}`"
+    typed = [text(n) if n in TEXT_FIELDS else f"{to_flag_sql(field(n), flags)} AS `{n}`"
              for n in LEAD_FIELDS]
     reason = (f"CASE WHEN `{_PARSED}` IS NULL THEN 'empty'"
               f" WHEN {field(CORRUPT_COLUMN)} IS NOT NULL THEN 'malformed'"
-              f" WHEN {bad_flag_sql(field(FLAG_FIELDS[0]), blank)}"
-              f" OR {bad_flag_sql(field(FLAG_FIELDS[1]), blank)} THEN 'bad_flag' END AS `{REASON}`")
+              f" WHEN {bad_flag_sql(field(FLAG_FIELDS[0]), blank, flags)}"
+              f" OR {bad_flag_sql(field(FLAG_FIELDS[1]), blank, flags)} THEN 'bad_flag' END AS `{REASON}`")
     kept = [f"`{c}`" for c in df.columns if c not in LEAD_FIELDS]
     return with_struct.selectExpr(*kept, *typed, reason)
 

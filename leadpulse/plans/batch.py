@@ -15,6 +15,7 @@ from leadpulse.operators import lines, metrics, oneid
 from leadpulse.operators.parse import parse_leads, quarantine
 from leadpulse.operators.upsert import upsert
 from leadpulse.schema import LEAD_FIELDS, TOTAL_COLUMNS
+from leadpulse.session import scratch_dir
 from leadpulse.sources.fixtures import lead_messages, table
 
 EXPIRE_TTL_DAYS = 365
@@ -26,6 +27,13 @@ def leads(spark: SparkSession, sf_dir: str, variant: str = "clean", **parse_opti
     return parse_leads(lead_messages(spark, sf_dir, variant), **parse_options)
 
 
+def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back."""
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def q_parse_leads(spark, sf_dir):
     return leads(spark, sf_dir).select(*LEAD_FIELDS)
 
@@ -102,20 +110,20 @@ def q_quarantine(spark, sf_dir):
 def q_upsert_totals(spark, sf_dir):
     """Offline-only totals (old table) replaced by full totals from 1998 on."""
     day, amount = TOTAL_COLUMNS
-    # Both tables from one aggregation (one row per day), kept for the three
-    # branches of the upsert: the leads are parsed once, not per branch
-    # (column pruning would otherwise give each branch its own aggregate).
+    # Both tables from one aggregation (one row per day), written once for the
+    # three branches of the upsert, so that the leads are parsed once.
     by_day = leads(spark, sf_dir).groupBy(F.col("day").alias(day)).agg(
         F.count_if(F.col("vfrom1") == "OFF").alias("offline"),
         F.count_if(F.col("day") >= F.lit(UPSERT_CUT).cast("date")).alias("recent"),
-        F.count(F.lit(1)).alias("every")).persist()
+        F.count(F.lit(1)).alias("every"))
+    by_day = written(spark, by_day, "totals")
     old = by_day.filter(F.col("offline") > 0).select(day, F.col("offline").alias(amount))
     new = by_day.filter(F.col("recent") > 0).select(day, F.col("every").alias(amount))
     return upsert(old, new, [day])
 
 
 def q_expire_counters(spark, sf_dir):
-    daily = metrics.dim_daily(leads(spark, sf_dir))
+    daily = written(spark, metrics.dim_daily(leads(spark, sf_dir)), "daily")
     now = daily.select(F.max("lz_date")).scalar()
     return metrics.expire(daily, EXPIRE_TTL_DAYS, now)
 

@@ -4,25 +4,15 @@ from __future__ import annotations
 
 from leadpulse.plans.batch import BATCH_QUERIES
 from leadpulse.plans.oracle import ORACLE_SQL
+from leadpulse.plans.streams import STREAM_ORACLE_SQL, STREAM_QUERIES
 
 
 def queries() -> dict:
     """name -> callable(spark, sf_dir) -> DataFrame."""
-    out = dict(BATCH_QUERIES)
-    try:
-        from leadpulse.plans.streams import STREAM_QUERIES
-        out.update(STREAM_QUERIES)
-    except ImportError:
-        pass
-    return out
+    return {**BATCH_QUERIES, **STREAM_QUERIES}
 
 
 def oracle_sql() -> dict:
     """name -> DuckDB SQL, for the queries that have one."""
-    out = dict(ORACLE_SQL)
-    try:
-        from leadpulse.plans.streams import STREAM_ORACLE_SQL
-        out.update(STREAM_ORACLE_SQL)
-    except ImportError:
-        pass
+    out = {**ORACLE_SQL, **STREAM_ORACLE_SQL}
     return {k: v for k, v in out.items() if k in queries()}

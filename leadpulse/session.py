@@ -8,6 +8,7 @@ that has none (a local test run) gets a fresh folder of its own.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -54,13 +55,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     Read from ``spark.checkpoint.dir`` (or a folder already set on the
-    context). When neither exists, as in a local test, a new folder is made
-    and set, so ``DataFrame.checkpoint()`` works as well.
+    context). When neither exists, a local session gets a new folder, which is
+    set, so ``DataFrame.checkpoint()`` works as well. On a cluster a local
+    folder would be another one on each machine, so there it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="leadpulse-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -40,7 +40,9 @@ class SnapshotTable:
     def _current(self, spark: SparkSession) -> DataFrame | None:
         try:
             return spark.read.parquet(self.path)
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise  # not the same as a table that does not exist yet
             return None
 
     def merge(self, changes: DataFrame) -> int:

@@ -42,26 +42,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a scan that has fewer splits than the cluster has cores.
-
-    A large table already has more splits than cores and is left as it is
-    (no shuffle). A small one stored as a single row group would otherwise
-    run every later per-row step (JSON building and parsing) in one task.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:       # no RDD view (e.g. a Spark Connect session)
-        return df
-    if splits >= target:
-        return df
-    return df.repartition(target, *keys)
-
-
 def order_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order x customer x nation x region rows a lead is made from."""
-    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    # Dealt to all cores, at every size: the per-row steps that follow (building
+    # and parsing JSON) cost far more than this shuffle of a few columns.
+    orders = table(spark, sf_dir, "orders").repartition(
+        spark.sparkContext.defaultParallelism, "o_orderkey")
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")

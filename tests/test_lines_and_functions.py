@@ -1,6 +1,7 @@
 """Lines (P5-P7), date helpers (X1-X4) and the OneID payload."""
 
 import datetime as dt
+import json
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import messages
 
 from leadpulse.functions.dates import date_prefix, ms_to_next_midnight
-from leadpulse.functions.text import is_blank, unquote_csv_json
+from leadpulse.functions.text import unquote_csv_json
 from leadpulse.operators.lines import from_line, line_of
 from leadpulse.operators.oneid import oneid_payload, parse_reply
 from leadpulse.operators.parse import parse_leads
@@ -17,8 +18,13 @@ from leadpulse.schema import LEAD_FIELDS, TEXT_FIELDS
 
 
 def test_java_style_blank(spark):
-    df = spark.createDataFrame([("\t ",), (" x",), ("",), (None,)], "s string")
-    assert [r[0] for r in df.select(is_blank(F.col("s"))).collect()] == [True, False, True, True]
+    texts = ["\t ", " x", "", "\n", "\u2028", "\u0085", " \u00a0", "x\n"]
+    rows = [(json.dumps({"leadId": str(i), "vfrom1": t}),) for i, t in enumerate(texts)]
+    leads = parse_leads(spark.createDataFrame(rows, "value string")).collect()
+    got = {int(r["leadId"]): r["vfrom1"] for r in leads}
+    # What a trim of characters up to U+0020 empties is blank; all else stays.
+    assert got == {i: t if t.strip("".join(map(chr, range(33)))) else None
+                   for i, t in enumerate(texts)}
 
 
 def test_unquote_order(spark):
@@ -27,11 +33,13 @@ def test_unquote_order(spark):
 
 
 def test_date_prefix_and_payload(spark):
-    df = spark.createDataFrame([("2019-11-21 20:27:00.000000",), ("bad",), (None,)], "c string")
+    df = spark.createDataFrame([("2019-11-21 20:27:00.000000",), ("bad",), (None,),
+                                ("2019-1-5 10:00:00",), ("2019-02-30 1:00",)], "c string")
     rows = df.select(date_prefix(F.col("c")).alias("d"), oneid_payload(F.col("c")).alias("p")).collect()
     assert rows[0]["d"] == dt.date(2019, 11, 21)
     assert rows[0]["p"] == '{"createTime":1574294400000}'
     assert rows[1]["p"] is None and rows[2]["p"] is None
+    assert rows[3]["d"] == dt.date(2019, 1, 5) and rows[4]["d"] is None
 
 
 def test_reply_keeps_data_as_json_text(spark):

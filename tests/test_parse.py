@@ -39,6 +39,17 @@ def test_blank_is_null_but_spaces_are_kept(spark):
     assert r["dealerName"] == " x "
 
 
+def test_odd_flags_and_quotes(spark):
+    for text, want in {'" true "': True, '"True"': True, "1": True, "-2": True, "0": False,
+                       '" False"': False, '"  "': None}.items():
+        message = f'{{"leadId":"A","newLeadHQ":{text}}}'
+        assert reason(spark, message) is None and one(spark, message)["newLeadHQ"] is want
+    for text in ('"TRUE"', '"t"', "1.5", '"yes"'):
+        assert reason(spark, f'{{"newLeadHQ":{text}}}') == "bad_flag"
+    assert reason(spark, "{'leadId':'A'}") == "malformed"
+    assert one(spark, '{"vfrom1":{"a":1}}')["vfrom1"] == '{"a":1}'
+
+
 def test_flags(spark):
     assert one(spark, '{"newLeadHQ":true}')["newLeadHQ"] is True
     assert one(spark, '{"newLeadHQ":"false"}')["newLeadHQ"] is False
