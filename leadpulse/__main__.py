@@ -7,7 +7,8 @@
 ``stream`` starts the raw, counters and dimension queries on one source (each
 with its own checkpoint under ``--out/_checkpoints``) and waits for them;
 ``backfill`` loads a message table (parquet with ``value`` and ``ingest_ts``)
-in batch into the same result tables.
+in batch into the same result tables. Another part of the history needs
+another ``--name``.
 """
 
 from __future__ import annotations
@@ -31,7 +32,13 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--out", required=True, help="base folder of the outputs")
     s.add_argument("--trigger-seconds", type=int, default=59)
     s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
-    s.add_argument("--watermark", default="1 day", help="'none' keeps every day's state")
+    s.add_argument("--watermark", default="none",
+                   help="for example '30 days': forget older days and drop their late leads; "
+                        "'none' (default) counts every lead")
+    s.add_argument("--max-offsets-per-trigger", type=int, default=None,
+                   help="Kafka records a micro-batch may read")
+    s.add_argument("--max-files-per-trigger", type=int, default=None,
+                   help="files a micro-batch may read")
     s.add_argument("--clock", choices=("record", "processing"), default="record")
     s.add_argument("--state-partitions", type=int, default=None,
                    help="state store partitions of a new checkpoint")
@@ -43,6 +50,8 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--messages", required=True, help="parquet with value, ingest_ts")
     b.add_argument("--out", required=True)
     b.add_argument("--outputs", default="quarantine,counters,dims,outbox,archive")
+    b.add_argument("--name", default="backfill",
+                   help="writer name; the same name replaces its earlier rows")
     b.add_argument("--producer-aliases", action="store_true")
     for q in (s, b):
         q.add_argument("--master", default=None)
@@ -56,7 +65,7 @@ def run(argv: list[str] | None = None, spark=None):
     parse_options = {"aliases": PRODUCER_ALIASES} if args.producer_aliases else {}
     if args.command == "backfill":
         from leadpulse.plans.backfill import Backfill
-        Backfill(args.out).run(spark.read.parquet(args.messages),
+        Backfill(args.out, args.name).run(spark.read.parquet(args.messages),
                                [o for o in args.outputs.split(",") if o], **parse_options)
         return None
     from leadpulse.sources.stream import file_leads, kafka_leads
@@ -64,9 +73,10 @@ def run(argv: list[str] | None = None, spark=None):
     if args.kafka:
         if not args.topic:
             raise SystemExit("--topic is required with --kafka")
-        messages = kafka_leads(spark, args.kafka, args.topic, args.starting_offsets, clock=args.clock)
+        messages = kafka_leads(spark, args.kafka, args.topic, args.starting_offsets, clock=args.clock,
+                               max_offsets_per_trigger=args.max_offsets_per_trigger)
     else:
-        messages = file_leads(spark, args.files, clock=args.clock)
+        messages = file_leads(spark, args.files, args.max_files_per_trigger, args.clock)
     trigger = ({"availableNow": True} if args.available_now
                else {"processingTime": f"{args.trigger_seconds} seconds"})
     watermark = None if args.watermark.lower() == "none" else args.watermark

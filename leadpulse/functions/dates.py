@@ -46,5 +46,19 @@ def ms_to_next_midnight(ts: Column) -> Column:
 
 
 def epoch_millis_of_day(d: Column) -> Column:
-    """Epoch milliseconds of UTC midnight at the start of date ``d``."""
-    return F.unix_date(d).cast("bigint") * F.lit(86_400_000)
+    """Epoch milliseconds of the session time zone's midnight at the start of date ``d``."""
+    return F.unix_millis(d.cast("timestamp"))
+
+
+def local_clock(ts: Column) -> Column:
+    """The session zone's wall clock at ``ts``, as an instant that reads the same in UTC.
+
+    Windows are cut at UTC midnight; on this column they are local days in any
+    zone, also in one that moves its clocks.
+    """
+    return F.from_utc_timestamp(ts, F.current_timezone())
+
+
+def window_day(start: Column) -> Column:
+    """The local day of a one-day window over :func:`local_clock`."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(start) / F.lit(86_400)).cast("int"))

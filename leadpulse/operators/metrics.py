@@ -109,8 +109,14 @@ def dim_latest(daily: DataFrame) -> DataFrame:
     ``lead_cnt`` is the count of the latest day; ``lz_date`` stays the day
     the key was first inserted, since updates never touch it.
     """
+    return dim_span(daily).drop("last_day")
+
+
+def dim_span(daily: DataFrame) -> DataFrame:
+    """:func:`dim_latest` with ``last_day``, the day that ``lead_cnt`` belongs to."""
     return daily.groupBy(*DIM_COLUMNS).agg(
         F.min("lz_date").alias("lz_date"),
+        F.max("lz_date").alias("last_day"),
         F.max_by("lead_cnt", "lz_date").alias("lead_cnt"),
     )
 
@@ -125,9 +131,5 @@ def expire(daily: DataFrame, ttl_days: int, now: Column | _dt.date | None = None
         now = F.current_date()
     elif not isinstance(now, Column):
         now = F.lit(now)
-    latest = daily.groupBy(*DIM_COLUMNS).agg(
-        F.max("lz_date").alias("last_day"),
-        F.max_by("lead_cnt", "lz_date").alias("lead_cnt"),
-    )
-    return (latest.filter(F.col("last_day") > F.date_sub(now, ttl_days))
+    return (dim_span(daily).filter(F.col("last_day") > F.date_sub(now, ttl_days))
             .select(*DIM_COLUMNS, "lead_cnt"))

@@ -4,7 +4,7 @@ The reference posts one message per lead to an identity service. Here the
 messages become rows of an outbox table that a delivery job can send; the
 payload is the JSON the service receives: every identity field is NULL (and
 so left out) and ``createTime`` is the lead's creation date as epoch
-milliseconds.
+milliseconds of midnight in the session time zone.
 """
 
 from __future__ import annotations

@@ -4,8 +4,9 @@ One ``from_json`` per message (kept under a one-row ``explode`` so that
 Catalyst cannot copy it into pushed-down filters) with every field STRING; the typed
 columns are derived from it with built-in expressions, so the whole parse
 stays in the JVM. A message is bad when it is empty (NULL struct), is not a
-JSON object (corrupt-record column set), or carries a flag that is neither
-blank nor a boolean. Single-quoted JSON is malformed; an object in a text field
+JSON object (corrupt-record column set), carries a flag that is neither
+blank nor a boolean, or has no ``ingest_ts`` where the input has that column (it
+belongs to no day). Single-quoted JSON is malformed; an object in a text field
 is kept as its JSON text.
 """
 
@@ -78,7 +79,9 @@ def parse_messages(df: DataFrame, value_col: str = "value",
     reason = (f"CASE WHEN `{_PARSED}` IS NULL THEN 'empty'"
               f" WHEN {field(CORRUPT_COLUMN)} IS NOT NULL THEN 'malformed'"
               f" WHEN {bad_flag_sql(field(FLAG_FIELDS[0]), blank, flags)}"
-              f" OR {bad_flag_sql(field(FLAG_FIELDS[1]), blank, flags)} THEN 'bad_flag' END AS `{REASON}`")
+              f" OR {bad_flag_sql(field(FLAG_FIELDS[1]), blank, flags)} THEN 'bad_flag'"
+              + (" WHEN ingest_ts IS NULL THEN 'no_time'" if "ingest_ts" in df.columns else "")
+              + f" END AS `{REASON}`")
     kept = [f"`{c}`" for c in df.columns if c not in LEAD_FIELDS]
     return with_struct.selectExpr(*kept, *typed, reason)
 

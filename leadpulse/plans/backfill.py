@@ -1,9 +1,9 @@
 """Backfill: the streaming outputs computed in batch from a message table.
 
-Old messages replayed through a watermarked stream would be dropped as late,
-so history is loaded with the batch functions instead; they are the same
-functions the streams use, and the result tables are the same snapshot
-tables, so a stream can continue where the backfill stopped.
+History is loaded with the functions the streams use, into the same tables.
+A backfill is one writer of them (see :mod:`leadpulse.sinks.runs`): its counts
+add to a stream's, also within one day, and the same messages loaded again
+under the same name replace the rows of the first time.
 
 The messages are parsed once into a written table of typed leads (flat
 parquet: every output reads all of it, so partitions would only multiply
@@ -20,19 +20,21 @@ from pyspark.sql import functions as F
 
 from leadpulse.operators import metrics
 from leadpulse.operators.oneid import oneid_outbox
-from leadpulse.operators.parse import REASON, parse_messages, split_good
+from leadpulse.operators.parse import REASON, parse_messages, split_good, split_quarantine
 from leadpulse.sinks.archive import write_archive
+from leadpulse.sinks.runs import run_name, write_run
 from leadpulse.streaming.jobs import CounterSink, DimSink
 
 OUTPUTS = ("quarantine", "counters", "dims", "outbox", "archive")
 
 
 class Backfill:
-    """Paths of one backfill under ``base``."""
+    """One named load under ``base``; other messages need another ``name``."""
 
-    def __init__(self, base: str):
-        self.base = base
-        self.parsed = f"{base}/parsed_leads"
+    def __init__(self, base: str, name: str = "backfill"):
+        self.name = name
+        self.run_name = run_name(name, 0)
+        self.parsed = f"{base}/parsed_leads/{name}"
         self.quarantine = f"{base}/quarantine"
         self.outbox = f"{base}/oneid_outbox"
         self.archive = f"{base}/archive"
@@ -54,17 +56,17 @@ class Backfill:
         # The raw text is kept only for the messages set aside.
         raw_if_bad = F.when(F.col(REASON).isNotNull(), F.col("value"))
         parsed.withColumn("value", raw_if_bad).write.mode("overwrite").parquet(self.parsed)
-        table = spark.read.parquet(self.parsed)
         good = self.leads(spark)
         if "quarantine" in outputs:
-            (table.filter(F.col(REASON).isNotNull())
-             .select("value", "ingest_ts", F.col(REASON).alias("reason"))
-             .write.mode("overwrite").parquet(self.quarantine))
+            write_run(split_quarantine(spark.read.parquet(self.parsed)), self.quarantine,
+                      self.run_name)
         if "counters" in outputs:
-            self.counters.table.merge(metrics.day_counters(good))
+            self.counters.merge(metrics.day_counters(good), self.name, 0)
         if "dims" in outputs:
-            self.dims.daily.merge(metrics.dim_daily(good))
+            daily = f"{self.parsed}_daily"  # written once for the two tables made of it
+            metrics.dim_daily(good).write.mode("overwrite").parquet(daily)
+            self.dims.merge(spark.read.parquet(daily), self.name, 0)
         if "outbox" in outputs:
-            oneid_outbox(good, "day").write.mode("overwrite").parquet(self.outbox)
+            write_run(oneid_outbox(good, "day"), self.outbox, self.run_name)
         if "archive" in outputs:
-            write_archive(good, self.archive)
+            write_archive(good, self.archive, self.run_name)

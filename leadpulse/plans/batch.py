@@ -51,6 +51,21 @@ def q_line_fields(spark, sf_dir):
                     lines.line_field(line, "newLeadDealer").alias("newleaddealer")))
 
 
+def q_parse_dirty(spark, sf_dir):
+    """Odd flags, dates, blanks and separators, read as the reference binds them."""
+    return leads(spark, sf_dir, "dirty").select(*LEAD_FIELDS)
+
+
+def q_quarantine_dirty(spark, sf_dir):
+    """All four reasons for which a message is set aside."""
+    bad = quarantine(lead_messages(spark, sf_dir, "dirty"))
+    return bad.select(json_string_field(F.col("value"), "leadId").alias("leadid"), "reason")
+
+
+def q_oneid_dirty(spark, sf_dir):
+    return oneid.oneid_outbox(leads(spark, sf_dir, "dirty"))
+
+
 def q_missing_line(spark, sf_dir):
     """Placeholder line (P6) for every message that could not be read."""
     bad = quarantine(lead_messages(spark, sf_dir, "truncated"))
@@ -137,6 +152,9 @@ BATCH_QUERIES = {
     "parse_leads": q_parse_leads,
     "lead_lines": q_lead_lines,
     "line_fields": q_line_fields,
+    "parse_dirty": q_parse_dirty,
+    "quarantine_dirty": q_quarantine_dirty,
+    "oneid_dirty": q_oneid_dirty,
     "missing_line": q_missing_line,
     "lead_total_daily": q_lead_total_daily,
     "lead_hq_daily": q_lead_hq_daily,

@@ -6,7 +6,7 @@ written straight from the driver tables over the raw order join.
 
 from __future__ import annotations
 
-_ORDER_JOIN = """
+ORDER_JOIN = """
   orders join customer on o_custkey = c_custkey
   join nation on c_nationkey = n_nationkey
   join region on n_regionkey = r_regionkey"""
@@ -26,7 +26,7 @@ LEAD_VIEW = f"""L as (
   o_orderstatus as vfrom3, c_mktsegment as vfrom4,
   case o_orderkey % 5 when 0 then true when 1 then false when 2 then false end as newLeadHQ,
   case o_orderkey % 3 when 0 then true when 1 then false end as newLeadDealer
- from {_ORDER_JOIN})"""
+ from {ORDER_JOIN})"""
 
 _FIELDS = ("leadId, createTime, dealerId, dealerName, countyCode, countyName, cityCode, "
            "cityName, provinceCode, provinceName, regionCode, regionName, seriesCode, "
@@ -49,6 +49,24 @@ _LINE = ("concat_ws(';', " + ", ".join(
 _PAYLOAD = ("'{\"createTime\":' || epoch_ms(cast(cast(substr(createTime, 1, 10) as date) as timestamp))"
             " || '}'")
 
+# The ``dirty`` fixture: its good leads, and the messages set aside.
+_FORM = "cast(leadId as bigint) % 23"
+_DIRTY_FIELDS = (_FIELDS
+    .replace("createTime", f"case {_FORM} when 7 then '2019-1-5 10:00:00' when 8 then 'soon'"
+                           " else createTime end as createTime")
+    .replace("dealerName", f"case {_FORM} when 6 then 'a;b' else dealerName end as dealerName")
+    .replace("vfrom2", f"case {_FORM} when 9 then chr(8232) when 10 then null"
+                       " else vfrom2 end as vfrom2")
+    .replace("newLeadDealer", f"case when {_FORM} in (1, 2, 3) then true when {_FORM} = 4 then false"
+                              " else newLeadDealer end as newLeadDealer"))
+_DIRTY_LEADS = f"select {_DIRTY_FIELDS} from L where {_FORM} not in (0, 5, 11, 12)"
+_DIRTY_BAD = ("select case when o_orderkey % 23 = 0 then '' else cast(o_orderkey as varchar) end as leadid,"
+              " case o_orderkey % 23 when 0 then 'empty' when 5 then 'bad_flag' when 11 then 'no_time'"
+              f" else 'malformed' end as reason from {ORDER_JOIN} where o_orderkey % 23 in (0, 5, 11, 12)")
+
+# The archive's lines under their day.
+LINES_SQL = f"select strftime(day, '%Y-%m-%d') as dt, {_LINE} as line from L"
+
 _MISSING = "'" + ";".join(["\\N"] * 20) + "'"
 
 
@@ -62,8 +80,14 @@ ORACLE_SQL = {
     "line_fields": with_ctes(LEAD_VIEW) + (
         "select leadId as leadid, regionCode as regioncode, vfrom2,"
         " cast(newLeadDealer as varchar) as newleaddealer from L"),
+    "parse_dirty": with_ctes(LEAD_VIEW) + _DIRTY_LEADS,
+    "quarantine_dirty": _DIRTY_BAD,
+    "oneid_dirty": with_ctes(LEAD_VIEW, f"D as ({_DIRTY_LEADS})") + (
+        "select leadId as leadid, '{\"createTime\":' || epoch_ms(cast(case when createTime like '2019-1-5%'"
+        " then date '2019-01-05' else cast(substr(createTime, 1, 10) as date) end as timestamp)) || '}'"
+        " as payload from D where createTime <> 'soon'"),
     "missing_line": (f"select cast(o_orderkey as varchar) as leadid, {_MISSING} as line"
-                     f" from {_ORDER_JOIN} where o_orderkey % 19 = 0"),
+                     f" from {ORDER_JOIN} where o_orderkey % 19 = 0"),
     "lead_total_daily": with_ctes(LEAD_VIEW) + "select day as clue_dt, count(*) as clue_amounts from L group by day",
     "lead_hq_daily": with_ctes(LEAD_VIEW) + (
         "select day as clue_hq_dt, count(*) as clue_hq_amounts from L where newLeadHQ group by day"),
@@ -83,7 +107,7 @@ ORACLE_SQL = {
         f"select 200 as code, 'success' as status, leadId as msg, {_PAYLOAD} as data from L"),
     "csv_unquote": with_ctes(LEAD_VIEW) + "select leadId as leadid from L",
     "quarantine": (f"select cast(o_orderkey as varchar) as leadid, 'malformed' as reason"
-                   f" from {_ORDER_JOIN} where o_orderkey % 19 = 0"),
+                   f" from {ORDER_JOIN} where o_orderkey % 19 = 0"),
     "upsert_totals": with_ctes(
         LEAD_VIEW,
         "old as (select day as clue_dt, count(*) as clue_amounts from L"

@@ -15,11 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadpulse.functions.text import json_string_field
+from leadpulse.operators import metrics
+from leadpulse.operators.parse import parse_leads
 from leadpulse.plans.backfill import Backfill
-from leadpulse.plans.batch import leads
-from leadpulse.plans.oracle import ORACLE_SQL, LEAD_VIEW, with_ctes
+from leadpulse.plans.batch import leads, written
+from leadpulse.plans.oracle import LEAD_VIEW, LINES_SQL, ORACLE_SQL, ORDER_JOIN, with_ctes
 from leadpulse.session import scratch_dir
-from leadpulse.sinks.archive import archive_counts, read_archive, write_archive
+from leadpulse.sinks.archive import LEGACY_SUFFIX, archive_counts, read_archive, write_archive
+from leadpulse.sinks.runs import run_name
 from leadpulse.sources.fixtures import SLICE_CUTS, in_slice, lead_messages, slice_bounds
 from leadpulse.sources.stream import file_leads, write_envelopes
 from leadpulse.streaming import jobs
@@ -35,13 +38,20 @@ def state_partitions(spark: SparkSession) -> int:
 
 def replay(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame, str], object],
            variant: str = "clean", reverse: bool = False, name: str = "stream",
-           cuts=SLICE_CUTS):
-    """Feed the fixture slices one run at a time; returns (base, progress)."""
+           cuts=SLICE_CUTS, messages: DataFrame | None = None,
+           session: SparkSession | None = None):
+    """Feed the fixture slices one run at a time; returns (base, progress).
+
+    Each run is one batch, so its progress reports are all still there.
+    ``messages`` replaces the fixture of ``variant``; ``session`` runs the stream.
+    """
     base = scratch_dir(spark, name)
     source = f"{base}/input"
     # Build the messages once; each slice is then a pushed-down filter on
     # the written table instead of a rebuild of the joins and the JSON.
-    lead_messages(spark, sf_dir, variant).write.parquet(f"{base}/messages")
+    if messages is None:
+        messages = lead_messages(spark, sf_dir, variant)
+    messages.write.parquet(f"{base}/messages")
     messages = spark.read.parquet(f"{base}/messages")
     bounds = slice_bounds(tuple(cuts))
     if reverse:
@@ -49,44 +59,45 @@ def replay(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame, str], obj
     progress = []
     for b in bounds:
         write_envelopes(messages.filter(in_slice("ingest_ts", b)), source)
-        query = run(file_leads(spark, source), base)
+        query = run(file_leads(session or spark, source), base)
         query.awaitTermination()
         progress.extend(query.recentProgress)
     return base, progress
 
 
-def _counters(spark, sf_dir, reverse=False, name="counters"):
+def _counters(spark, sf_dir, watermark=None, base=None, **options):
+    """Run the counters job; ``base`` is the output folder of other writers' tables."""
     sinks = {}
 
-    def run(src, base):
-        sinks.setdefault("sink", jobs.CounterSink(base))
-        return jobs.start(jobs.counters_stream(src), sinks["sink"], f"{base}/_ckpt", ONCE,
+    def run(src, own):
+        sinks.setdefault("sink", jobs.CounterSink(base or own))
+        return jobs.start(jobs.counters_stream(src, watermark), sinks["sink"], f"{own}/_ckpt", ONCE,
                           state_partitions=state_partitions(spark))
 
-    base, progress = replay(spark, sf_dir, run, reverse=reverse, name=name)
+    _, progress = replay(spark, sf_dir, run, **{"name": "counters", **options})
     return sinks["sink"], progress
 
 
-def _dims(spark, sf_dir):
+def _dims(spark, sf_dir, base=None, **options):
     sinks = {}
 
-    def run(src, base):
-        sinks.setdefault("sink", jobs.DimSink(base))
-        return jobs.start(jobs.dims_stream(src), sinks["sink"], f"{base}/_ckpt", ONCE,
+    def run(src, own):
+        sinks.setdefault("sink", jobs.DimSink(base or own))
+        return jobs.start(jobs.dims_stream(src), sinks["sink"], f"{own}/_ckpt", ONCE,
                           state_partitions=state_partitions(spark))
 
-    replay(spark, sf_dir, run, name="dims")
+    replay(spark, sf_dir, run, **{"name": "dims", **options})
     return sinks["sink"]
 
 
-def _raw(spark, sf_dir, variant, outputs=jobs.RAW_OUTPUTS):
+def _raw(spark, sf_dir, variant="clean", outputs=jobs.RAW_OUTPUTS, base=None, **options):
     sinks = {}
 
-    def run(src, base):
-        sinks.setdefault("sink", jobs.RawSink(base, outputs=outputs))
-        return jobs.start(src, sinks["sink"], f"{base}/_ckpt", ONCE, output_mode="append")
+    def run(src, own):
+        sinks.setdefault("sink", jobs.RawSink(base or own, outputs=outputs))
+        return jobs.start(src, sinks["sink"], f"{own}/_ckpt", ONCE, output_mode="append")
 
-    replay(spark, sf_dir, run, variant=variant, name="raw")
+    replay(spark, sf_dir, run, variant=variant, **{"name": "raw", **options})
     return sinks["sink"]
 
 
@@ -108,7 +119,7 @@ def q_stream_counters(spark, sf_dir):
 
 def q_stream_late_totals(spark, sf_dir):
     """Slices fed newest first: rows behind the watermark are dropped."""
-    sink, _ = _counters(spark, sf_dir, reverse=True, name="late")
+    sink, _ = _counters(spark, sf_dir, watermark=jobs.DAY, reverse=True, name="late")
     return sink.views(spark)["total"]
 
 
@@ -163,14 +174,129 @@ def q_backfill_quarantine(spark, sf_dir):
 
 
 def q_archive_readback(spark, sf_dir):
-    """Batch archive write (K1), read back with counts per day."""
+    """Batch archive write (K1), read back line by line."""
     path = scratch_dir(spark, "archive")
-    write_archive(leads(spark, sf_dir), path)
-    return archive_counts(read_archive(spark, path))
+    write_archive(leads(spark, sf_dir), path, run_name("backfill", 0))
+    return read_archive(spark, path).select("dt", F.col("value").alias("line"))
+
+
+def q_archive_options(spark, sf_dir):
+    """One gzip file per folder and write (K2, K3), lines with the key's suffix (K4).
+
+    Folders are months here.
+    """
+    path = scratch_dir(spark, "archive-options")
+    monthly = leads(spark, sf_dir).withColumn("month", F.trunc("day", "month"))
+    write_archive(monthly, path, run_name("backfill", 0), dt_col="month", compression="gzip",
+                  single_file=True, legacy_suffix=True)
+    lines = spark.read.text(path).select("dt", "value", F.col("_metadata.file_path").alias("file"))
+    return lines.groupBy("dt").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_distinct("file").alias("files"),
+        F.count_if(F.col("file").endswith(".gz")).alias("in_gzip"),
+        F.count_if(F.col("value").endswith(LEGACY_SUFFIX)).alias("with_suffix"))
+
+
+def _history_then_stream(spark, sf_dir, outputs):
+    """History by a backfill, run twice, and the rest by streams into the same tables.
+
+    The days of 1997 are cut inside: even order keys are history.
+    """
+    base = scratch_dir(spark, "mixed")
+    lead_messages(spark, sf_dir, with_key=True).write.parquet(f"{base}/all")
+    every = spark.read.parquet(f"{base}/all")
+    old = ((F.col("ingest_ts") < "1997-01-01")
+           | ((F.col("ingest_ts") < "1998-01-01") & (F.col("o_orderkey") % 2 == 0)))
+    columns = ("value", "ingest_ts")
+    job = Backfill(base)
+    for _ in range(2):
+        job.run(every.filter(old).select(*columns), outputs)
+    return base, every.filter(~old).select(*columns)
+
+
+def q_backfill_then_stream_counters(spark, sf_dir):
+    """The stream's tables are also compacted once."""
+    base, rest = _history_then_stream(spark, sf_dir, ["counters"])
+    sink, _ = _counters(spark, sf_dir, base=base, messages=rest)
+    sink.table.compact(spark)
+    return sink.table.read(spark)
+
+
+def q_backfill_then_stream_outbox(spark, sf_dir):
+    base, rest = _history_then_stream(spark, sf_dir, ["outbox"])
+    sink = _raw(spark, sf_dir, outputs=("outbox",), base=base, messages=rest)
+    return spark.read.parquet(sink.outbox).select("leadid", "payload")
+
+
+def q_dim_merge(spark, sf_dir):
+    """The latest count per dimension (K6), merged from slices that arrive newest
+    first, after a backfill of the history."""
+    base, rest = _history_then_stream(spark, sf_dir, ["dims"])
+    sink = _dims(spark, sf_dir, base=base, messages=rest, reverse=True)
+    return sink.newest.read(spark)
+
+
+def q_audit_columns(spark, sf_dir):
+    """K8: over two merges ``create_time`` stays and ``update_time`` moves on.
+
+    The second merge holds the days from the last cut on.
+    """
+    table = jobs.CounterSink(scratch_dir(spark, "audit")).table
+    days = written(spark, metrics.day_counters(leads(spark, sf_dir)), "days")
+    table.merge(days, "audit", 0)
+    first = table.read(spark, audit=True).select("day", F.col("create_time").alias("created"),
+                                                 F.col("update_time").alias("updated"))
+    first = written(spark, first, "audit-first")
+    table.merge(days.filter(F.col("day") >= SLICE_CUTS[-1]), "audit", 1)
+    return (table.read(spark, audit=True).join(first, "day")
+            .select("day", (F.col("create_time") == F.col("created")).alias("create_kept"),
+                    (F.col("update_time") > F.col("updated")).alias("update_moved")))
+
+
+def q_batch_ledger(spark, sf_dir):
+    """Messages, leads and messages set aside of each batch."""
+    sink = _raw(spark, sf_dir, "truncated", outputs=("batches",))
+    return spark.read.parquet(sink.batches).select("batch", "messages", "leads", "set_aside")
+
+
+# A zone that is not UTC; lead times are spread over the hours of a day.
+ZONE = "Asia/Shanghai"
+
+
+def _in_zone(spark, sf_dir):
+    """A session in :data:`ZONE`, and the messages as written by the UTC session."""
+    hours = F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+    messages = (lead_messages(spark, sf_dir, with_key=True)
+                .select("value", (F.col("ingest_ts") + hours).alias("ingest_ts")))
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", ZONE)
+    return session, messages
+
+
+def q_lead_counters_zone(spark, sf_dir):
+    """Batch day counters of a session off UTC."""
+    session, messages = _in_zone(spark, sf_dir)
+    path = scratch_dir(spark, "zone")
+    messages.write.parquet(path)
+    return metrics.day_counters(parse_leads(session.read.parquet(path)))
+
+
+def q_stream_counters_zone(spark, sf_dir):
+    """The same from a stream of that session."""
+    session, messages = _in_zone(spark, sf_dir)
+    sink, _ = _counters(spark, sf_dir, messages=messages, session=session, name="zone")
+    return sink.table.read(session)
 
 
 STREAM_QUERIES = {
     "archive_readback": q_archive_readback,
+    "archive_options": q_archive_options,
+    "backfill_then_stream_counters": q_backfill_then_stream_counters,
+    "backfill_then_stream_outbox": q_backfill_then_stream_outbox,
+    "dim_merge": q_dim_merge,
+    "audit_columns": q_audit_columns,
+    "batch_ledger": q_batch_ledger,
+    "lead_counters_zone": q_lead_counters_zone,
+    "stream_counters_zone": q_stream_counters_zone,
     "stream_totals": q_stream_totals,
     "stream_counters": q_stream_counters,
     "stream_late_totals": q_stream_late_totals,
@@ -187,8 +313,28 @@ STREAM_QUERIES = {
 
 _ARCHIVE_SQL = with_ctes(LEAD_VIEW) + "select day as dt, count(*) as lines from L group by day"
 
+_ZONE_SQL = with_ctes(LEAD_VIEW) + (
+    "select cast(day + to_hours(cast(leadId as bigint) % 24 + 8) as date) as day, count(*) as total,"
+    " count(*) filter (where newLeadHQ) as hq, count(*) filter (where newLeadDealer) as dealer"
+    " from L group by 1")
+
 STREAM_ORACLE_SQL = {
-    "archive_readback": _ARCHIVE_SQL,
+    "archive_readback": with_ctes(LEAD_VIEW, f"lines as ({LINES_SQL})") + "select dt, line from lines",
+    "archive_options": with_ctes(LEAD_VIEW) + (
+        "select strftime(date_trunc('month', day), '%Y-%m-%d') as dt, count(*) as lines, 1 as files,"
+        " count(*) as in_gzip, count(*) as with_suffix from L group by 1"),
+    "backfill_then_stream_counters": ORACLE_SQL["lead_counters_daily"],
+    "backfill_then_stream_outbox": ORACLE_SQL["oneid_outbox"],
+    "dim_merge": ORACLE_SQL["lead_dim_latest"].replace(
+        "min(lz_date) as lz_date,", "min(lz_date) as lz_date, max(lz_date) as last_day,"),
+    "audit_columns": with_ctes(LEAD_VIEW) + (
+        f"select distinct day, true as create_kept, day >= date '{SLICE_CUTS[-1]}' as update_moved from L"),
+    "batch_ledger": (
+        f"select (o_orderdate >= date '{SLICE_CUTS[0]}')::bigint + (o_orderdate >= date '{SLICE_CUTS[1]}')::bigint"
+        " as batch, count(*) as messages, count(*) filter (where o_orderkey % 19 <> 0) as leads,"
+        f" count(*) filter (where o_orderkey % 19 = 0) as set_aside from {ORDER_JOIN} group by 1"),
+    "lead_counters_zone": _ZONE_SQL,
+    "stream_counters_zone": _ZONE_SQL,
     "stream_totals": ORACLE_SQL["lead_total_daily"],
     "stream_counters": with_ctes(LEAD_VIEW) + (
         "select 'total' as counter, day as clue_dt, count(*) as amount from L group by day"

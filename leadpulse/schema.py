@@ -34,12 +34,6 @@ LEAD_SCHEMA = T.StructType(
     + [T.StructField(CORRUPT_COLUMN, T.StringType())]
 )
 
-# The typed lead after parsing.
-TYPED_LEAD_SCHEMA = T.StructType(
-    [T.StructField(name, T.StringType()) for name in TEXT_FIELDS]
-    + [T.StructField(name, T.BooleanType()) for name in FLAG_FIELDS]
-)
-
 # Envelope of one message: the contract of every source.
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
@@ -63,9 +57,3 @@ REPLY_SCHEMA = T.StructType([
     T.StructField("msg", T.StringType()),
     T.StructField("data", T.StringType()),
 ])
-
-QUARANTINE_SCHEMA = T.StructType([
-    T.StructField("value", T.StringType()),
-    T.StructField("ingest_ts", T.TimestampType()),
-    T.StructField("reason", T.StringType()),
-])

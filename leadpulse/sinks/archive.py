@@ -1,11 +1,10 @@
 """Day-partitioned text archive of lead lines (K1-K4).
 
-``dt=yyyy-MM-dd/`` directories under a base path, one line per lead. Every
-write adds new files through Spark's commit protocol, so a retried task never
-duplicates a line; a stream writes under ``dt=/batch=<id>/`` with dynamic
-partition overwrite, so a replayed batch replaces its own files. Writers are
-parallel by default: no shuffle to one task, and a day holding most of the
-leads is written by every task that has some of its rows.
+``dt=yyyy-MM-dd/run=<writer>-<batch>/`` directories under a base path (see
+:mod:`leadpulse.sinks.runs`), one line per lead. Spark's commit protocol keeps
+a retried task from duplicating a line, and a replayed batch replaces its own
+files. Writers are parallel by default; a day that holds most of the leads is
+split over several tasks.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 
 from leadpulse.functions.dates import date_text
 from leadpulse.operators.lines import line_of
+from leadpulse.sinks.runs import write_run
 
 # --- fixed value: the archive's key/value separator and empty value ----------
 LEGACY_SUFFIX = "\t "
@@ -29,47 +29,28 @@ def archive_lines(leads: DataFrame, dt_col: str = "day", legacy_suffix: bool = F
     return leads.select(line.alias("value"), date_text(F.col(dt_col)).alias("dt"))
 
 
-def write_archive(leads: DataFrame, path: str, dt_col: str = "day",
+def write_archive(leads: DataFrame, path: str, run: str, dt_col: str = "day",
                   compression: str | None = None, single_file: bool = False,
-                  legacy_suffix: bool = False, batch_id: int | None = None,
-                  cluster_days: bool | None = None) -> None:
-    """Write lead lines under ``path/dt=.../``.
+                  legacy_suffix: bool = False) -> None:
+    """Write lead lines under ``path/dt=.../run=.../``.
 
+    ``run`` (:func:`leadpulse.sinks.runs.run_name`) names the write; writing it
+    again replaces its files.
     ``compression`` (for example ``"gzip"``) compresses the files (K3).
     ``single_file`` funnels each write through one task (K2): faithful to
     the reference, but it does not scale and is off by default.
-    ``batch_id`` makes the write replace that batch's earlier output.
 
-    ``cluster_days`` range-partitions the lines by day (and a hash of the
-    line, so one busy day still spreads over many tasks) before writing:
-    each task then holds a run of days and the archive gets about one file
-    per day and task boundary, instead of one per day in every task. It costs
-    a shuffle, so it is the default for batch writes (backfills span many
-    days) and off for stream batches (a micro-batch spans about a day).
+    The lines are rebalanced by day, so that a day's lines of one write lie in
+    few files; AQE merges small days and splits a busy one. One pass, no sampling.
     """
     out = archive_lines(leads, dt_col, legacy_suffix)
-    if cluster_days is None:
-        cluster_days = batch_id is None
-    if cluster_days and not single_file:
-        out = out.repartitionByRange(F.col("dt"), F.xxhash64("value"))
-    partitions = ["dt"]
-    mode = "append"
-    if batch_id is not None:
-        out = out.withColumn("batch", F.lit(int(batch_id)))
-        partitions.append("batch")
-        mode = "overwrite"
-    if single_file:
-        out = out.coalesce(1)
-    writer = (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-              .partitionBy(*partitions))
-    if compression:
-        writer = writer.option("compression", compression)
-    writer.text(path)
+    out = out.coalesce(1) if single_file else out.hint("rebalance", "dt")
+    options = {"compression": compression} if compression else {}
+    write_run(out, path, run, "dt", fmt="text", **options)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """``value, dt`` (plus ``batch`` for streamed archives); filters on
-    ``dt`` prune directories."""
+    """``value, dt, run``; filters on ``dt`` prune directories."""
     return spark.read.text(path)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from leadpulse.functions.dates import timestamp_text
 
-VARIANTS = ("clean", "truncated", "csv")
+VARIANTS = ("clean", "truncated", "csv", "dirty")
 
 # Day-aligned cuts of the streaming fixture: three slices in time order.
 SLICE_CUTS = ("1997-01-01", "1999-01-01")
@@ -104,7 +104,8 @@ def lead_messages(spark: SparkSession, sf_dir: str, variant: str = "clean",
     """Messages ``value, ingest_ts`` (plus ``o_orderkey`` if ``with_key``).
 
     ``truncated`` cuts the last five characters of every 19th message;
-    ``csv`` doubles every quote and wraps the text in quotes.
+    ``csv`` doubles every quote and wraps the text in quotes; ``dirty`` gives
+    the forms of :func:`dirty` by the order key modulo 23.
     """
     if variant not in VARIANTS:
         raise ValueError(f"variant must be one of {VARIANTS}")
@@ -115,8 +116,39 @@ def lead_messages(spark: SparkSession, sf_dir: str, variant: str = "clean",
                        F.expr("substring(value, 1, length(value) - 5)")).otherwise(value)
     elif variant == "csv":
         value = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+    ts = F.col("ingest_ts")
+    if variant == "dirty":
+        value, ts = dirty(value, ts)
     key = [F.col("o_orderkey")] if with_key else []
-    return messages.select(*key, value.alias("value"), "ingest_ts")
+    return messages.select(*key, value.alias("value"), ts.alias("ingest_ts"))
+
+
+def dirty(value, ts):
+    """Message text and time with odd but valid forms (flags, dates, blanks, a
+    separator in a value) and messages to set aside, by the order key modulo 23."""
+    form = F.col("o_orderkey") % 23
+
+    def put(name: str, text: str):
+        return F.regexp_replace(value, f'"{name}":"[^"]*"', f'"{name}":{text}')
+
+    odd = {
+        0: F.lit(""),                                          # empty
+        1: put("newLeadDealer", '" true "'),
+        2: put("newLeadDealer", '"True"'),
+        3: put("newLeadDealer", "1"),
+        4: put("newLeadDealer", "0"),
+        5: put("newLeadDealer", '"yes"'),                      # bad_flag
+        6: put("dealerName", '"a;b"'),
+        7: put("createTime", '"2019-1-5 10:00:00"'),
+        8: put("createTime", '"soon"'),                        # a lead without a date
+        9: put("vfrom2", '"\u2028"'),                          # no blank: beyond U+0020
+        10: put("vfrom2", r'"\\t"'),                           # a tab: blank
+        12: F.expr("substring(value, 1, length(value) - 5)"),  # malformed
+    }
+    text = value
+    for remainder, changed in odd.items():
+        text = F.when(form == remainder, changed).otherwise(text)
+    return text, F.when(form != 11, ts)                        # 11: no_time
 
 
 def slice_bounds(cuts=SLICE_CUTS) -> list[tuple[str | None, str | None]]:

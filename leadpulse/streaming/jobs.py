@@ -9,10 +9,14 @@
 Each has its own checkpoint: a stateful aggregation must run before
 ``foreachBatch``, so the three cannot share one query. The stateful ones run
 in update mode and emit absolute totals for the keys that changed; the sink
-upserts them, so a replayed batch leaves the tables as they were (the
-state store restores the same version and the values are not deltas).
-A watermark on ``ingest_ts`` bounds the state: windows older than the
-watermark are evicted and later rows for them are dropped.
+writes them as its run of the batch, so a replayed batch leaves the tables as
+they were (the state store restores the same version and the values are not
+deltas). A new checkpoint is a new writer whose totals add to the earlier ones:
+start it where the old one stopped.
+
+Every lead counts, however late, unless a ``watermark`` on ``ingest_ts`` is
+given: then days older than the watermark leave the state and later rows for
+them are dropped.
 """
 
 from __future__ import annotations
@@ -21,41 +25,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from leadpulse.functions.dates import local_clock, window_day
 from leadpulse.operators import metrics
 from leadpulse.operators.oneid import oneid_outbox
-from leadpulse.operators.parse import parse_leads, parse_messages, split_good, split_quarantine
+from leadpulse.operators.parse import (REASON, parse_leads, parse_messages, split_good,
+                                       split_quarantine)
 from leadpulse.schema import DIM_COLUMNS
 from leadpulse.sinks.archive import write_archive
-from leadpulse.sinks.snapshot import SnapshotTable
+from leadpulse.sinks.runs import run_name, write_run, writer_of
+from leadpulse.sinks.snapshot import LatestTable, SnapshotTable
 
 DAY = "1 day"
 # The reference's micro-batch interval.
 DEFAULT_TRIGGER = {"processingTime": "59 seconds"}
 
 
-def _windowed(good: DataFrame, watermark: str | None):
+def _by_day(good: DataFrame, watermark: str | None):
+    """``good`` with its local clock, and the one-day window over it."""
+    good = good.withColumn("_clock", local_clock(F.col("ingest_ts")))
     if watermark:
-        good = good.withWatermark("ingest_ts", watermark)
-    return good, F.window("ingest_ts", DAY).alias("w")
+        good = good.withWatermark("_clock", watermark)
+    return good, F.window("_clock", DAY).alias("w")
 
 
-def counters_stream(messages: DataFrame, watermark: str | None = DAY, **parse_options) -> DataFrame:
-    """``day, total, hq, dealer`` per one-day window, in one aggregation."""
-    good, window = _windowed(parse_leads(messages, **parse_options), watermark)
+def counters_stream(messages: DataFrame, watermark: str | None = None, **parse_options) -> DataFrame:
+    """``day, total, hq, dealer`` per day, in one aggregation."""
+    good, window = _by_day(parse_leads(messages, **parse_options), watermark)
     counted = good.groupBy(window).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(metrics.is_new_to_brand()).alias("hq"),
         F.count_if(metrics.is_new_to_dealer()).alias("dealer"),
     )
-    return counted.select(F.to_date(F.col("w.start")).alias("day"), "total", "hq", "dealer")
+    return counted.select(window_day(F.col("w.start")).alias("day"), "total", "hq", "dealer")
 
 
-def dims_stream(messages: DataFrame, watermark: str | None = DAY, **parse_options) -> DataFrame:
-    """``lz_date, <dims>, lead_cnt`` of the complete leads per one-day window."""
+def dims_stream(messages: DataFrame, watermark: str | None = None, **parse_options) -> DataFrame:
+    """``lz_date, <dims>, lead_cnt`` of the complete leads per day."""
     good = metrics.complete_leads(parse_leads(messages, **parse_options))
-    good, window = _windowed(good, watermark)
+    good, window = _by_day(good, watermark)
     counted = good.groupBy(window, *metrics.dim_columns()).agg(F.count(F.lit(1)).alias("lead_cnt"))
-    return counted.select(F.to_date(F.col("w.start")).alias("lz_date"), *DIM_COLUMNS, "lead_cnt")
+    return counted.select(window_day(F.col("w.start")).alias("lz_date"), *DIM_COLUMNS, "lead_cnt")
 
 
 class _PersistedBatch:
@@ -75,50 +84,61 @@ class CounterSink:
     """foreachBatch sink of :func:`counters_stream` (K5).
 
     The three day tables (total, new to brand, new to dealer) come from one
-    aggregation row per day, so they are kept as one table (one upsert per
+    aggregation row per day, so they are kept as one table (one merge per
     batch) and served as three views; a zero count gives no row, as in the
     reference's tables.
     """
 
     def __init__(self, base: str):
-        self.table = SnapshotTable(f"{base}/day_counters", ["day"], "day")
+        self.table = SnapshotTable(f"{base}/day_counters", ["day"], ["total", "hq", "dealer"])
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with _PersistedBatch(batch) as rows:
             if rows.isEmpty():          # F4: nothing to write
                 return
-            self.table.merge(rows)
+            self.merge(rows, writer_of(batch.sparkSession), batch_id)
+
+    def merge(self, rows: DataFrame, writer: str, batch_id: int) -> None:
+        self.table.merge(rows, writer, batch_id)
 
     def views(self, spark) -> dict[str, DataFrame]:
         """``total``, ``hq`` and ``dealer`` result tables."""
         return metrics.split_counters(self.table.read(spark))
 
+
 class DimSink:
-    """foreachBatch sink of :func:`dims_stream`: the daily dimension table (K6)."""
+    """foreachBatch sink of :func:`dims_stream`: the daily dimension table, and the
+    table of each dimension's latest day (K6)."""
 
     def __init__(self, base: str):
-        self.daily = SnapshotTable(f"{base}/dim_daily", ["lz_date", *DIM_COLUMNS], "lz_date")
+        self.daily = SnapshotTable(f"{base}/dim_daily", ["lz_date", *DIM_COLUMNS], ["lead_cnt"])
+        self.newest = LatestTable(f"{base}/dim_latest", DIM_COLUMNS, "lead_cnt",
+                                  first="lz_date", last="last_day")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with _PersistedBatch(batch) as rows:
             if rows.isEmpty():
                 return
-            self.daily.merge(rows)
+            self.merge(rows, writer_of(batch.sparkSession), batch_id)
+
+    def merge(self, rows: DataFrame, writer: str, batch_id: int) -> None:
+        self.daily.merge(rows, writer, batch_id)
+        self.newest.merge(metrics.dim_span(rows), writer, batch_id)
 
     def latest(self, spark) -> DataFrame:
         """The latest count per dimension key, as the reference's table holds it."""
-        return metrics.dim_latest(self.daily.read(spark))
+        return self.newest.read(spark).drop("last_day")
 
 
-RAW_OUTPUTS = ("archive", "outbox", "quarantine")
+RAW_OUTPUTS = ("archive", "outbox", "quarantine", "batches")
 
 
 class RawSink:
-    """foreachBatch sink of the raw messages: archive, outbox, quarantine.
+    """foreachBatch sink of the raw messages: archive, outbox, quarantine, and a
+    record of each batch (S4: messages read, leads, messages set aside).
 
-    Each output is partitioned by ``batch`` and written with dynamic
-    partition overwrite, so replaying a batch id replaces its own files.
-    ``outputs`` picks which of the three are written.
+    A batch is one run of each output, so replaying it replaces its own files.
+    ``outputs`` picks which of them are written.
     """
 
     def __init__(self, base: str, compression: str | None = None,
@@ -130,6 +150,7 @@ class RawSink:
         self.archive = f"{base}/archive"
         self.outbox = f"{base}/oneid_outbox"
         self.quarantine = f"{base}/quarantine"
+        self.batches = f"{base}/batches"
         self.compression = compression
         self.parse_options = parse_options
 
@@ -138,17 +159,21 @@ class RawSink:
         with _PersistedBatch(parsed) as rows:
             if rows.isEmpty():
                 return
+            run = run_name(writer_of(batch.sparkSession), batch_id)
             good = split_good(rows)
             if "archive" in self.outputs:
-                write_archive(good, self.archive, compression=self.compression, batch_id=batch_id)
+                write_archive(good, self.archive, run, compression=self.compression)
             if "outbox" in self.outputs:
-                (oneid_outbox(good, "day").withColumn("batch", F.lit(int(batch_id)))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch").parquet(self.outbox))
+                write_run(oneid_outbox(good, "day"), self.outbox, run)
             if "quarantine" in self.outputs:
-                (split_quarantine(rows).withColumn("batch", F.lit(int(batch_id)))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch").parquet(self.quarantine))
+                write_run(split_quarantine(rows), self.quarantine, run)
+            if "batches" in self.outputs:
+                write_run(rows.agg(F.lit(int(batch_id)).cast("bigint").alias("batch"),
+                                   F.count(F.lit(1)).alias("messages"),
+                                   F.count_if(F.col(REASON).isNull()).alias("leads"),
+                                   F.count_if(F.col(REASON).isNotNull()).alias("set_aside"),
+                                   F.max("ingest_ts").alias("newest")),
+                          self.batches, run)
 
 
 def start(frame: DataFrame, sink, checkpoint: str, trigger: dict | None = None,
@@ -183,7 +208,7 @@ def start(frame: DataFrame, sink, checkpoint: str, trigger: dict | None = None,
 
 
 def start_all(messages: DataFrame, base: str, trigger: dict | None = None,
-              watermark: str | None = DAY, state_partitions: int | None = None,
+              watermark: str | None = None, state_partitions: int | None = None,
               **parse_options) -> dict[str, StreamingQuery]:
     """Start the raw, counters and dims queries on one source under ``base``."""
     return {

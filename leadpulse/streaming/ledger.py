@@ -51,11 +51,6 @@ def offset_ledger(spark: SparkSession, progresses) -> DataFrame:
     return spark.createDataFrame(ledger_rows(progresses), LEDGER_SCHEMA)
 
 
-def append_ledger(spark: SparkSession, progresses, path: str) -> None:
-    """Append ledger rows to a parquet table."""
-    offset_ledger(spark, progresses).write.mode("append").parquet(path)
-
-
 class OffsetLedgerListener(StreamingQueryListener):
     """Append one ledger row per micro-batch and source as progress is
     reported (S4): a durable, readable record next to the checkpoint.

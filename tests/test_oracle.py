@@ -61,7 +61,7 @@ def test_every_query_is_registered_with_a_callable(spark):
     qs = registry.queries()
     assert set(qs) <= set(E.queries())
     assert set(qs) - set(registry.oracle_sql()) == {"offset_ledger"}
-    assert len(qs) == 31
+    assert len(qs) == 42
 
 
 def test_entry_smoke(spark):

@@ -56,7 +56,7 @@ def test_fixture_scan_is_pruned(spark, small_dir):
 def test_archive_read_prunes_days(spark, small_dir):
     path = scratch_dir(spark, "arch")
     good = B.leads(spark, small_dir).filter(F.col("day") >= "1998-06-01")
-    write_archive(good, path)
+    write_archive(good, path, "w-0000000000")
     last = read_archive(spark, path).select(F.max("dt")).first()[0]
     df = read_archive(spark, path).filter(F.col("dt") == last)
     p = plan(df)

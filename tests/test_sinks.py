@@ -4,6 +4,7 @@ import glob
 import gzip
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import messages
@@ -14,8 +15,11 @@ from leadpulse.plans.backfill import Backfill
 from leadpulse.plans.batch import leads
 from leadpulse.session import scratch_dir
 from leadpulse.sinks.archive import read_archive, write_archive
-from leadpulse.sinks.snapshot import SnapshotTable
+from leadpulse.sinks import snapshot
+from leadpulse.sinks.runs import run_name
+from leadpulse.sinks.snapshot import LatestTable, SnapshotTable
 from leadpulse.sources.fixtures import lead_messages
+from leadpulse.streaming.jobs import CounterSink, RawSink
 
 
 def local(path):
@@ -31,10 +35,10 @@ def two_day_leads(spark):
 def test_archive_layout_gzip_single_file_and_suffix(spark):
     base = scratch_dir(spark, "k")
     path = f"{base}/gz"
-    write_archive(two_day_leads(spark), path, compression="gzip", single_file=True,
-                  legacy_suffix=True)
-    files = sorted(glob.glob(local(path) + "/dt=*/*.gz"))
-    assert [os.path.basename(os.path.dirname(f)) for f in files] == ["dt=2024-03-01", "dt=2024-03-02"]
+    write_archive(two_day_leads(spark), path, run_name("w", 3), compression="gzip",
+                  single_file=True, legacy_suffix=True)
+    files = sorted(glob.glob(local(path) + "/dt=*/run=w-0000000003/*.gz"))
+    assert [f.split("/")[-3] for f in files] == ["dt=2024-03-01", "dt=2024-03-02"]
     text = gzip.open(files[0], "rt").read().splitlines()
     assert sorted(text) == sorted(["a" + ";\\N" * 19 + ";lead_center\t ",
                                    "b" + ";\\N" * 19 + ";lead_center\t "])
@@ -42,33 +46,109 @@ def test_archive_layout_gzip_single_file_and_suffix(spark):
     assert [r["value"].split(";")[0] for r in got] == ["c"]
 
 
-def test_archive_append_adds_and_batch_id_replaces(spark):
-    path = scratch_dir(spark, "k2")
+def test_a_run_written_again_replaces_itself_alone(spark):
+    path = scratch_dir(spark, "k3")
     good = two_day_leads(spark)
-    write_archive(good, path)
-    write_archive(good, path)
-    assert read_archive(spark, path).count() == 6             # append adds files
-    path2 = scratch_dir(spark, "k3")
-    write_archive(good, path2, batch_id=7)
-    write_archive(good, path2, batch_id=7)                     # replayed batch
-    write_archive(good, path2, batch_id=8)
-    arch = read_archive(spark, path2)
-    assert arch.count() == 6 and sorted(r[0] for r in arch.select("batch").distinct().collect()) == [7, 8]
-
-
-def test_snapshot_keeps_create_time_and_only_touched_months(spark):
-    t = SnapshotTable(scratch_dir(spark, "snap"), ["d"], "d")
-    first = spark.createDataFrame([("2024-01-05", 1), ("2024-02-05", 2)], "d string, n int") \
-        .select(F.to_date("d").alias("d"), "n")
-    assert t.merge(first) == 2
+    for writer, batch in (("a", 7), ("a", 7), ("a", 8), ("b", 7)):
+        write_archive(good, path, run_name(writer, batch))
+    counts = {r["run"]: r["count"] for r in read_archive(spark, path).groupBy("run").count().collect()}
+    assert counts == {"a-0000000007": 3, "a-0000000008": 3, "b-0000000007": 3}
+    with pytest.raises(ValueError):
+        run_name("a-b", 0)
+
+
+def day_rows(spark, *pairs):
+    return (spark.createDataFrame(list(pairs), "d string, n bigint")
+            .select(F.to_date("d").alias("d"), "n"))
+
+
+def values(table, spark):
+    return {str(r["d"]): r["n"] for r in table.read(spark).collect()}
+
+
+def test_last_batch_of_a_writer_holds_and_writers_add_up(spark):
+    t = SnapshotTable(scratch_dir(spark, "snap"), ["d"], ["n"])
+    with pytest.raises(FileNotFoundError):
+        t.read(spark)
+    t.merge(day_rows(spark, ("2024-01-05", 1), ("2024-02-05", 2)), "a", 0)
     created = {r["d"]: r["create_time"] for r in t.read(spark, audit=True).collect()}
-    change = spark.createDataFrame([("2024-02-05", 5), ("2024-02-06", 1)], "d string, n int") \
-        .select(F.to_date("d").alias("d"), "n")
-    assert t.merge(change) == 1                                 # one month rewritten
-    rows = {str(r["d"]): (r["n"], r["create_time"]) for r in t.read(spark, audit=True).collect()}
-    assert {k: v[0] for k, v in rows.items()} == {"2024-01-05": 1, "2024-02-05": 5, "2024-02-06": 1}
+    t.merge(day_rows(spark, ("2024-02-05", 5), ("2024-02-06", 1)), "a", 1)
+    t.merge(day_rows(spark, ("2024-02-05", 10)), "b", 0)
+    want = {"2024-01-05": 1, "2024-02-05": 15, "2024-02-06": 1}
+    assert values(t, spark) == want
+    rows = {r["d"]: r for r in t.read(spark, audit=True).collect()}
     for d, ts in created.items():
-        assert rows[str(d)][1] == ts                            # create_time kept
+        assert rows[d]["create_time"] == ts                     # K8
+    t.merge(day_rows(spark, ("2024-02-05", 10)), "b", 0)        # a replay
+    assert values(t, spark) == want
+    t.merge(day_rows(spark, (None, 4)), "b", 1)                 # a null key is a key
+    assert values(t, spark) == {**want, "None": 4}
+
+
+def test_compaction_keeps_every_key_also_when_it_is_cut_short(spark, monkeypatch):
+    t = SnapshotTable(scratch_dir(spark, "fold"), ["d"], ["n"])
+    for batch in range(3):
+        t.merge(day_rows(spark, ("2024-02-05", batch), (f"2024-03-0{batch + 1}", 7)), "a", batch)
+    t.merge(day_rows(spark, ("2024-02-05", 10)), "b", 0)
+    want = values(t, spark)
+    assert want["2024-02-05"] == 12
+    with monkeypatch.context() as cut:                          # the deletes never run
+        cut.setattr(snapshot, "delete_runs", lambda *a: None)
+        t.compact(spark)
+    assert values(t, spark) == want
+    assert t.compact(spark) == 5
+    assert values(t, spark) == want
+    folders = os.listdir(local(t.path))
+    assert len([f for f in folders if f.startswith("run=")]) == 1
+    t.merge(day_rows(spark, ("2024-02-05", 2), ("2024-03-03", 7)), "a", 2)   # replayed after the fold
+    assert values(t, spark) == want
+    t.merge(day_rows(spark, ("2024-02-05", 3)), "a", 3)
+    assert values(t, spark)["2024-02-05"] == 13
+
+
+def test_a_failed_merge_and_its_replay_lose_no_key(spark):
+    t = SnapshotTable(scratch_dir(spark, "crash"), ["d"], ["n"])
+    t.merge(day_rows(spark, ("2024-01-05", 1), ("2024-02-05", 2)), "a", 0)
+    change = day_rows(spark, ("2024-01-05", 8), ("2024-02-05", 9))
+    broken = change.withColumn("n", F.when(F.col("d") == "2024-02-05", F.raise_error(F.lit("lost")))
+                               .otherwise(F.col("n")))
+    with pytest.raises(Exception, match="lost"):
+        t.merge(broken, "a", 1)
+    assert values(t, spark) == {"2024-01-05": 1, "2024-02-05": 2}
+    t.merge(change, "a", 1)
+    assert values(t, spark) == {"2024-01-05": 8, "2024-02-05": 9}
+
+
+def test_latest_table_in_any_order_and_over_writers(spark):
+    rows = [("k", "2024-01-02", 4, "a", 0), ("k", "2024-01-05", 6, "a", 1), ("k", "2024-01-01", 9, "a", 2),
+            ("k", "2024-01-05", 7, "a", 3), ("k", "2024-01-05", 1, "b", 0), ("j", "2024-01-03", 2, "b", 1)]
+    want = {("k", "2024-01-01", "2024-01-05", 8), ("j", "2024-01-03", "2024-01-03", 2)}
+    for order in (rows, rows[::-1]):
+        t = LatestTable(scratch_dir(spark, "latest"), ["key"], "n", first="first", last="last")
+        for key, day, n, writer, batch in order:
+            change = (spark.createDataFrame([(key, day, n)], "key string, day string, n bigint")
+                      .select("key", F.to_date("day").alias("first"), F.to_date("day").alias("last"), "n"))
+            t.merge(change, writer, batch)
+        for _ in range(2):
+            got = {(r["key"], str(r["first"]), str(r["last"]), r["n"]) for r in t.read(spark).collect()}
+            assert got == want
+            t.compact(spark)
+
+
+def test_backfill_twice_is_backfill_once_also_beside_a_stream(spark):
+    base = scratch_dir(spark, "twice")
+    good = ['{"leadId":"a","createTime":"2024-03-01 01:00:00"}', '{"leadId":']
+    job = Backfill(base)
+    stream = RawSink(base)
+    stream(messages(spark, good, "2024-03-01 20:00:00"), 0)
+    CounterSink(base)(metrics.day_counters(parse_leads(messages(spark, good, "2024-03-01 20:00:00"))), 0)
+    for _ in range(2):
+        job.run(messages(spark, good, "2024-03-01 10:00:00"))
+        Backfill(base, "more").run(messages(spark, good, "2024-03-01 11:00:00"))
+        assert spark.read.parquet(job.outbox).count() == 3
+        assert spark.read.parquet(job.quarantine).count() == 3
+        assert read_archive(spark, job.archive).count() == 3
+        assert [tuple(r)[1:] for r in job.counters.table.read(spark).collect()] == [(3, 0, 0)]
 
 
 def test_backfill_equals_batch_and_quarantine(spark, small_dir):

@@ -48,7 +48,8 @@ def test_late_slices_are_dropped_behind_the_watermark(spark, small_dir):
 
     def run(src, base):
         holder.setdefault("sink", jobs.CounterSink(base))
-        return jobs.start(jobs.counters_stream(src), holder["sink"], f"{base}/_ckpt", ONCE)
+        return jobs.start(jobs.counters_stream(src, watermark="1 day"), holder["sink"],
+                          f"{base}/_ckpt", ONCE)
 
     replay(spark, small_dir, run, reverse=True, name="late")
     got = holder["sink"].views(spark)["total"]
@@ -61,7 +62,7 @@ def test_no_watermark_keeps_late_rows(spark, small_dir):
 
     def run(src, base):
         holder.setdefault("sink", jobs.CounterSink(base))
-        return jobs.start(jobs.counters_stream(src, watermark=None), holder["sink"],
+        return jobs.start(jobs.counters_stream(src), holder["sink"],
                           f"{base}/_ckpt", ONCE)
 
     replay(spark, small_dir, run, reverse=True, name="nowm")
@@ -84,6 +85,59 @@ def test_raw_sink_writes_archive_outbox_quarantine(spark, small_dir):
     assert spark.read.parquet(sink.outbox).count() <= archived
 
 
+def test_a_new_checkpoint_on_an_old_base_loses_nothing(spark):
+    import os
+    from conftest import messages
+    base = scratch_dir(spark, "ckpts")
+    counters, raw = jobs.CounterSink(base), jobs.RawSink(base, outputs=("outbox",))
+    lead = '{"leadId":"a","createTime":"2024-03-01 01:00:00"}'
+    for n, ts in enumerate(("2024-03-01 10:00:00", "2024-03-01 20:00:00")):
+        write_envelopes(messages(spark, [lead, lead], ts), f"{base}/in{n}")
+        src = file_leads(spark, f"{base}/in{n}")
+        for name, frame, sink, mode in (("c", jobs.counters_stream(src), counters, "update"),
+                                        ("r", src, raw, "append")):
+            jobs.start(frame, sink, f"{base}/ck{n}{name}", ONCE, output_mode=mode).awaitTermination()
+    assert [tuple(r)[1:] for r in counters.table.read(spark).collect()] == [(4, 0, 0)]
+    assert spark.read.parquet(raw.outbox).count() == 4
+    runs = [d for d in os.listdir(raw.outbox.removeprefix("file:")) if d.startswith("run=")]
+    assert len(runs) == 2 and all(d.startswith("run=q") and d.endswith("-0000000000") for d in runs)
+
+
+def test_days_off_utc_are_local_days_in_batch_and_stream(spark):
+    from conftest import messages
+    from leadpulse.operators.parse import parse_leads
+    base = scratch_dir(spark, "zones")
+    for zone in ("Asia/Shanghai", "America/New_York"):
+        path = f"{base}/{zone.replace('/', '_')}"
+        stamps = ["2024-03-09 18:00:00", "2024-03-10 04:59:00", "2024-03-10 05:01:00",
+                  "2024-03-11 03:59:00", "2024-03-11 04:01:00", "2024-11-04 04:30:00"]
+        for ts in stamps:
+            write_envelopes(messages(spark, ['{"leadId":"a"}'], ts), f"{path}/in")
+        local = spark.newSession()
+        local.conf.set("spark.sql.session.timeZone", zone)
+        sink = jobs.CounterSink(path)
+        jobs.start(jobs.counters_stream(file_leads(local, f"{path}/in")), sink, f"{path}/ck", ONCE,
+                   state_partitions=2).awaitTermination()
+        table = local.read.schema("value string, ingest_ts timestamp").json(f"{path}/in")
+        want = rows(metrics.day_counters(parse_leads(table)))
+        assert len(want) > 1 and rows(sink.table.read(local)) == want
+
+
+def test_a_lead_without_a_time_is_set_aside_in_both_paths(spark):
+    from pyspark.sql.functions import lit
+    from leadpulse.operators.parse import parse_leads, quarantine
+    base = scratch_dir(spark, "notime")
+    msgs = spark.createDataFrame([('{"leadId":"a"}',)], "value string").withColumn(
+        "ingest_ts", lit(None).cast("timestamp"))
+    assert parse_leads(msgs).count() == 0
+    assert [r["reason"] for r in quarantine(msgs).collect()] == ["no_time"]
+    sink = jobs.RawSink(base)
+    sink(msgs, 0)
+    assert [r["reason"] for r in spark.read.parquet(sink.quarantine).collect()] == ["no_time"]
+    got = spark.read.parquet(sink.batches).collect()[0]
+    assert (got["messages"], got["leads"], got["set_aside"]) == (1, 0, 1)
+
+
 def test_kafka_options():
     o = kafka_options("b:9092", "leads", max_offsets_per_trigger=1000)
     assert o["subscribe"] == "leads" and o["startingOffsets"] == "latest"
