@@ -4,8 +4,9 @@
     python -m leadpulse stream --files /landing/leads --out /data/leads --available-now
     python -m leadpulse backfill --messages /data/old_messages --out /data/leads
 
-``stream`` starts the raw, counters and dimension queries on one source (each
-with its own checkpoint under ``--out/_checkpoints``) and waits for them;
+``stream`` parses one source into ``--out/leads`` and starts the raw, counters and
+dimension queries on that table (each with its own checkpoint under
+``--out/_checkpoints``) and waits for them;
 ``backfill`` loads a message table (parquet with ``value`` and ``ingest_ts``)
 in batch into the same result tables. Another part of the history needs
 another ``--name``.

@@ -42,9 +42,20 @@ def write_run(df: DataFrame, path: str, run: str, *partitions: str, fmt: str = "
      .partitionBy(*partitions, RUN).format(fmt).save(path))
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create ``path`` if it does not exist."""
+    folder, files = _folder(spark, path)
+    files.mkdirs(folder)
+
+
 def delete_runs(spark: SparkSession, path: str, runs: list[str]) -> None:
     """Remove the folders of ``runs`` directly below ``path``."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
     for run in runs:
-        folder = hadoop.Path(f"{path}/{RUN}={run}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        folder, files = _folder(spark, f"{path}/{RUN}={run}")
+        files.delete(folder, True)

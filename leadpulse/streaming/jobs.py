@@ -1,13 +1,17 @@
-"""Structured Streaming jobs: three queries on one message source.
+"""Structured Streaming jobs: the messages are parsed once, three queries read the leads.
 
-* ``raw``: parse, then per micro-batch write the archive, the OneID outbox
+* ``leads``: parse, and append typed leads and messages set aside to one table
+  (Spark's file sink, which its file source reads exactly once).
+
+* ``raw``: per micro-batch write the archive, the OneID outbox
   and the quarantine (stateless; outputs keyed by batch id).
 * ``counters``: the day totals (total, new to brand, new to dealer) as one
   stateful aggregation over a one-day event-time window (A1-A3).
 * ``dims``: the per-dimension daily counts (A4, A5).
 
 Each has its own checkpoint: a stateful aggregation must run before
-``foreachBatch``, so the three cannot share one query. The stateful ones run
+``foreachBatch``, so the three cannot share one query. Each also runs on its
+own, straight on messages. The stateful ones run
 in update mode and emit absolute totals for the keys that changed; the sink
 writes them as its run of the batch, so a replayed batch leaves the tables as
 they were (the state store restores the same version and the values are not
@@ -28,11 +32,10 @@ from pyspark.sql.streaming import StreamingQuery
 from leadpulse.functions.dates import local_clock, window_day
 from leadpulse.operators import metrics
 from leadpulse.operators.oneid import oneid_outbox
-from leadpulse.operators.parse import (REASON, parse_leads, parse_messages, split_good,
-                                       split_quarantine)
+from leadpulse.operators.parse import REASON, parse_messages, split_good, split_quarantine
 from leadpulse.schema import DIM_COLUMNS
 from leadpulse.sinks.archive import write_archive
-from leadpulse.sinks.runs import run_name, write_run, writer_of
+from leadpulse.sinks.runs import make_folder, run_name, write_run, writer_of
 from leadpulse.sinks.snapshot import LatestTable, SnapshotTable
 
 DAY = "1 day"
@@ -40,6 +43,17 @@ DAY = "1 day"
 DEFAULT_TRIGGER = {"processingTime": "59 seconds"}
 
 
+def parsed_stream(messages: DataFrame, **parse_options) -> DataFrame:
+    """Every message parsed; the raw text is kept only of those set aside."""
+    parsed = parse_messages(messages, **parse_options)
+    return parsed.withColumn("value", F.when(F.col(REASON).isNotNull(), F.col("value")))
+
+
+def _parsed(rows: DataFrame, **parse_options) -> DataFrame:
+    """``rows`` as they are if they are parsed, else parsed."""
+    return rows if REASON in rows.columns else parse_messages(rows, **parse_options)
+
+
 def _by_day(good: DataFrame, watermark: str | None):
     """``good`` with its local clock, and the one-day window over it."""
     good = good.withColumn("_clock", local_clock(F.col("ingest_ts")))
@@ -50,7 +64,7 @@ def _by_day(good: DataFrame, watermark: str | None):
 
 def counters_stream(messages: DataFrame, watermark: str | None = None, **parse_options) -> DataFrame:
     """``day, total, hq, dealer`` per day, in one aggregation."""
-    good, window = _by_day(parse_leads(messages, **parse_options), watermark)
+    good, window = _by_day(split_good(_parsed(messages, **parse_options)), watermark)
     counted = good.groupBy(window).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(metrics.is_new_to_brand()).alias("hq"),
@@ -61,7 +75,7 @@ def counters_stream(messages: DataFrame, watermark: str | None = None, **parse_o
 
 def dims_stream(messages: DataFrame, watermark: str | None = None, **parse_options) -> DataFrame:
     """``lz_date, <dims>, lead_cnt`` of the complete leads per day."""
-    good = metrics.complete_leads(parse_leads(messages, **parse_options))
+    good = metrics.complete_leads(split_good(_parsed(messages, **parse_options)))
     good, window = _by_day(good, watermark)
     counted = good.groupBy(window, *metrics.dim_columns()).agg(F.count(F.lit(1)).alias("lead_cnt"))
     return counted.select(window_day(F.col("w.start")).alias("lz_date"), *DIM_COLUMNS, "lead_cnt")
@@ -155,7 +169,7 @@ class RawSink:
         self.parse_options = parse_options
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_messages(batch, **self.parse_options)
+        parsed = _parsed(batch, **self.parse_options)
         with _PersistedBatch(parsed) as rows:
             if rows.isEmpty():
                 return
@@ -210,14 +224,30 @@ def start(frame: DataFrame, sink, checkpoint: str, trigger: dict | None = None,
 def start_all(messages: DataFrame, base: str, trigger: dict | None = None,
               watermark: str | None = None, state_partitions: int | None = None,
               **parse_options) -> dict[str, StreamingQuery]:
-    """Start the raw, counters and dims queries on one source under ``base``."""
+    """Start the leads, raw, counters and dims queries under ``base``.
+
+    The source is read and parsed by ``leads`` alone; the others read the table
+    it writes (``base/leads``). A bounded trigger (``availableNow``) runs
+    ``leads`` to its end before they start.
+    """
+    trigger = trigger or DEFAULT_TRIGGER
+    spark = messages.sparkSession
+    path = f"{base}/leads"
+    parsed = parsed_stream(messages, **parse_options)
+    make_folder(spark, path)    # the readers may come before its first batch
+    leads = (parsed.writeStream.format("parquet").outputMode("append").trigger(**trigger)
+             .option("checkpointLocation", f"{base}/_checkpoints/leads").start(path))
+    if "processingTime" not in trigger:
+        leads.awaitTermination()
+    stored = spark.readStream.schema(parsed.schema).parquet(path)
     return {
-        "raw": start(messages, RawSink(base, **parse_options), f"{base}/_checkpoints/raw",
+        "leads": leads,
+        "raw": start(stored, RawSink(base), f"{base}/_checkpoints/raw",
                      trigger, output_mode="append"),
-        "counters": start(counters_stream(messages, watermark, **parse_options),
+        "counters": start(counters_stream(stored, watermark),
                           CounterSink(base), f"{base}/_checkpoints/counters", trigger,
                           state_partitions=state_partitions),
-        "dims": start(dims_stream(messages, watermark, **parse_options),
+        "dims": start(dims_stream(stored, watermark),
                       DimSink(base), f"{base}/_checkpoints/dims", trigger,
                       state_partitions=state_partitions),
     }

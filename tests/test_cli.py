@@ -17,9 +17,13 @@ def test_stream_command_available_now(spark, small_dir):
     write_envelopes(msgs, f"{base}/in")
     queries = run(["stream", "--files", f"{base}/in", "--out", f"{base}/out", "--available-now"],
                   spark=spark)
-    assert set(queries) == {"raw", "counters", "dims"}
+    assert set(queries) == {"leads", "raw", "counters", "dims"}
     for q in queries.values():
         q.awaitTermination()
+    # the messages are read once: the other queries read the leads table
+    described = {name: q.lastProgress.sources[0].description for name, q in queries.items()}
+    assert [n for n, d in described.items() if f"{base}/in" in d] == ["leads"]
+    assert all(f"{base}/out/leads" in d for n, d in described.items() if n != "leads")
     good = leads(spark, small_dir).filter(F.col("day") >= "2001-01-01")
     got = sorted(tuple(r) for r in CounterSink(f"{base}/out").table.read(spark).collect())
     assert got == sorted(tuple(r) for r in metrics.day_counters(good).collect())

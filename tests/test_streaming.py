@@ -199,3 +199,32 @@ def test_any_split_into_ordered_batches_gives_the_batch_totals(spark, small_dir)
     _, progress = replay(spark, small_dir, run, name="split", cuts=[str(c) for c in cuts])
     assert len([p for p in progress if p.numInputRows]) == 5
     assert rows(holder["sink"].daily.read(spark)) == rows(metrics.dim_daily(leads(spark, small_dir)))
+
+
+def test_running_streams_read_the_leads_table_and_go_on_after_a_restart(spark):
+    from conftest import messages
+    base = scratch_dir(spark, "running")
+    lead = ('{"leadId":"a","createTime":"2024-03-01 01:00:00","newLeadDealer":"true","vfrom1":"1",'
+            '"vfrom2":"2","vfrom3":"3","vfrom4":"4","regionCode":"5","provinceCode":"6"}')
+    texts = [lead, lead, "{", '{"leadId":"b"}']
+    write_envelopes(messages(spark, texts), f"{base}/in")
+    for rounds in (1, 2):
+        queries = jobs.start_all(file_leads(spark, f"{base}/in"), f"{base}/out",
+                                 {"processingTime": "1 second"}, state_partitions=2)
+        try:
+            if rounds == 2:
+                write_envelopes(messages(spark, texts, "2024-03-01 12:00:00"), f"{base}/in")
+            for name in ("leads", "raw", "counters", "dims"):
+                queries[name].processAllAvailable()
+        finally:
+            for query in queries.values():
+                query.stop()
+        counted = jobs.CounterSink(f"{base}/out").table.read(spark).collect()
+        assert [tuple(r)[1:] for r in counted] == [(3 * rounds, 0, 2 * rounds)]
+        sink = jobs.RawSink(f"{base}/out")
+        bad = spark.read.parquet(sink.quarantine).collect()
+        assert [(r["value"], r["reason"]) for r in bad] == [("{", "malformed")] * rounds
+        assert spark.read.text(sink.archive).count() == 3 * rounds
+        assert spark.read.parquet(sink.outbox).count() == 2 * rounds
+        latest = jobs.DimSink(f"{base}/out").latest(spark).collect()
+        assert [r["lead_cnt"] for r in latest] == [2 * rounds]
