@@ -3,13 +3,14 @@
     python -m leadpulse stream --kafka broker:9092 --topic leads --out hdfs:///leads
     python -m leadpulse stream --files /landing/leads --out /data/leads --available-now
     python -m leadpulse backfill --messages /data/old_messages --out /data/leads
+    python -m leadpulse compact --out /data/leads
 
 ``stream`` parses one source into ``--out/leads`` and starts the raw, counters and
 dimension queries on that table (each with its own checkpoint under
 ``--out/_checkpoints``) and waits for them;
 ``backfill`` loads a message table (parquet with ``value`` and ``ingest_ts``)
 in batch into the same result tables. Another part of the history needs
-another ``--name``.
+another ``--name``. ``compact`` folds the result tables' runs, also while streams run.
 """
 
 from __future__ import annotations
@@ -54,7 +55,9 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--name", default="backfill",
                    help="writer name; the same name replaces its earlier rows")
     b.add_argument("--producer-aliases", action="store_true")
-    for q in (s, b):
+    c = sub.add_parser("compact", help="fold the runs of the result tables")
+    c.add_argument("--out", required=True)
+    for q in (s, b, c):
         q.add_argument("--master", default=None)
     return p
 
@@ -63,6 +66,12 @@ def run(argv: list[str] | None = None, spark=None):
     """Run a command; returns the started queries (stream) or None."""
     args = _parser().parse_args(argv)
     spark = spark or build_session(args.master)
+    if args.command == "compact":
+        from leadpulse.streaming.jobs import CounterSink, DimSink
+        dims = DimSink(args.out)
+        for table in (CounterSink(args.out).table, dims.daily, dims.newest):
+            table.compact(spark)
+        return None
     parse_options = {"aliases": PRODUCER_ALIASES} if args.producer_aliases else {}
     if args.command == "backfill":
         from leadpulse.plans.backfill import Backfill

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUN = "run"
+FOLD = "fold"  # the writer of compacted runs
 # Set by Spark on the thread that runs a micro-batch.
 _QUERY_ID = "sql.streaming.queryId"
 
@@ -29,11 +30,20 @@ def writer_of(spark: SparkSession) -> str:
 
 def run_name(writer: str, batch_id: int) -> str:
     """``<writer>-<batch>``, the folder name of one write."""
-    if not writer.isidentifier():
+    if not writer.isidentifier() or writer == FOLD:
         raise ValueError(f"a writer is named by letters, digits and underscores: {writer!r}")
     return f"{writer}-{int(batch_id):010d}"
 
 
+def finished(runs: list[str]) -> list[str]:
+    """``runs`` without each writer's newest. A writer writes one run at a time."""
+    newest: dict[str, str] = {}
+    for run in runs:
+        writer = run.rpartition("-")[0]
+        newest[writer] = max(run, newest.get(writer, run))
+    return [r for r in runs if r.rpartition("-")[0] == FOLD or r not in newest.values()]
+
+
 def write_run(df: DataFrame, path: str, run: str, *partitions: str, fmt: str = "parquet",
               **options) -> None:
     """Write ``df`` as the rows of ``run``, replacing what this run wrote before."""

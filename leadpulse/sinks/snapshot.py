@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadpulse.sinks.runs import RUN, delete_runs, run_name, write_run
+from leadpulse.sinks.runs import FOLD, RUN, delete_runs, finished, run_name, write_run
 
 WRITER, BATCH = "_writer", "_batch"
 AUDIT = ("create_time", "update_time")
@@ -49,8 +49,9 @@ class SnapshotTable:
         return rows if audit else rows.drop(*AUDIT)
 
     def compact(self, spark: SparkSession) -> int:
-        """Fold all runs into one and delete them; returns how many were folded.
+        """Fold the finished runs into one and delete them; returns how many were folded.
 
+        A writer's newest run may still be being written and is left alone.
         The folded rows keep their writer and batch, so that rows read twice
         (after a crash between the write and the last delete, or when a batch
         is replayed) are the same rows and change nothing. Readers that
@@ -58,11 +59,13 @@ class SnapshotTable:
         """
         found = self._runs(spark)
         # One short text per run; compaction is what bounds their number.
-        names = [r[0] for r in found.select(RUN).distinct().collect()]
-        write_run(self._last(found.filter(F.col(RUN).isin(names))), self.path,
-                  f"fold-{uuid.uuid4().hex}")
-        delete_runs(spark, self.path, names)
-        return len(names)
+        names = finished([r[0] for r in found.select(RUN).distinct().collect()])
+        if len(names) > 1:
+            write_run(self._last(found.filter(F.col(RUN).isin(names))), self.path,
+                      f"{FOLD}-{uuid.uuid4().hex}")
+            delete_runs(spark, self.path, names)
+            return len(names)
+        return 0
 
     def _runs(self, spark: SparkSession) -> DataFrame:
         try:

@@ -27,6 +27,8 @@ def test_stream_command_available_now(spark, small_dir):
     good = leads(spark, small_dir).filter(F.col("day") >= "2001-01-01")
     got = sorted(tuple(r) for r in CounterSink(f"{base}/out").table.read(spark).collect())
     assert got == sorted(tuple(r) for r in metrics.day_counters(good).collect())
+    run(["compact", "--out", f"{base}/out"], spark=spark)
+    assert sorted(tuple(r) for r in CounterSink(f"{base}/out").table.read(spark).collect()) == got
     assert DimSink(f"{base}/out").daily.read(spark).count() == metrics.dim_daily(good).count()
     assert spark.read.text(f"{base}/out/archive").count() == good.count()
 
