@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadpulse.llm.common import prepare
@@ -199,6 +199,13 @@ PIECES = ("doc_id string, start long, length long, ids_crc32 long, doc_tokens lo
           "sequence_id long, offset long, loss_tokens long")
 
 
+def group_of(groups: int) -> Column:
+    """Group of a row, by a hash of its place: neither equal ids nor equal texts
+    meet. The place itself would not do, as it starts anew in each partition, at
+    multiples of 2^33, which may all leave one remainder."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups).cast("long"))
+
+
 def pack_examples(spark: SparkSession, examples: DataFrame, id_bytes: int, n: int,
                   max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS,
                   max_loss: int = MAX_LOSS) -> DataFrame:
@@ -207,9 +214,8 @@ def pack_examples(spark: SparkSession, examples: DataFrame, id_bytes: int, n: in
     prepare(spark)
     groups = max(1, math.ceil(n / GROUP))
     kind = f"<u{id_bytes}"
-    # Rows are dealt in turn, so neither equal ids nor equal texts meet.
     dealt = examples.select(F.col("doc_id").cast("string").alias("doc_id"), "ids", "free",
-                            (F.monotonically_increasing_id() % groups).alias("group"))
+                            group_of(groups).alias("group"))
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         ids = [np.frombuffer(x, dtype=kind).astype("<u4") for x in frame.ids]

@@ -128,3 +128,10 @@ def test_limits_hold_together(limits):
     with pytest.raises(ValueError):
         packing.pack([5], [0], 8, 4, 0)
     assert packing.pack([], [], *limits) == []
+
+
+def test_groups_are_even_over_many_partitions(spark):
+    # 1024 divides the distance of two partitions' first places
+    rows = spark.range(0, 40960, numPartitions=64).select(packing.group_of(1024).alias("group"))
+    sizes = [r["count"] for r in rows.groupBy("group").count().collect()]
+    assert len(sizes) == 1024 and max(sizes) < 80
