@@ -10,7 +10,7 @@ dimension queries on that table (each with its own checkpoint under
 ``--out/_checkpoints``) and waits for them;
 ``backfill`` loads a message table (parquet with ``value`` and ``ingest_ts``)
 in batch into the same result tables. Another part of the history needs
-another ``--name``. ``compact`` folds the result tables' runs, also while streams run.
+another ``--name``. ``compact`` folds the runs of all outputs, also while streams run.
 """
 
 from __future__ import annotations
@@ -55,8 +55,9 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--name", default="backfill",
                    help="writer name; the same name replaces its earlier rows")
     b.add_argument("--producer-aliases", action="store_true")
-    c = sub.add_parser("compact", help="fold the runs of the result tables")
+    c = sub.add_parser("compact", help="fold the runs of all outputs")
     c.add_argument("--out", required=True)
+    c.add_argument("--compression", default=None, help="of the archive files, for example gzip")
     for q in (s, b, c):
         q.add_argument("--master", default=None)
     return p
@@ -67,7 +68,8 @@ def run(argv: list[str] | None = None, spark=None):
     args = _parser().parse_args(argv)
     spark = spark or build_session(args.master)
     if args.command == "compact":
-        from leadpulse.streaming.jobs import CounterSink, DimSink
+        from leadpulse.streaming.jobs import CounterSink, DimSink, RawSink
+        RawSink(args.out, args.compression).compact(spark)
         dims = DimSink(args.out)
         for table in (CounterSink(args.out).table, dims.daily, dims.newest):
             table.compact(spark)

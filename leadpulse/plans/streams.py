@@ -22,7 +22,7 @@ from leadpulse.plans.batch import leads, written
 from leadpulse.plans.oracle import LEAD_VIEW, LINES_SQL, ORACLE_SQL, ORDER_JOIN, with_ctes
 from leadpulse.session import scratch_dir
 from leadpulse.sinks.archive import LEGACY_SUFFIX, archive_counts, read_archive, write_archive
-from leadpulse.sinks.runs import run_name
+from leadpulse.sinks.runs import compact_runs, read_runs, run_name
 from leadpulse.sources.fixtures import SLICE_CUTS, in_slice, lead_messages, slice_bounds
 from leadpulse.sources.stream import file_leads, write_envelopes
 from leadpulse.streaming import jobs
@@ -138,12 +138,12 @@ def q_stream_archive(spark, sf_dir):
 
 def q_stream_outbox(spark, sf_dir):
     sink = _raw(spark, sf_dir, "clean", outputs=("outbox",))
-    return spark.read.parquet(sink.outbox).select("leadid", "payload")
+    return read_runs(spark, sink.outbox).select("leadid", "payload")
 
 
 def q_stream_quarantine(spark, sf_dir):
     sink = _raw(spark, sf_dir, "truncated", outputs=("quarantine",))
-    bad = spark.read.parquet(sink.quarantine)
+    bad = read_runs(spark, sink.quarantine)
     return bad.select(json_string_field(F.col("value"), "leadId").alias("leadid"), "reason")
 
 
@@ -169,7 +169,7 @@ def q_backfill_dim_latest(spark, sf_dir):
 
 def q_backfill_quarantine(spark, sf_dir):
     job = _backfill(spark, sf_dir, ["quarantine"], variant="truncated")
-    bad = spark.read.parquet(job.quarantine)
+    bad = read_runs(spark, job.quarantine)
     return bad.select(json_string_field(F.col("value"), "leadId").alias("leadid"), "reason")
 
 
@@ -222,9 +222,11 @@ def q_backfill_then_stream_counters(spark, sf_dir):
 
 
 def q_backfill_then_stream_outbox(spark, sf_dir):
+    """The outbox is also compacted once."""
     base, rest = _history_then_stream(spark, sf_dir, ["outbox"])
     sink = _raw(spark, sf_dir, outputs=("outbox",), base=base, messages=rest)
-    return spark.read.parquet(sink.outbox).select("leadid", "payload")
+    compact_runs(spark, sink.outbox)
+    return read_runs(spark, sink.outbox).select("leadid", "payload")
 
 
 def q_dim_merge(spark, sf_dir):
@@ -255,7 +257,7 @@ def q_audit_columns(spark, sf_dir):
 def q_batch_ledger(spark, sf_dir):
     """Messages, leads and messages set aside of each batch."""
     sink = _raw(spark, sf_dir, "truncated", outputs=("batches",))
-    return spark.read.parquet(sink.batches).select("batch", "messages", "leads", "set_aside")
+    return read_runs(spark, sink.batches).select("batch", "messages", "leads", "set_aside")
 
 
 # A zone that is not UTC; lead times are spread over the hours of a day.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from leadpulse.functions.dates import date_text
 from leadpulse.operators.lines import line_of
-from leadpulse.sinks.runs import write_run
+from leadpulse.sinks.runs import compact_runs, read_runs, write_run
 
 # --- fixed value: the archive's key/value separator and empty value ----------
 LEGACY_SUFFIX = "\t "
@@ -51,7 +51,13 @@ def write_archive(leads: DataFrame, path: str, run: str, dt_col: str = "day",
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """``value, dt, run``; filters on ``dt`` prune directories."""
-    return spark.read.text(path)
+    return read_runs(spark, path, "dt", fmt="text")
+
+
+def compact_archive(spark: SparkSession, path: str, compression: str | None = None) -> int:
+    """Fold each day's finished runs into one of few files; returns how many were folded."""
+    options = {"compression": compression} if compression else {}
+    return compact_runs(spark, path, "dt", fmt="text", **options)
 
 
 def archive_counts(archive: DataFrame) -> DataFrame:

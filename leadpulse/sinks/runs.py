@@ -9,6 +9,9 @@ table without hiding or overwriting each other's rows.
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +72,99 @@ def delete_runs(spark: SparkSession, path: str, runs: list[str]) -> None:
     for run in runs:
         folder, files = _folder(spark, f"{path}/{RUN}={run}")
         files.delete(folder, True)
+
+
+# --- tables of rows (archive, outbox, quarantine, batch record) ---------------
+#
+# A fold of such a table holds the rows of one writer's batches first..last and
+# says so in its name, ``fold-<writer>-<first>-<last>``. It is put in place by
+# one rename a folder, and the runs that it covers are deleted after that. Where
+# a crash comes between the two, readers leave the covered runs out.
+
+_FOLD_NAME = re.compile(rf"{FOLD}-(?P<writer>\w+)-(?P<first>\d+)-(?P<last>\d+)")
+
+
+def run_folders(spark: SparkSession, path: str, by: str | None = None) -> dict[str, list[str]]:
+    """Names of the runs in ``path``, or in each of its ``by=...`` folders.
+
+    One name per write and folder, which compaction keeps few.
+    """
+    below = f"{by}=*/" if by else ""
+    pattern, files = _folder(spark, f"{path}/{below}{RUN}=*")
+    found = defaultdict(list)
+    for status in files.globStatus(pattern) or []:
+        folder = status.getPath()
+        parent = folder.getParent().getName() if by else ""
+        found[parent].append(folder.getName().removeprefix(f"{RUN}="))
+    return dict(found)
+
+
+def covered(runs: list[str]) -> list[str]:
+    """Those of a folder's runs whose rows a fold beside them holds."""
+    folds = [m for m in map(_FOLD_NAME.fullmatch, runs) if m]
+
+    def held(run: str) -> bool:
+        writer, _, batch = run.rpartition("-")
+        return any(m["writer"] == writer and m["first"] <= batch <= m["last"] for m in folds)
+
+    return [r for r in runs if held(r)]
+
+
+def _place(by: str | None):
+    """The folder of a row as text, by which partitions are pruned."""
+    return F.concat_ws("/", *([F.concat(F.lit(f"{by}="), F.col(by).cast("string"))] if by else []),
+                       RUN)
+
+
+def _place_of(folder: str, run: str) -> str:
+    return f"{folder}/{run}" if folder else run
+
+
+def read_runs(spark: SparkSession, path: str, by: str | None = None,
+              fmt: str = "parquet") -> DataFrame:
+    """The rows of all runs, each once."""
+    rows = spark.read.format(fmt).load(path)
+    twice = [_place_of(folder, run) for folder, runs in run_folders(spark, path, by).items()
+             for run in covered(runs)]
+    return rows.filter(~_place(by).isin(twice)) if twice else rows
+
+
+def _drop_covered(spark: SparkSession, path: str, by: str | None) -> None:
+    for folder, runs in run_folders(spark, path, by).items():
+        delete_runs(spark, f"{path}/{folder}" if folder else path, covered(runs))
+
+
+def compact_runs(spark: SparkSession, path: str, by: str | None = None, fmt: str = "parquet",
+                 **options) -> int:
+    """Fold the finished runs of each folder into one per writer; returns how many
+    were folded.
+
+    A writer's newest run may still be being written or replayed and is left
+    alone, as are folds: a row is written anew once. Safe to run again after a
+    crash, and beside the writers; one compaction at a time. Readers that listed
+    the old files meanwhile have to read again.
+    """
+    _drop_covered(spark, path, by)  # of a compaction that was cut short
+    folders = {folder: [r for r in runs if not _FOLD_NAME.fullmatch(r)]
+               for folder, runs in run_folders(spark, path, by).items()}
+    done = finished(sorted({r for runs in folders.values() for r in runs}))
+    batches = defaultdict(list)
+    for run in done:
+        batches[run.rpartition("-")[0]].append(run)
+    folded = 0
+    for writer, runs in batches.items():
+        # Alone in its folder, a run gains nothing from being written again.
+        held = {folder: mine for folder, every in folders.items()
+                if len(mine := [r for r in every if r in set(runs)]) > 1}
+        places = [_place_of(folder, r) for folder, mine in held.items() for r in mine]
+        if not places:
+            continue
+        first, last = (f(r for mine in held.values() for r in mine).rpartition("-")[2]
+                       for f in (min, max))
+        rows = spark.read.format(fmt).load(path).filter(_place(by).isin(places))
+        partitions = (by,) if by else ()
+        write_run(rows.hint("rebalance", *partitions), path, f"{FOLD}-{writer}-{first}-{last}",
+                  *partitions, fmt=fmt, **options)
+        folded += len(places)
+    _drop_covered(spark, path, by)
+    return folded

@@ -25,7 +25,7 @@ them are dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -34,8 +34,8 @@ from leadpulse.operators import metrics
 from leadpulse.operators.oneid import oneid_outbox
 from leadpulse.operators.parse import REASON, parse_messages, split_good, split_quarantine
 from leadpulse.schema import DIM_COLUMNS
-from leadpulse.sinks.archive import write_archive
-from leadpulse.sinks.runs import make_folder, run_name, write_run, writer_of
+from leadpulse.sinks.archive import compact_archive, write_archive
+from leadpulse.sinks.runs import compact_runs, make_folder, run_name, write_run, writer_of
 from leadpulse.sinks.snapshot import LatestTable, SnapshotTable
 
 DAY = "1 day"
@@ -189,6 +189,12 @@ class RawSink:
                                    F.max("ingest_ts").alias("newest")),
                           self.batches, run)
 
+    def compact(self, spark: SparkSession) -> int:
+        """Fold the finished runs of the outputs; returns how many were folded."""
+        folded = compact_archive(spark, self.archive, self.compression)
+        return folded + sum(compact_runs(spark, path) for path in
+                            (self.outbox, self.quarantine, self.batches))
+
 
 def start(frame: DataFrame, sink, checkpoint: str, trigger: dict | None = None,
           output_mode: str = "update", name: str | None = None,

@@ -14,9 +14,9 @@ from leadpulse.operators.parse import parse_leads
 from leadpulse.plans.backfill import Backfill
 from leadpulse.plans.batch import leads
 from leadpulse.session import scratch_dir
-from leadpulse.sinks.archive import read_archive, write_archive
-from leadpulse.sinks import snapshot
-from leadpulse.sinks.runs import run_name
+from leadpulse.sinks import runs, snapshot
+from leadpulse.sinks.archive import compact_archive, read_archive, write_archive
+from leadpulse.sinks.runs import compact_runs, covered, read_runs, run_name, write_run
 from leadpulse.sinks.snapshot import LatestTable, SnapshotTable
 from leadpulse.sources.fixtures import lead_messages
 from leadpulse.streaming.jobs import CounterSink, RawSink
@@ -108,6 +108,52 @@ def test_compaction_keeps_every_key_also_when_it_is_cut_short(spark, monkeypatch
     assert values(t, spark)["2024-02-05"] == 13
 
 
+def test_archive_compaction_keeps_every_line_also_when_it_is_cut_short(spark, monkeypatch):
+    path = scratch_dir(spark, "archive-fold")
+    good = two_day_leads(spark)
+    for writer, batch in (("a", 0), ("a", 1), ("a", 10), ("a", 11), ("b", 0), ("b", 1)):
+        # batch 1 of a holds one day, so that day's folder has fewer runs
+        rows = good.filter(F.col("day") == "2024-03-01") if (writer, batch) == ("a", 1) else good
+        write_archive(rows, path, run_name(writer, batch))
+
+    def lines():
+        return sorted((str(r["dt"]), r["value"]) for r in read_archive(spark, path).collect())
+
+    def folders(day):
+        return sorted(f[4:] for f in os.listdir(local(f"{path}/dt={day}")) if f.startswith("run="))
+
+    want = lines()
+    with monkeypatch.context() as cut:                          # the deletes never run
+        cut.setattr(runs, "delete_runs", lambda *a: None)
+        assert compact_archive(spark, path) == 5
+    assert spark.read.text(path).count() > len(want) and lines() == want
+    assert compact_archive(spark, path) == 0                    # finishes what was cut short
+    assert lines() == want and spark.read.text(path).count() == len(want)
+    fold = "fold-a-0000000000-0000000010"
+    newest = ["a-0000000011", "b-0000000000", "b-0000000001"]
+    assert folders("2024-03-01") == folders("2024-03-02") == sorted([*newest, fold])
+    write_archive(good, path, run_name("a", 11))                # replayed after the fold
+    assert lines() == want
+    for batch in (12, 13):
+        write_archive(good, path, run_name("a", batch))
+    assert compact_archive(spark, path) == 4
+    assert len(lines()) == len(want) + 6
+    assert folders("2024-03-01")[-2:] == [fold, "fold-a-0000000011-0000000012"]
+
+
+def test_compaction_of_a_flat_table_and_of_none(spark):
+    path = scratch_dir(spark, "flat-fold")
+    assert compact_runs(spark, path) == 0
+    for batch in range(4):
+        write_run(spark.range(batch, batch + 2), path, run_name("w", batch))
+    write_run(spark.range(100, 103), path, run_name("w_2", 0))  # a name that begins alike
+    want = sorted(r.id for r in read_runs(spark, path).collect())
+    assert compact_runs(spark, path) == 3
+    assert sorted(r.id for r in read_runs(spark, path).collect()) == want
+    assert covered(["fold-w-0000000000-0000000002", "w-0000000002", "w-0000000003",
+                    "w_2-0000000001"]) == ["w-0000000002"]
+
+
 def test_a_failed_merge_and_its_replay_lose_no_key(spark):
     t = SnapshotTable(scratch_dir(spark, "crash"), ["d"], ["n"])
     t.merge(day_rows(spark, ("2024-01-05", 1), ("2024-02-05", 2)), "a", 0)
