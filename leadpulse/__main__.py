@@ -47,7 +47,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--producer-aliases", action="store_true",
                    help="bind preLeadId / countryName as leadId / countyName")
     s.add_argument("--ledger", action="store_true",
-                   help="append an offset ledger row per micro-batch under --out/offset_ledger")
+                   help="write an offset ledger row per micro-batch under --out/offset_ledger")
     b = sub.add_parser("backfill", help="load a message table in batch")
     b.add_argument("--messages", required=True, help="parquet with value, ingest_ts")
     b.add_argument("--out", required=True)
@@ -68,8 +68,10 @@ def run(argv: list[str] | None = None, spark=None):
     args = _parser().parse_args(argv)
     spark = spark or build_session(args.master)
     if args.command == "compact":
+        from leadpulse.sinks.runs import compact_runs
         from leadpulse.streaming.jobs import CounterSink, DimSink, RawSink
         RawSink(args.out, args.compression).compact(spark)
+        compact_runs(spark, f"{args.out}/offset_ledger")
         dims = DimSink(args.out)
         for table in (CounterSink(args.out).table, dims.daily, dims.newest):
             table.compact(spark)

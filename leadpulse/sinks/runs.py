@@ -21,14 +21,19 @@ FOLD = "fold"  # the writer of compacted runs
 _QUERY_ID = "sql.streaming.queryId"
 
 
+def writer_name(query_id) -> str:
+    """Writer name of a streaming query."""
+    # A leading letter keeps the folder name from being read as a number.
+    return "q" + str(query_id).replace("-", "")
+
+
 def writer_of(spark: SparkSession) -> str:
     """Writer name of the micro-batch that runs on this thread.
 
     Outside a streaming query (a sink called by hand) it is ``direct``.
     """
     query_id = spark.sparkContext.getLocalProperty(_QUERY_ID)
-    # A leading letter keeps the folder name from being read as a number.
-    return "q" + query_id.replace("-", "") if query_id else "direct"
+    return writer_name(query_id) if query_id else "direct"
 
 
 def run_name(writer: str, batch_id: int) -> str:

@@ -3,7 +3,8 @@
 Offsets themselves live in the query's checkpoint, which is what a restart
 resumes from. The ledger is a readable record of them: one row per
 micro-batch and source, from the query's progress reports (one small record
-per batch, never the data).
+per batch, never the data). ``dropped_late`` tells whether the watermark cost
+the batch any leads (in rows of the partial aggregate: above 0, some were lost).
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
+from leadpulse.sinks.runs import run_name, write_run, writer_name
+
 LEDGER_SCHEMA = T.StructType([
     T.StructField("query_id", T.StringType()),
     T.StructField("batch_id", T.LongType()),
@@ -21,6 +24,7 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("start_offset", T.StringType()),
     T.StructField("end_offset", T.StringType()),
     T.StructField("num_rows", T.LongType()),
+    T.StructField("dropped_late", T.LongType()),
 ])
 
 
@@ -38,11 +42,12 @@ def ledger_rows(progresses) -> list[tuple]:
     """
     rows = []
     for p in progresses:
+        dropped = sum(int(o.numRowsDroppedByWatermark) for o in p.stateOperators)
         for s in p.sources:
             if not s.numInputRows:
                 continue
             rows.append((str(p.id), int(p.batchId), s.description,
-                         _text(s.startOffset), _text(s.endOffset), int(s.numInputRows)))
+                         _text(s.startOffset), _text(s.endOffset), int(s.numInputRows), dropped))
     return rows
 
 
@@ -52,8 +57,10 @@ def offset_ledger(spark: SparkSession, progresses) -> DataFrame:
 
 
 class OffsetLedgerListener(StreamingQueryListener):
-    """Append one ledger row per micro-batch and source as progress is
-    reported (S4): a durable, readable record next to the checkpoint.
+    """Write the ledger rows of each micro-batch as progress is reported (S4):
+    a durable, readable record next to the checkpoint. A batch is a run of its
+    query (see :mod:`leadpulse.sinks.runs`), so a replayed batch replaces its
+    rows, and ``compact_runs`` folds them.
 
     ``query_ids`` limits it to some queries; by default every query of the
     session is recorded. Register with ``spark.streams.addListener``.
@@ -73,7 +80,8 @@ class OffsetLedgerListener(StreamingQueryListener):
             return
         rows = ledger_rows([progress])
         if rows:
-            self.spark.createDataFrame(rows, LEDGER_SCHEMA).write.mode("append").parquet(self.path)
+            run = run_name(writer_name(progress.id), progress.batchId)
+            write_run(self.spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1), self.path, run)
 
     def onQueryIdle(self, event) -> None:
         pass

@@ -29,6 +29,7 @@ def test_counters_stream_equals_batch_and_survives_restarts(spark, small_dir):
         assert rows(view) == rows(batch[name])
     ledger = ledger_rows(progress)
     assert len(ledger) == 3                                    # one data batch per restart
+    assert all(r[6] == 0 for r in ledger)                      # nothing came too late
     assert sum(r[5] for r in ledger) == lead_messages(spark, small_dir).count()
 
 
@@ -51,7 +52,9 @@ def test_late_slices_are_dropped_behind_the_watermark(spark, small_dir):
         return jobs.start(jobs.counters_stream(src, watermark="1 day"), holder["sink"],
                           f"{base}/_ckpt", ONCE)
 
-    replay(spark, small_dir, run, reverse=True, name="late")
+    _, progress = replay(spark, small_dir, run, reverse=True, name="late")
+    dropped = [r[6] for r in ledger_rows(progress)]
+    assert dropped[0] == 0 and all(n > 0 for n in dropped[1:])
     got = holder["sink"].views(spark)["total"]
     newest = metrics.total_daily(leads(spark, small_dir)).filter(F.col("clue_dt") >= SLICE_CUTS[-1])
     assert rows(got) == rows(newest)
@@ -183,6 +186,8 @@ def test_offset_ledger_listener_appends_a_row_per_batch(spark, small_dir):
         spark.streams.removeListener(listener)
     assert [r["num_rows"] for r in rows] == [lead_messages(spark, small_dir).count()]
     assert rows[0]["end_offset"] is not None
+    listener.onQueryProgress(type("Event", (), {"progress": q.lastProgress}))  # reported again
+    assert spark.read.parquet(f"{base}/ledger").count() == 1
 
 
 def test_any_split_into_ordered_batches_gives_the_batch_totals(spark, small_dir):
