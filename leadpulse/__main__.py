@@ -4,6 +4,7 @@
     python -m leadpulse stream --files /landing/leads --out /data/leads --available-now
     python -m leadpulse backfill --messages /data/old_messages --out /data/leads
     python -m leadpulse compact --out /data/leads
+    python -m leadpulse recount --out /data/leads --before 2024-03-01
 
 ``stream`` parses one source into ``--out/leads`` and starts the raw, counters and
 dimension queries on that table (each with its own checkpoint under
@@ -11,6 +12,7 @@ dimension queries on that table (each with its own checkpoint under
 ``backfill`` loads a message table (parquet with ``value`` and ``ingest_ts``)
 in batch into the same result tables. Another part of the history needs
 another ``--name``. ``compact`` folds the runs of all outputs, also while streams run.
+``recount`` adds the late leads that a ``--watermark`` kept out of earlier days.
 """
 
 from __future__ import annotations
@@ -58,7 +60,11 @@ def _parser() -> argparse.ArgumentParser:
     c = sub.add_parser("compact", help="fold the runs of all outputs")
     c.add_argument("--out", required=True)
     c.add_argument("--compression", default=None, help="of the archive files, for example gzip")
-    for q in (s, b, c):
+    r = sub.add_parser("recount", help="add the late leads that a watermark dropped")
+    r.add_argument("--out", required=True)
+    r.add_argument("--before", required=True,
+                   help="yyyy-mm-dd: days before it, which must lie behind the watermark")
+    for q in (s, b, c, r):
         q.add_argument("--master", default=None)
     return p
 
@@ -76,6 +82,10 @@ def run(argv: list[str] | None = None, spark=None):
         for table in (CounterSink(args.out).table, dims.daily, dims.newest):
             table.compact(spark)
         return None
+    if args.command == "recount":
+        from leadpulse.streaming.recount import recount
+        recount(spark, args.out, args.before)
+        return None
     parse_options = {"aliases": PRODUCER_ALIASES} if args.producer_aliases else {}
     if args.command == "backfill":
         from leadpulse.plans.backfill import Backfill

@@ -27,6 +27,7 @@ from leadpulse.sources.fixtures import SLICE_CUTS, in_slice, lead_messages, slic
 from leadpulse.sources.stream import file_leads, write_envelopes
 from leadpulse.streaming import jobs
 from leadpulse.streaming.ledger import offset_ledger
+from leadpulse.streaming.recount import recount
 
 ONCE = {"availableNow": True}
 
@@ -123,6 +124,15 @@ def q_stream_late_totals(spark, sf_dir):
     return sink.views(spark)["total"]
 
 
+def q_stream_late_recount(spark, sf_dir):
+    """The same, then the days recounted from the stored leads: none is missing."""
+    base = scratch_dir(spark, "late-recount")
+    jobs.parsed_stream(lead_messages(spark, sf_dir)).write.parquet(f"{base}/leads")
+    sink, _ = _counters(spark, sf_dir, watermark=jobs.DAY, reverse=True, base=base, name="late")
+    recount(spark, base, "9999-01-01", ["counters"])
+    return sink.table.read(spark)
+
+
 def q_stream_dims(spark, sf_dir):
     return _dims(spark, sf_dir).daily.read(spark)
 
@@ -302,6 +312,7 @@ STREAM_QUERIES = {
     "stream_totals": q_stream_totals,
     "stream_counters": q_stream_counters,
     "stream_late_totals": q_stream_late_totals,
+    "stream_late_recount": q_stream_late_recount,
     "stream_dims": q_stream_dims,
     "stream_dim_latest": q_stream_dim_latest,
     "stream_archive": q_stream_archive,
@@ -345,6 +356,7 @@ STREAM_ORACLE_SQL = {
     "stream_late_totals": with_ctes(LEAD_VIEW) + (
         "select day as clue_dt, count(*) as clue_amounts from L"
         f" where day >= date '{SLICE_CUTS[-1]}' group by day"),
+    "stream_late_recount": ORACLE_SQL["lead_counters_daily"],
     "stream_dims": ORACLE_SQL["lead_dim_daily"],
     "stream_dim_latest": ORACLE_SQL["lead_dim_latest"],
     "stream_archive": _ARCHIVE_SQL,

@@ -19,6 +19,7 @@ RUN = "run"
 FOLD = "fold"  # the writer of compacted runs
 # Set by Spark on the thread that runs a micro-batch.
 _QUERY_ID = "sql.streaming.queryId"
+STREAM_WRITERS = "^q[0-9a-f]{32}$"  # names of writers that are streaming queries
 
 
 def writer_name(query_id) -> str:

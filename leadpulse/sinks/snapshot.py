@@ -48,6 +48,16 @@ class SnapshotTable:
         rows = self._over_writers(self._last(self._runs(spark)))
         return rows if audit else rows.drop(*AUDIT)
 
+    def missing(self, whole: DataFrame, writers: str) -> DataFrame:
+        """What the writers whose names match a pattern lack of ``whole``'s counts."""
+        runs = self._runs(whole.sparkSession).filter(F.col(WRITER).rlike(writers))
+        held = self._over_writers(self._last(runs)).select(
+            *self.keys, *[F.col(c).alias(f"_held_{c}") for c in self.amounts])
+        lack = {c: F.col(c) - F.coalesce(f"_held_{c}", F.lit(0)) for c in self.amounts}
+        rows = whole.join(held, self.keys, "left").select(
+            *self.keys, *[lack[c].alias(c) for c in self.amounts])
+        return rows.filter(F.greatest(*self.amounts, F.lit(0)) > 0)
+
     def compact(self, spark: SparkSession) -> int:
         """Fold the finished runs into one and delete them; returns how many were folded.
 
