@@ -8,8 +8,8 @@ regression weighs what the lexicon finds in a text.
 
 Scoring: a word is looked up as it is, with letters in place of look-alike
 signs, by stem, and by the intersection of its Levenshtein automaton with the
-lexicon's trie, which finds words one edit away. A misspelling that is itself a
-word of clean texts is none. Each hit has a context-window score: inside
+lexicon's trie, which finds words one edit away, and words that begin one edit away from
+a stem. A misspelling that is itself a word of clean texts is none. Each hit has a context-window score: inside
 quotation marks or after a word of reporting it counts less, as quotation
 rather than abuse.
 
@@ -38,7 +38,7 @@ FIT_ROWS = 10000     # labelled rows that the model is fitted on, at most
 LEAST_CONTEXTS = 8   # contexts in toxic texts that an entry needs
 LEAST_ODDS = 2.5     # log odds of these that it needs
 STEMS = (3, 8)       # lengths of stems
-FUZZY = 5            # words of so many letters may be misspelt
+FUZZY = 4            # words and stems of so many letters may be misspelt
 LONGEST = 32         # longer tokens are no words
 WINDOW = 20          # tokens in which hits are counted together
 QUOTE_WINDOW = 80    # characters searched for quotation marks on either side
@@ -82,49 +82,68 @@ class LevenshteinAutomaton:
 
 
 class Trie:
-    """Words by letters; a node is a dict, and "" marks the end of a word."""
+    """Words and stems by letters; a node is a dict, "" marks the end of a word
+    and None that of a stem."""
 
-    def __init__(self, words):
+    def __init__(self, words, stems=()):
         self.root: dict = {}
-        for word in words:
-            node = self.root
-            for letter in word:
-                node = node.setdefault(letter, {})
-            node[""] = word
-
-    def near(self, automaton: LevenshteinAutomaton) -> str | None:
-        """A word that the automaton accepts: both are walked together."""
+        for mark, entries in (("", words), (None, stems)):
+            for entry in entries:
+                node = self.root
+                for letter in entry:
+                    node = node.setdefault(letter, {})
+                node[mark] = entry
+
+    def matches(self, automaton: LevenshteinAutomaton) -> Iterator[tuple[str, str]]:
+        """(entry, its spelling in the automaton's word) of the words that the
+        automaton accepts, and of the stems that are near enough to a beginning
+        of its word: trie and automaton are walked together."""
         todo = [(self.root, automaton.start())]
         while todo:
             node, state = todo.pop()
             for letter, child in node.items():
-                if letter == "":
+                if letter is None:
+                    yield from ((child, automaton.word[:i]) for i in state)
+                elif letter == "":
                     if automaton.accepts(state):
-                        return child
+                        yield child, automaton.word
                 elif after := automaton.step(state, letter):
                     todo.append((child, after))
-        return None
+
+    def near(self, automaton: LevenshteinAutomaton, benign=frozenset()) -> str | None:
+        """An entry that matches by a spelling that is not in ``benign``."""
+        return next((entry for entry, spelling in self.matches(automaton)
+                     if spelling not in benign), None)
 
 
 NONE, EXACT, STEM, NEAR = 0, 1, 2, 3
 
 
 class Lexicon(dict):
-    """Kind of hit by token, looked up once per token and worker."""
+    """Kind of hit by token, looked up once per token and worker. ``covered``
+    are words that a stem stands for; misspelt, they need not begin with it.
+    ``benign`` are words, and beginnings of words, that are no misspellings."""
 
-    def __init__(self, words, stems, benign):
+    def __init__(self, words, stems, benign, covered=()):
         super().__init__()
         self.words, self.stems = frozenset(words), frozenset(stems)
-        self.benign = frozenset(benign)
+        self.benign, self.covered = frozenset(benign), frozenset(covered)
         self.stem_lengths = sorted({len(s) for s in self.stems})
-        long = [w for w in self.words if len(w) >= FUZZY]
-        self.trie = Trie(long)
-        # One edit leaves the first or the second half of a word as it is.
-        self.halves = ({w[:len(w) // 2] for w in long}, {w[len(w) // 2:] for w in long})
-        self.lengths = tuple(sorted({len(h) for h in half}) for half in self.halves)
+        long = [w for w in self.words | self.covered if len(w) >= FUZZY]
+        stems = [s for s in self.stems if len(s) >= FUZZY]
+        self.trie = Trie(long, stems)
+        # One edit leaves the first or the second half of an entry as it is. The
+        # second half of a stem then begins at most one letter from its place.
+        self.heads = {e[:len(e) // 2] for e in long + stems}
+        self.tails = {w[len(w) // 2:] for w in long}
+        self.inner = {(len(s) // 2 + shift, s[len(s) // 2:]) for s in stems
+                      for shift in (-1, 0, 1)}
+        self.head_lengths = sorted({len(h) for h in self.heads})
+        self.tail_lengths = sorted({len(t) for t in self.tails})
+        self.places = sorted({(at, at + len(t)) for at, t in self.inner})
 
     def __reduce__(self):
-        return Lexicon, (self.words, self.stems, self.benign)
+        return Lexicon, (self.words, self.stems, self.benign, self.covered)
 
     def __missing__(self, token: str) -> int:
         if len(token) > LONGEST:
@@ -142,15 +161,17 @@ class Lexicon(dict):
             return EXACT
         if any(word[:n] in self.stems for n in self.stem_lengths if n <= len(word)):
             return STEM
-        if len(word) < FUZZY - 1 or word in self.benign:
-            return NONE
-        heads, tails = self.halves
-        if any(word[:n] in heads for n in self.lengths[0]) or any(
-                word[-n:] in tails for n in self.lengths[1]):
-            if self.trie.near(LevenshteinAutomaton(word)):
+        if word not in self.benign and self.may_be_near(word):
+            if self.trie.near(LevenshteinAutomaton(word), self.benign):
                 return NEAR
         return NONE
 
+    def may_be_near(self, word: str) -> bool:
+        return len(word) >= FUZZY - 1 and (
+            any(word[:n] in self.heads for n in self.head_lengths)
+            or any(word[-n:] in self.tails for n in self.tail_lengths)
+            or any((at, word[at:to]) in self.inner for at, to in self.places))
+
 
 def quoted(text: str, start: int, end: int) -> bool:
     """Whether a hit stands between quotation marks of its line."""
@@ -308,13 +329,18 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = FIT
     by_stem = (seen.where(F.length("word") >= STEMS[0]).select(prefix.alias("stem"), "a", "b")
                .groupBy("stem").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
     words = telling(seen, "word")
+    every = set(words)
     stems, words = choose(telling(by_stem, "stem"), words)
-    benign = []
-    if long := sorted(w for w in words if len(w) >= FUZZY):
-        terms = F.array(*[F.lit(w) for w in long])
-        near = F.exists(terms, lambda t: F.levenshtein(F.col("word"), t, 1) >= 0)
-        benign = [r.word for r in seen.where((F.col("b") >= 2) & near).select("word").collect()]
-    lexicon = Lexicon(words, stems, set(benign) - set(words))
+    plain = Lexicon(words, stems, (), every - words)
+    draft = spark.sparkContext.broadcast(plain)
+
+    @F.pandas_udf("boolean")
+    def near(names: pd.Series) -> pd.Series:
+        return names.map(lambda w: len(w) <= LONGEST and draft.value.kind(w) == NEAR)
+
+    benign = {r.word for r in seen.where(F.col("b") >= 2).where(near("word"))
+              .select("word").collect()}
+    lexicon = Lexicon(words, stems, benign, every - words)
     shared = spark.sparkContext.broadcast(lexicon)
 
     @F.pandas_udf("array<double>")

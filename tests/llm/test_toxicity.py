@@ -91,6 +91,21 @@ def test_near_hits_equal_brute_force():
     assert lexicon["tr@sh"] == toxicity.NEAR or lexicon["tr@sh"] == toxicity.EXACT
 
 
+def test_misspelt_stems_and_short_terms():
+    stem, letters = "achlich", "abcxü"
+    lexicon = toxicity.Lexicon({"scum"}, {stem, "boc"}, {"scam", "chlich"}, {"bocoe"})
+    for rest in ("", "keit", "ung"):
+        for i in range(len(stem)):
+            spelt = [stem[:i] + x + stem[i + 1:] for x in letters]
+            spelt += [stem[:i] + x + stem[i:] for x in letters] + [stem[:i] + stem[i + 1:]]
+            for word in {w + rest for w in spelt}:
+                near = any(edits(word[:n], stem) <= 1 and word[:n] != "chlich"
+                           for n in range(len(word) + 1))
+                assert bool(lexicon[word]) == near, word
+    assert lexicon["achxichkeit"] == lexicon["scun"] == lexicon["bxcoe"] == toxicity.NEAR
+    assert not any(lexicon[w] for w in ("scam", "chlichkeit", "bxc", "sam", "axhxichkeit"))
+
+
 def test_odd_documents(spark, model, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 0, 1), (1, 1, None), (4, None, 0), (None, 1, 1), (7, 0, 0)],
                                    "doc_id long, quality int, toxic int")
