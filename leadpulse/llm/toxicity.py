@@ -9,7 +9,9 @@ regression weighs what the lexicon finds in a text.
 Scoring: a word is looked up as it is, with letters in place of look-alike
 signs, by stem, and by the intersection of its Levenshtein automaton with the
 lexicon's trie, which finds words one edit away, and words that begin one edit away from
-a stem. A misspelling that is itself a word of clean texts is none. Each hit has a context-window score: inside
+a stem. A misspelling that is itself a word of clean texts is none, nor is a
+spelling, of a word or its beginning, that many texts without sure hits have:
+these are counted over the whole corpus. Each hit has a context-window score: inside
 quotation marks or after a word of reporting it counts less, as quotation
 rather than abuse.
 
@@ -39,6 +41,8 @@ LEAST_CONTEXTS = 8   # contexts in toxic texts that an entry needs
 LEAST_ODDS = 2.5     # log odds of these that it needs
 STEMS = (3, 8)       # lengths of stems
 FUZZY = 4            # words and stems of so many letters may be misspelt
+LEAST_TEXTS = 3      # texts without a sure hit that an ordinary spelling needs
+LEAST_SHARE = 0.8    # share of its texts that these are
 LONGEST = 32         # longer tokens are no words
 WINDOW = 20          # tokens in which hits are counted together
 QUOTE_WINDOW = 80    # characters searched for quotation marks on either side
@@ -297,6 +301,39 @@ def choose(stems: dict[str, int], words: dict[str, int]) -> tuple[set, set]:
     return kept, {w for w in words if not any(w.startswith(s) for s in kept)}
 
 
+def ordinary(spark: SparkSession, docs: DataFrame, draft: Lexicon) -> set:
+    """Spellings near an entry of ``draft`` that are ordinary ones: they stand in
+    different texts of the whole corpus, most of which have no sure hit."""
+    shared = spark.sparkContext.broadcast(draft)
+
+    def spellings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lexicon, known = shared.value, {}
+        for frame in frames:
+            rows: set = set()
+            for text in frame.text:
+                kinds = {t: lexicon[t] for t in set(TOKEN.findall((text or "").lower()))}
+                near = [t for t, kind in kinds.items() if kind == NEAR]
+                if not near:
+                    continue
+                sure = any(kind in (EXACT, STEM) for kind in kinds.values())
+                digest = xxhash.xxh64_intdigest(text) >> 1
+                if len(known) >= KEPT_TOKENS:
+                    known.clear()
+                for token in near:
+                    if token not in known:
+                        known[token] = {token, *(s for _, s in lexicon.trie.matches(
+                            LevenshteinAutomaton(token)))}
+                    rows.update((s, digest, sure) for s in known[token])
+            yield pd.DataFrame(list(rows), columns=["spelling", "text", "sure"])
+
+    seen = docs.select("text").mapInPandas(spellings, "spelling string, text long, sure boolean")
+    texts = seen.distinct().groupBy("spelling").agg(
+        F.count_if(~F.col("sure")).alias("without"), F.count(F.lit(1)).alias("n"))
+    common = ((F.col("without") >= LEAST_TEXTS)
+              & (F.col("without") >= LEAST_SHARE * F.col("n")))
+    return {r.spelling for r in texts.where(common).select("spelling").collect()}
+
+
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Model of the training labels' documents: of the ``rows`` of them that a
     hash of the id puts first."""
@@ -340,6 +377,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = FIT
 
     benign = {r.word for r in seen.where(F.col("b") >= 2).where(near("word"))
               .select("word").collect()}
+    benign |= ordinary(spark, docs, plain)
     lexicon = Lexicon(words, stems, benign, every - words)
     shared = spark.sparkContext.broadcast(lexicon)
 

@@ -106,6 +106,16 @@ def test_misspelt_stems_and_short_terms():
     assert not any(lexicon[w] for w in ("scam", "chlichkeit", "bxc", "sam", "axhxichkeit"))
 
 
+def test_ordinary_spellings_of_the_whole_corpus(spark):
+    draft = toxicity.Lexicon({"clown"}, {"achlich"}, ())
+    texts = [f"the crown of king {i}" for i in range(5)] + ["a clowm again"] * 5
+    texts += [f"a clwn and a clown {i}" for i in range(5)]
+    texts += ["one chlichbe", "two chlichau", "three chlichen", None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert toxicity.ordinary(spark, docs, draft) == {"crown", "chlich"}
+    assert toxicity.ordinary(spark, docs.limit(0), draft) == set()
+
+
 def test_odd_documents(spark, model, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 0, 1), (1, 1, None), (4, None, 0), (None, 1, 1), (7, 0, 0)],
                                    "doc_id long, quality int, toxic int")
