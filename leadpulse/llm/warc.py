@@ -15,8 +15,8 @@ reaches; all others are text inside payloads and are rejected.
 Defined cases: a null html is an empty payload. A page without an id is written
 without one, and reads back as null. Rows of equal id and payload that hold the
 largest id are all responses. Line breaks in addresses are percent-encoded. An
-empty table gives no rows. A damaged record ends its file's chain; what follows
-it is not read.
+empty table gives no rows. Headers may be of any length. A damaged record ends
+its file's chain, which is an error: what follows it could not be read.
 """
 
 from __future__ import annotations
@@ -38,7 +38,6 @@ from leadpulse.session import scratch_dir
 RECORDS_PER_FILE = 1000
 LEAST_BYTES = 0  # payloads of fewer bytes are never revisits
 DATE = "2024-01-01T00:00:00Z"
-HEAD_BYTES = 1 << 16  # most bytes of a record's header
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
@@ -117,7 +116,7 @@ def unpacked(raw: bytes) -> bytes:
 
 
 MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
-FIELD = re.compile(rb"^([A-Za-z0-9-]+):[ \t]*(.*?)[ \t]*$", re.M)
+FIELD = re.compile(rb"^([A-Za-z0-9-]+):(.*)$", re.M)
 
 
 def candidates(data: bytes) -> Iterator[tuple]:
@@ -125,25 +124,34 @@ def candidates(data: bytes) -> Iterator[tuple]:
     everything in an archive that looks like a record.
 
     The payload is measured only where the successor is an end or looks like a
-    record too; elsewhere the candidate cannot be on the chain.
+    record too; elsewhere the candidate cannot be on the chain. Candidates
+    before the same blank line share the end of their header, which is read once.
     """
     end = END.encode()
+    head_end = -1
     for found in MAGIC.finditer(data):
         at = found.start()
-        head_end = data.find(end, at, at + HEAD_BYTES)
-        if head_end < 0:
+        if at > head_end:
+            head_end = data.find(end, at)
+            if head_end < 0:
+                return
+            # The last line of a name counts; a candidate has those after its start.
+            lines = {m[1].lower(): (m.start(), m[2].strip(b" \t").rstrip(b"\r"))
+                     for m in FIELD.finditer(data, found.end(), head_end + 2)}
+            length_at, length = lines.get(b"content-length", (-1, b""))
+            body = head_end + len(end)
+            stop = body + int(length) if re.fullmatch(rb"\d{1,18}", length) else len(data)
+            after = stop + len(end)
+            whole = data[stop:after] == end and (after == len(data)
+                                                 or MAGIC.match(data, after) is not None)
+            if whole:
+                http_end = data.find(end, body, stop)
+                payload = data[http_end + len(end):stop] if http_end >= 0 else b""
+                size = len(payload)
+                digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        if not whole or length_at < found.end():
             continue
-        fields = {k.lower(): v.rstrip(b"\r") for k, v in FIELD.findall(
-            data[found.end():head_end + 2])}
-        if not re.fullmatch(rb"\d{1,18}", fields.get(b"content-length", b"")):
-            continue
-        body = head_end + len(end)
-        stop = body + int(fields[b"content-length"])
-        after = stop + len(end)
-        if data[stop:after] != end or not (after == len(data) or MAGIC.match(data, after)):
-            continue
-        http_end = data.find(end, body, stop)
-        payload = data[http_end + len(end):stop] if http_end >= 0 else b""
+        fields = {k: v for k, (line, v) in lines.items() if line >= found.end()}
 
         def page(name: bytes) -> int | None:
             number = re.search(rb"urn:x-page:(-?\d+)", fields.get(name, b""))
@@ -151,8 +159,7 @@ def candidates(data: bytes) -> Iterator[tuple]:
 
         yield (at, after, fields.get(b"warc-type", b"").decode("utf-8", "replace"),
                page(b"warc-record-id"), page(b"warc-refers-to"),
-               fields.get(b"warc-target-uri", b"").decode("utf-8", "replace"), len(payload),
-               base64.b32encode(hashlib.sha1(payload).digest()).decode())
+               fields.get(b"warc-target-uri", b"").decode("utf-8", "replace"), size, digest)
 
 
 def reachable(offset: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -189,17 +196,25 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for name, raw in zip(frame.path, frame.content):
+                data = unpacked(raw)
                 # Ids as text: pandas would turn longs that may be null into floats.
                 rows = [(name, at, after, kind, None if p is None else str(p),
-                         None if r is None else str(r), uri, size, digest)
-                        for at, after, kind, p, r, uri, size, digest in candidates(unpacked(raw))]
-                yield pd.DataFrame(rows, columns=names)
+                         None if r is None else str(r), uri, size, digest, len(data))
+                        for at, after, kind, p, r, uri, size, digest in candidates(data)]
+                if data and not rows:
+                    raise ValueError(f"{name}: no record in {len(data)} bytes")
+                yield pd.DataFrame(rows, columns=[*names, "file_bytes"])
 
     def chain(frame: pd.DataFrame) -> pd.DataFrame:
-        return frame[reachable(frame.offset.to_numpy(), frame.after.to_numpy())]
+        kept = frame[reachable(frame.offset.to_numpy(), frame.after.to_numpy())]
+        read, whole = int(kept.after.max()) if len(kept) else 0, int(frame.file_bytes.iloc[0])
+        if read != whole:
+            raise ValueError(f"{frame.path.iloc[0]}: the chain of records ends at byte {read} "
+                             f"of {whole}")
+        return kept.drop(columns="file_bytes")
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    found = files.mapInPandas(scan, FOUND)
+    found = files.mapInPandas(scan, FOUND + ", file_bytes long")
     # A group is one file's candidates, which the writer's file size bounds.
     kept = found.groupBy("path").applyInPandas(chain, FOUND)
     return kept.withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})

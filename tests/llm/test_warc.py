@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from leadpulse.llm import registry, warc
 
@@ -44,7 +45,9 @@ def odd_pages():
     pages = [(i, f"http://h/{i}\r\nX: y", b, "p") for i, b in enumerate(bodies)]
     pages += [(5, None, "same", "p"), (None, None, "same", "p"), (None, None, "alone", None),
               (-7, "", "x", "p"), (40, "u", "same2" + record * 2, "p"),
-              (41, "u", "same2" + record * 2, "p")]
+              (41, "u", "same2" + record * 2, "p"),
+              (50, "http://h/?" + "q" * 200000 + " WARC/1.1", "after a long address", "p"),
+              (51, "data:" + " " * 100000 + "x", "after a long address", "p")]
     return pages
 
 
@@ -98,3 +101,25 @@ def test_damage_ends_the_chain():
     keep = warc.reachable(np.array([c[0] for c in found]), np.array([c[1] for c in found]))
     assert [c[6] for c, k in zip(found, keep) if k] == [3, 3, 3]
     assert list(warc.candidates(b"WARC/1.1\r\nContent-Length: x\r\n\r\n")) == []
+
+
+def test_many_starts_before_one_blank_line():
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
+    body = b"WARC/1.1\r\n" * 300000  # no header ends inside
+    data = b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(body), body) + record
+    found = list(warc.candidates(data))
+    assert [c[0] for c in found] == [0, len(data) - len(record)]
+    inner = b"WARC/1.1\r\nA: b\r\n" + record  # both starts have the length after them
+    assert [(c[0], c[2]) for c in warc.candidates(inner)] == [(0, "response"), (16, "response")]
+    late = b"WARC/1.1\r\nContent-Length: 2\r\nX: WARC/1.1\r\n\r\nab\r\n\r\n"
+    assert [c[0] for c in warc.candidates(late)] == [0]
+
+
+def test_a_broken_chain_is_an_error(spark, tmp_path):
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
+    for name, data in (("cut", record * 2 + record[:-3]), ("none", b"text"), ("gap", b"x" + record)):
+        (tmp_path / name).write_bytes(gzip.compress(data))
+        with pytest.raises(Exception, match="chain of records|no record"):
+            warc.read_archives(spark, str(tmp_path / name)).collect()
+    (tmp_path / "good").write_bytes(gzip.compress(record * 3))
+    assert warc.read_archives(spark, str(tmp_path / "good")).count() == 3
