@@ -2,7 +2,7 @@
 
 Every whole text is searched for candidates: assignments of secrets, access
 keys, long hex strings, and (added to these) tokens of known shapes and private
-key headers. A candidate's value is hashed at once. The distinct repositories
+keys. A candidate's value, of a private key its body, is hashed at once. The distinct repositories
 (documents) and owners (sources) of each hash, counted over the whole corpus,
 separate widely copied examples from owner-specific values, which look live.
 
@@ -34,34 +34,51 @@ BASE = (
 ADDED = (
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*", 0, 20, r"eyJ"),
     ("github", r"gh[pousr]_[A-Za-z0-9]{30,}", 0, 34, r"gh[pousr]_"),
-    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 20, r"PRIVATE KEY"),
+    # With its body and END line where it has one; else with the lines that are a key's.
+    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+)*+"
+     r"-----END [A-Z ]*PRIVATE KEY-----|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{32,}+)*+)", 0, 20,
+     r"PRIVATE KEY"),
 )
 KINDS = BASE + ADDED
 MAX_OWNERS = 2        # a value of more owners is an example
 MAX_REPOSITORIES = 8  # so is one that is in more documents
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0{8}|1234567"
+PEM_FRAME = r"-----(?:BEGIN|END) [A-Z ]*-----|\s|\\[nr]"
+PEM_BODY = 64  # letters of the shortest private key in use
 MARK = "[REDACTED]"
 
 
-def _plausible(value: Column) -> Column:
-    """Letters and digits, eight different characters, and no placeholder."""
-    letters = F.array_distinct(F.split(value, ""))
-    return (value.rlike(r"[A-Za-z]") & value.rlike(r"[0-9]") & (F.size(letters) >= 8)
-            & ~value.rlike(PLACEHOLDER))
+def _secret(value: Column, kind: str) -> Column:
+    """What makes a value one of its own: of a private key its body alone."""
+    return F.regexp_replace(value, PEM_FRAME, "") if kind == "pem" else value
+
+
+def _plausible(secret: Column, kind: str) -> Column:
+    """Eight different characters and no placeholder; in hex, which numbers and
+    words may look like, letters and digits as well."""
+    letters = F.array_distinct(F.split(secret, ""))
+    plain = ~secret.rlike(PLACEHOLDER)
+    if kind == "hex":
+        plain &= secret.rlike(r"[a-f]") & secret.rlike(r"[0-9]")
+    elif kind == "pem":  # a body is long enough to hold any short word by chance
+        plain |= F.length(secret) >= PEM_BODY
+    return (F.size(letters) >= 8) & plain
 
 
 def _found(text: Column, rank: int) -> Column:
     """Matches of one kind in order, with the gap before each."""
-    _, pattern, group, least, needs = KINDS[rank]
+    kind, pattern, group, least, needs = KINDS[rank]
     gaps = F.split(text, pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
     def one(x: Column) -> Column:
         value = x["values"]
+        secret = _secret(value, kind)
         return F.struct(F.length(x["gaps"]).alias("gap"), F.length(x["hits"]).alias("len"),
                         F.length(value).alias("value_len"), (F.length(value) >= least).alias("ok"),
-                        F.sha2(value, 256).alias("hash"), _plausible(value).alias("plausible"))
+                        F.sha2(secret, 256).alias("hash"),
+                        _plausible(secret, kind).alias("plausible"))
 
     zipped = F.arrays_zip(gaps.alias("gaps"), hits.alias("hits"), values.alias("values"))
     matched = F.filter(F.transform(zipped, one), lambda x: x["len"].isNotNull())

@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import re
 
@@ -78,6 +79,35 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert all(out[i].text == t for i, t, _ in rows if i not in (0, 23))
 
 
+def test_private_keys_and_passwords_of_letters_are_redacted(spark):
+    def lines(name):
+        return "\n".join(base64.b64encode(hashlib.sha512(f"{name}{i}".encode()).digest()[:48]).decode()
+                         for i in range(20))
+
+    body, other, wide = map(lines, ("a", "b", "c"))
+
+    def pem(body, head=""):
+        return f"-----BEGIN RSA PRIVATE KEY-----\n{head}{body}\n-----END RSA PRIVATE KEY-----"
+
+    frame = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB12\n\n"
+    rows = [(0, f"a {pem(body)} z {pem(other, frame)}.", "me"), (1, f"{pem(other, frame)}", "me"),
+            (2, "secret=correcthorsebattery ok", "me"), (3, f"x {pem(body)[:800]}", "you"),
+            (4, "-----BEGIN PRIVATE KEY----- and text", "me"), (5, "no 1234567890123456 hex", "me"),
+            (6, pem("your key here"), "me"), (7, f"k {pem(body)}".replace("\n", "\\n"), "me"),
+            (8, "-----BEGIN PRIVATE KEY-----" * 3000 + "-" * 200000, "me"),
+            (9, "big " + pem("aB3/" * 100000 + "defgh"), "me")]
+    rows += [(20 + i, pem(wide), f"s{i}") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r.doc_id: r.text for r in secret_scan.redacted(spark, df).collect()}
+    assert out[0] == "a [REDACTED] z [REDACTED]." and out[1] == "[REDACTED]"
+    assert out[2] == "secret=[REDACTED] ok" and out[7] == "k [REDACTED]"
+    assert out[9] == "big [REDACTED]"
+    assert out[3].startswith("x [REDACTED]") and body[:200] not in out[3]
+    assert all(out[i] == t for i, t, _ in rows if i in (4, 5, 6, 8) or i >= 20)
+    got = {r.doc_id: r for r in secret_scan.report(spark, df).collect()}
+    assert got[0].n_live == 2 and got[2].n_live == 1 and got[4].n_live == 0
+
+
 def test_main_path_is_native(spark, small_dir):
     df = registry.QUERIES["op7_secret_scan"](spark, small_dir)
     plan = df._jdf.queryExecution().toString()
