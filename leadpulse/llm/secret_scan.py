@@ -2,17 +2,17 @@
 
 Every whole text is searched for candidates: assignments of secrets, access
 keys, long hex strings, and (added to these) tokens of known shapes and private
-keys. A candidate's value, of a private key its body, is hashed at once. The distinct repositories
-(documents) and owners (sources) of each hash, counted over the whole corpus,
-separate widely copied examples from owner-specific values, which look live.
+keys. A candidate's value, of a private key its body, is hashed at once. The distinct owners
+(sources) of each hash, counted over the whole corpus, separate widely copied
+examples from owner-specific values, which look live, however often their
+owners repeat them in their repositories (documents).
 
 DataFrame functions only. A text's matches and the gaps between them come from
 one pattern by ``regexp_extract_all`` and ``split``; positions, in code points,
 are running sums over them.
 
 Defined cases: a null text has no spans. Equal rows are rows of their own in
-the result; they are one repository. A null id or owner counts as one
-repository or owner. An empty table gives no rows.
+the result. A null owner counts as one owner. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,8 +40,7 @@ ADDED = (
      r"PRIVATE KEY"),
 )
 KINDS = BASE + ADDED
-MAX_OWNERS = 2        # a value of more owners is an example
-MAX_REPOSITORIES = 8  # so is one that is in more documents
+MAX_OWNERS = 2  # a value of more owners is an example
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0{8}|1234567"
 PEM_FRAME = r"-----(?:BEGIN|END) [A-Z ]*-----|\s|\\[nr]"
 PEM_BODY = 64  # letters of the shortest private key in use
@@ -87,7 +86,7 @@ def _found(text: Column, rank: int) -> Column:
 
 def scan(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, spans), both staged: a row per document with a number of its own;
-    its spans, with how many repositories and owners have their value."""
+    its spans, with how many owners have their value."""
     text = F.coalesce(F.col("text"), F.lit(""))
     raw = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
@@ -103,13 +102,10 @@ def scan(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "row", "doc_id", "owner", "text_hash", "rank", (F.col("end") - F.col("hit.len"))
         .alias("start"), "end", "hit.value_len", "hit.hash", "hit.plausible")
     spans = stage(spark, spans, "secret-spans")
-    seen = (spans.select("hash", "owner", "doc_id").distinct()
-            .groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("hash").agg(F.sum("n").alias("repositories"),
-                                 F.count(F.lit(1)).alias("owners")))
+    seen = (spans.select("hash", "owner").distinct()
+            .groupBy("hash").agg(F.count(F.lit(1)).alias("owners")))
     seen = stage(spark, seen, "secret-owners")
-    live = (F.col("plausible") & (F.col("owners") <= MAX_OWNERS)
-            & (F.col("repositories") <= MAX_REPOSITORIES))
+    live = F.col("plausible") & (F.col("owners") <= MAX_OWNERS)
     return rows, stage(spark, spans.join(seen, "hash").withColumn("live", live), "secret-live")
 
 

@@ -108,6 +108,17 @@ def test_private_keys_and_passwords_of_letters_are_redacted(spark):
     assert got[0].n_live == 2 and got[2].n_live == 1 and got[4].n_live == 0
 
 
+def test_one_owner_may_repeat_a_value_in_any_number_of_documents(spark):
+    key, copied = "token=a1b2c3d4e5f6g7h8", "token=q9w8e7r6t5y4u3i2"
+    rows = [(i, f"{key} {i % 1500}", "hot") for i in range(3000)] + [(3000, key, "fork")]
+    rows += [(4000 + i, copied, f"s{i % 3}") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.n_live for r in secret_scan.report(spark, df).collect()}
+    assert all(got[i] == 1 for i in range(3001)) and not any(got[4000 + i] for i in range(9))
+    out = {r.doc_id: r.text for r in secret_scan.redacted(spark, df).collect()}
+    assert out[2999] == "token=[REDACTED] 1499" and out[4000] == copied
+
+
 def test_main_path_is_native(spark, small_dir):
     df = registry.QUERIES["op7_secret_scan"](spark, small_dir)
     plan = df._jdf.queryExecution().toString()
