@@ -25,10 +25,3 @@ def spark():
 @pytest.fixture(scope="session")
 def small_dir():
     return SMALL
-
-
-def messages(spark, values, ts="2024-03-01 10:00:00"):
-    """A message frame from raw texts."""
-    from pyspark.sql import functions as F
-    df = spark.createDataFrame([(v,) for v in values], "value string")
-    return df.withColumn("ingest_ts", F.to_timestamp(F.lit(ts)))

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import messages
+from lead_messages import messages
 
 from leadpulse.functions.dates import date_prefix, ms_to_next_midnight
 from leadpulse.functions.text import unquote_csv_json

@@ -1,6 +1,6 @@
 """Unit cases of the parse (FIXTURES section 3) and its traps."""
 
-from conftest import messages
+from lead_messages import messages
 
 from leadpulse.operators.lines import line_of, missing_line
 from leadpulse.operators.parse import PRODUCER_ALIASES, parse_leads, parse_messages, quarantine

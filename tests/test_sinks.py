@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import messages
+from lead_messages import messages
 
 from leadpulse.operators import metrics
 from leadpulse.operators.parse import parse_leads

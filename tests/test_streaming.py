@@ -121,7 +121,7 @@ def test_raw_sink_writes_archive_outbox_quarantine(spark, small_dir):
 
 def test_a_new_checkpoint_on_an_old_base_loses_nothing(spark):
     import os
-    from conftest import messages
+    from lead_messages import messages
     base = scratch_dir(spark, "ckpts")
     counters, raw = jobs.CounterSink(base), jobs.RawSink(base, outputs=("outbox",))
     lead = '{"leadId":"a","createTime":"2024-03-01 01:00:00"}'
@@ -138,7 +138,7 @@ def test_a_new_checkpoint_on_an_old_base_loses_nothing(spark):
 
 
 def test_days_off_utc_are_local_days_in_batch_and_stream(spark):
-    from conftest import messages
+    from lead_messages import messages
     from leadpulse.operators.parse import parse_leads
     base = scratch_dir(spark, "zones")
     for zone in ("Asia/Shanghai", "America/New_York"):
@@ -238,7 +238,7 @@ def test_any_split_into_ordered_batches_gives_the_batch_totals(spark, small_dir)
 
 
 def test_running_streams_read_the_leads_table_and_go_on_after_a_restart(spark):
-    from conftest import messages
+    from lead_messages import messages
     base = scratch_dir(spark, "running")
     lead = ('{"leadId":"a","createTime":"2024-03-01 01:00:00","newLeadDealer":"true","vfrom1":"1",'
             '"vfrom2":"2","vfrom3":"3","vfrom4":"4","regionCode":"5","provinceCode":"6"}')
