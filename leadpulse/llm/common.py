@@ -48,14 +48,15 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def row_numbers(spark: SparkSession, df: DataFrame, order: list[Column], name: str,
-                out: str = "row") -> DataFrame:
+                out: str = "row", ranges: list[Column] | None = None) -> DataFrame:
     """``df`` with the 0-based global row number in ascending ``order``.
 
     One range shuffle and one sort per range; the numbers come from the counts
     of the ranges, of which there is one row per partition. ``df`` should be a
-    staged table, as range partitioning reads it twice.
+    staged table, as range partitioning reads it twice. ``ranges`` are coarser
+    columns of the same order to cut the ranges by, where values may be long.
     """
-    ranged = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = (df.repartitionByRange(*(ranges or order)).sortWithinPartitions(*order)
               .withColumn("_at", F.monotonically_increasing_id()))
     kept = stage(spark, ranged, name)
     part = F.shiftright("_at", 33)

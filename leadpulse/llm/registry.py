@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadpulse.llm import (fingerprints, langid, mixing, packing, secret_scan, sharding, simhash,
-                           topk, toxicity, warc)
+from leadpulse.llm import (fingerprints, langid, minhash, mixing, packing, periodic, prefix_trie,
+                           secret_scan, sharding, simhash, topk, toxicity, warc)
 from leadpulse.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -65,10 +65,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.opening_trie(spark, table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pivot_topk, op2_mix_sources, op3_fingerprints, op4_simhash, op5_language_id,
-        op6_toxicity, op7_secret_scan, op8_packing, op9_warc, op10_sharding)
+        op6_toxicity, op7_secret_scan, op8_packing, op9_warc, op10_sharding, op11_minhash,
+        op12_periodic_runs, op13_prefix_trie)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -102,5 +115,47 @@ SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
        ELSE 'response' END AS record_type,
   CASE WHEN owner IS NOT NULL AND page_id IS DISTINCT FROM owner THEN owner END AS refers_to
 FROM o
+""",
+    "op13_prefix_trie": """
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS txt,
+         row_number() OVER (PARTITION BY conv_id
+                            ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), seqs AS (
+  SELECT conv_id, list({'role': role, 'txt': txt} ORDER BY pos) AS s FROM own GROUP BY conv_id
+), crc AS (
+  SELECT conv_id, s, xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                                                      lambda c: ascii(c)::BIGINT)),
+      lambda x, b: list_reduce([xor(x, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, i:
+        xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END)))) % 6 AS h
+  FROM seqs
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.s, [])[1:c.h], c.s[c.h + 1:]) AS s
+  FROM crc c LEFT JOIN seqs b ON b.conv_id = c.conv_id - c.conv_id % 100
+), entries AS (
+  SELECT conv_id, d, s[1:d] AS prefix, s[1:d - 1] AS up, len(s) = d AS ends
+  FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT prefix, any_value(up) AS up, min(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ends,
+         (count(*) - 1) * coalesce(length(prefix[min(d)].txt), 0) AS saved
+  FROM entries GROUP BY prefix
+), childs AS (
+  SELECT up AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY up
+), below AS (
+  SELECT v.prefix[1:a] AS prefix, count(*) FILTER (c.n IS NULL) AS n_leaves, sum(v.saved) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM nodes) v
+  LEFT JOIN childs c ON c.prefix = v.prefix
+  GROUP BY 1
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth,
+       CASE WHEN n.depth > 0 THEN p.conv_id END AS parent_conv_id, n.n_convs,
+       coalesce(c.n, 0) AS n_children, b.n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens,
+       sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN below b ON b.prefix = n.prefix
+LEFT JOIN nodes p ON p.prefix = n.up
+LEFT JOIN childs c ON c.prefix = n.prefix
 """,
 }
