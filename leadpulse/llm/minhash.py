@@ -9,12 +9,10 @@ probability (1 - 0.8^4)^40, below 1e-9.
 Candidates come in two steps, and neither lists the pairs of a bucket that many
 share:
 
-* every bucket sends each member to its smallest one; what this links leaves
-  most buckets in one component, and they need no more work;
-* the other buckets still hold classes that no link joins. Small ones
-  (``SMALL`` members) pair them. The members of larger ones are grouped by the
-  buckets they share, classes most of whose shingles no one else of their group
-  has are ruled out exactly, and the rest meet as blocks of bounded size.
+* every bucket compares each member with its smallest one; what this links leaves
+  most buckets with members that are all linked, and they need no more work;
+* the members of the other buckets are dealt to blocks of bounded size, and blocks
+  that share a bucket meet in one task.
 
 A candidate's signatures, two bits of each minimum, are compared batch by batch,
 and a pair is dropped as soon as the posterior probability that its similarity
@@ -49,10 +47,9 @@ BANDS, BAND_ROWS = 40, 4
 BITS = 2                # of each minimum that a signature keeps
 BATCH = 64              # minima that are compared at a time
 MISS = 1e-9             # chance of dropping a pair at the threshold, per batch
-SMALL = 16              # members of a bucket whose pairs are listed
-TILE_BYTES = 2 << 20    # shingles and signatures of a block
-TILE_ROWS = 512         # members of a block
-BROADCAST_ROWS = 1_000_000  # ids that may be shipped to all tasks (about 40 bytes each)
+TILE_BYTES = 2 << 20    # shingles and signatures of a block, about
+TILE_ROWS = 512         # members of a block, about
+BROADCAST_ROWS = 250_000    # ids that may be shipped to all tasks (40 bytes each)
 PIECE = 2048            # shingles, or columns, that are worked on at a time
 
 _RANDOM = np.random.default_rng(20240501)
@@ -90,11 +87,11 @@ def minima(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def signature(least: np.ndarray) -> bytes:
-    """``BITS`` mixed bits of each minimum, four minima to a byte."""
+def signature(least: np.ndarray) -> np.ndarray:
+    """``BITS`` mixed bits of each minimum, 32 minima to a long."""
     mixed = ((least ^ (least >> np.uint32(15))) * MIX) >> np.uint32(32 - BITS)
     parts = mixed.astype(np.uint8).reshape(-1, 4)
-    return (parts[:, 0] | parts[:, 1] << 2 | parts[:, 2] << 4 | parts[:, 3] << 6).tobytes()
+    return (parts[:, 0] | parts[:, 1] << 2 | parts[:, 2] << 4 | parts[:, 3] << 6).view("<i8")
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
@@ -144,11 +141,19 @@ def plausible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _matrix(signatures) -> np.ndarray:
-    return np.frombuffer(b"".join(signatures), np.uint8).reshape(-1, HASHES * BITS // 8)
+def survives(a: Column, b: Column) -> Column:
+    """:func:`plausible` for two signature columns; ``and`` stops at the first batch that fails."""
+    matches, out = F.lit(0), F.lit(True)
+    for nth, least in enumerate(LEAST):
+        for at in range(nth * BATCH // 32, (nth + 1) * BATCH // 32):
+            odd = F.get(a, at).bitwiseXOR(F.get(b, at))
+            odd = odd.bitwiseOR(F.shiftrightunsigned(odd, 1))
+            matches = matches + 32 - F.bit_count(odd.bitwiseAND(F.lit(0x5555555555555555)))
+        out = out & (matches >= least)
+    return out
 
 
-PRINT = "doc_id long, text_hash long, n_shingles long, high long, low long, signature binary, bands array<long>"
+PRINT = "doc_id long, text_hash long, n_shingles long, high long, low long, signature array<long>, bands array<long>"
 
 
 def prints(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -174,7 +179,7 @@ def prints(spark: SparkSession, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()),
                  pa.array(high, pa.int64()), pa.array(low, pa.int64()),
-                 pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                 pa.array(signatures, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))],
                 ["doc_id", "text_hash", "n_shingles", "high", "low", "signature", "bands"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -214,35 +219,27 @@ def _sets(spark: SparkSession, docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return stage(spark, sets.dropDuplicates(["node"]), "minhash-sets")
 
 
-def _similar(inter: Column, left: Column, right: Column) -> Column:
-    return 100 * inter >= PERCENT * (left + right - inter)
-
-
-def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, spark, name) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that survive the batches and are similar on their full sets."""
-    side = classes.select("node", "signature")
-
-    @F.pandas_udf("boolean")
-    def survives(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(plausible(_matrix(a), _matrix(b)) if len(a) else [], dtype=bool)
-
-    signed = (pairs.join(side.select(F.col("node").alias("b"), F.col("signature").alias("of_b")), "b")
-              .join(side.select(F.col("node").alias("a"), F.col("signature").alias("of_a")), "a"))
-    alive = stage(spark, signed.where(survives("of_a", "of_b")).select("a", "b"), f"{name}-alive")
-    both = (alive.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
-            .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a"))
+    signed, full = classes.select("node", "signature"), sets.select("node", "shingles")
+    for side in ("b", "a"):
+        pairs = pairs.join(signed.toDF(side, f"sign_{side}"), side)
+    pairs = pairs.where(survives(F.col("sign_a"), F.col("sign_b"))).select("a", "b")
+    for side in ("b", "a"):
+        pairs = pairs.join(full.toDF(side, f"set_{side}"), side)
     inter = F.size(F.array_intersect("set_a", "set_b"))
-    return both.where(_similar(inter, F.size("set_a"), F.size("set_b"))).select("a", "b")
+    return pairs.where(100 * inter >= PERCENT * (F.size("set_a") + F.size("set_b") - inter)
+                       ).select("a", "b")
 
 
-def block_links(nodes, roots, signatures, sets, first: np.ndarray, second: np.ndarray) -> list:
+def block_links(nodes, labels, signatures, sets, first: np.ndarray, second: np.ndarray) -> list:
     """Links between members ``first`` and ``second`` (positions) that join different
-    roots; of links that join what others have joined, one is enough."""
+    labels; of links that join what others have joined, one is enough."""
     a, b = np.meshgrid(first, second, indexing="ij")
     a, b = a.ravel(), b.ravel()
     sizes = np.array([len(s) for s in sets], np.int64)
     small, large = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
-    fits = (roots[a] != roots[b]) & (100 * small >= PERCENT * large)
+    fits = (labels[a] != labels[b]) & (100 * small >= PERCENT * large)
     if first is second:
         fits &= a < b
     a, b = a[fits], b[fits]
@@ -264,7 +261,7 @@ def block_links(nodes, roots, signatures, sets, first: np.ndarray, second: np.nd
         return x
 
     for i, j in zip(a[linked], b[linked]):
-        x, y = find(roots[i]), find(roots[j])
+        x, y = find(labels[i]), find(labels[j])
         if x != y:
             to[max(x, y)] = min(x, y)
             out.append((nodes[i], nodes[j]))
@@ -294,52 +291,44 @@ def _intersections(left: list, right: list) -> np.ndarray:
     return out
 
 
-def _grouped_links(spark: SparkSession, members: DataFrame, classes: DataFrame,
-                   sets: DataFrame) -> DataFrame:
-    """Links between different roots among members (key, node, root) of hot buckets."""
-    low = members.groupBy("key").agg(F.min("node").alias("a"))
-    groups = components(spark, members.join(low, "key").select("a", F.col("node").alias("b")),
-                        "minhash-groups").withColumnRenamed("root", "group")
-    placed = stage(spark, members.select("node", "root").distinct().join(groups, "node")
-                   .join(sets, "node"), "minhash-hot")
-    # A shingle that no other member of the group has is in no intersection.
-    owners = (placed.select("group", "node", F.explode("shingles").alias("shingle"))
-              .groupBy("group", "shingle")
-              .agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n")))
-    alone = owners.where(F.col("n") == 1).groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-    shared = F.size("shingles") - F.coalesce("alone", F.lit(0))
-    rest = placed.join(alone, "node", "left").where(100 * shared >= PERCENT * F.size("shingles"))
-    rest = stage(spark, rest.drop("alone").join(classes.select("node", "signature"), "node"),
-                 "minhash-rest")
-    tiles = rest.groupBy("group").agg(F.greatest(
+def _block_links(spark: SparkSession, members: DataFrame, classes: DataFrame,
+                 sets: DataFrame) -> DataFrame:
+    """Links between different labels among members (key, node, label, n) of buckets of
+    ``n`` members.
+
+    A node's home is its largest bucket, and the nodes of a home are dealt to blocks.
+    Two blocks meet, once, if a bucket holds nodes of both: so any two nodes of a
+    bucket meet, in one task of at most two blocks.
+    """
+    homes = members.groupBy("node").agg(F.max_by("key", F.col("n")).alias("home"),
+                                        F.min("label").alias("label"))
+    rows = stage(spark, homes.join(sets, "node").join(classes.select("node", "signature"), "node"),
+                 "minhash-homes")
+    tiles = rows.groupBy("home").agg(F.greatest(
         F.ceil(F.sum(8 * F.size("shingles") + 128) / TILE_BYTES),
-        F.ceil(F.count(F.lit(1)) / TILE_ROWS)).cast("int").alias("tiles"),
-        F.count_distinct("root").alias("roots"))
-    # A block meets each other block of its group once.
-    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    dealt = (rest.join(tiles.where("roots > 1"), "group").withColumn("own", own)
-             .select("*", other.alias("other"))
-             .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}))
-
-    def block(frame: pd.DataFrame) -> pd.DataFrame:
-        roots, own = frame.root.to_numpy(), frame.own.to_numpy()
-        i, j = int(frame.i.iat[0]), int(frame.j.iat[0])
+        F.ceil(F.count(F.lit(1)) / TILE_ROWS)).alias("tiles"))
+    block = F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("tiles")))
+    placed = stage(spark, rows.select("node", "home").join(tiles, "home").select(
+        "node", block.alias("block")), "minhash-blocks")
+    held = stage(spark, members.select("key", "node").join(placed, "node")
+                 .select("key", "block").distinct(), "minhash-held")
+    meetings = held.select("key", F.col("block").alias("i")).join(
+        held.select("key", F.col("block").alias("j")), "key").where("i <= j")
+    meetings = meetings.select("i", "j").distinct()
+    sides = meetings.select("i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    dealt = rows.join(placed, "node").join(sides, "block")
+
+    def meet(frame: pd.DataFrame) -> pd.DataFrame:
+        own, i, j = frame.block.to_numpy(), frame.i.iat[0], frame.j.iat[0]
         first = np.nonzero(own == i)[0]
         second = first if i == j else np.nonzero(own == j)[0]
-        rows = block_links(frame.node.to_numpy(), roots, _matrix(frame.signature),
-                          [np.asarray(s, np.int64) for s in frame.shingles], first, second)
-        return pd.DataFrame(rows, columns=["a", "b"], dtype="int64")
-
-    return dealt.groupBy("group", "i", "j").applyInPandas(block, "a long, b long")
-
+        found = block_links(frame.node.to_numpy(), frame.label.to_numpy(),
+                            np.stack(frame.signature).view(np.uint8),
+                            [np.asarray(s, np.int64) for s in frame.shingles], first, second)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-def _rooted(members: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Members with the root of their node: itself where nothing links it."""
-    if found is None:
-        return members.withColumn("root", F.col("node"))
-    return (members.join(found, "node", "left")
-            .withColumn("root", F.coalesce("root", "node")))
+    return (dealt.select("i", "j", "block", "node", "label", "signature", "shingles")
+            .groupBy("i", "j").applyInPandas(meet, "a long, b long"))
 
 
 def links(spark: SparkSession, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -357,30 +346,20 @@ def links(spark: SparkSession, docs: DataFrame, classes: DataFrame) -> DataFrame
     sets = _sets(spark, docs, wanted)
 
     star = members.where("node > low").select(F.col("low").alias("a"), F.col("node").alias("b"))
-    first = stage(spark, _verified(star.distinct(), classes, sets, spark, "minhash-star"),
-                  "minhash-star")
-    found = stage(spark, components(spark, first, "minhash-star"), "minhash-star-roots")
-
-    # What is left: members but the smallest, of buckets that hold several roots.
-    rest = _rooted(members.where("node > low").select("key", "node"), found)
-    sizes = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("least"),
-                                    F.max("root").alias("most"))
-    rest = stage(spark, rest.join(sizes.where("least < most").select("key", "n"), "key"),
-                 "minhash-open")
-    small = rest.where(F.col("n") <= SMALL).join(
-        classes.select("node", "n_shingles"), "node")
-    left = small.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"),
-                        F.col("n_shingles").alias("size_a"))
-    right = small.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"),
-                         F.col("n_shingles").alias("size_b"))
-    near_size = (100 * F.least("size_a", "size_b") >= PERCENT * F.greatest("size_a", "size_b"))
-    pairs = (left.join(right, "key").where((F.col("a") < F.col("b")) & near_size
-                                           & (F.col("root_a") != F.col("root_b")))
-             .select("a", "b").distinct())
-    second = stage(spark, _verified(pairs, classes, sets, spark, "minhash-small"), "minhash-small")
-    third = stage(spark, _grouped_links(spark, rest.where(F.col("n") > SMALL).drop("n"),
-                                        classes, sets), "minhash-blocks")
-    return first.union(second).union(third)
+    first = stage(spark, _verified(star.distinct(), classes, sets), "minhash-star")
+    # Nodes of one label are linked: the smallest linked node of the smallest linked one.
+    once = first.groupBy("b").agg(F.min("a").alias("a"))
+    twice = once.select(F.col("b").alias("node"), F.col("a").alias("b")).join(
+        once.select("b", F.col("a").alias("up")), "b", "left").select(
+        "node", F.coalesce("up", "b").alias("label"))
+    # What is left: members but the smallest, of buckets that hold several labels.
+    rest = (members.where("node > low").select("key", "node").join(twice, "node", "left")
+            .withColumn("label", F.coalesce("label", "node")))
+    rest = stage(spark, rest, "minhash-rest")
+    mixed = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("least"),
+                                    F.max("label").alias("most")).where("least < most")
+    rest = stage(spark, rest.join(mixed.select("key", "n"), "key"), "minhash-mixed")
+    return first.union(stage(spark, _block_links(spark, rest, classes, sets), "minhash-met"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -394,7 +373,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
         "minhash-classes")
     found = stage(spark, components(spark, links(spark, docs, classes), "minhash"),
                   "minhash-roots")
-    rooted = _rooted(same, found)
+    rooted = same.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     placed = stage(spark, rooted.join(ids, "root").select("high", "low", "component_id"),
                    "minhash-placed")
