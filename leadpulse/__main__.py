@@ -5,6 +5,8 @@
     python -m leadpulse backfill --messages /data/old_messages --out /data/leads
     python -m leadpulse compact --out /data/leads
     python -m leadpulse recount --out /data/leads --before 2024-03-01
+    python -m leadpulse replies --out /data/leads --replies /landing/replies
+    python -m leadpulse restore --old /data/leads --out /data/leads2
 
 ``stream`` parses one source into ``--out/leads`` and starts the raw, counters and
 dimension queries on that table (each with its own checkpoint under
@@ -12,7 +14,9 @@ dimension queries on that table (each with its own checkpoint under
 ``backfill`` loads a message table (parquet with ``value`` and ``ingest_ts``)
 in batch into the same result tables. Another part of the history needs
 another ``--name``. ``compact`` folds the runs of all outputs, also while streams run.
-``recount`` adds the late leads that a ``--watermark`` kept out of earlier days.
+``recount`` adds the late leads that a ``--watermark`` kept out of earlier days. ``replies``
+matches replies to identity messages. ``restore`` fills new result tables from the state
+of a stopped job, for a new checkpoint to go on from.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ import argparse
 import sys
 
 from leadpulse.operators.parse import PRODUCER_ALIASES
-from leadpulse.session import build_session
+from leadpulse.session import build_session, ship
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -48,8 +52,8 @@ def _parser() -> argparse.ArgumentParser:
                    help="state store partitions of a new checkpoint")
     s.add_argument("--producer-aliases", action="store_true",
                    help="bind preLeadId / countryName as leadId / countyName")
-    s.add_argument("--ledger", action="store_true",
-                   help="write an offset ledger row per micro-batch under --out/offset_ledger")
+    s.add_argument("--until-midnight", action="store_true",
+                   help="run to the session's next midnight, end the running batches, then stop")
     b = sub.add_parser("backfill", help="load a message table in batch")
     b.add_argument("--messages", required=True, help="parquet with value, ingest_ts")
     b.add_argument("--out", required=True)
@@ -64,7 +68,18 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--out", required=True)
     r.add_argument("--before", required=True,
                    help="yyyy-mm-dd: days before it, which must lie behind the watermark")
-    for q in (s, b, c, r):
+    r.add_argument("--since", default=None, help="yyyy-mm-dd: only days from it on")
+    m = sub.add_parser("replies", help="match the identity service's replies to the messages")
+    m.add_argument("--out", required=True, help="base folder of a stream job")
+    m.add_argument("--replies", required=True,
+                   help="folder of JSON-line replies (leadid, attempt, reply, reply_ts)")
+    m.add_argument("--limit", default="1 hour", help="within which a reply counts")
+    m.add_argument("--delay", default="10 minutes", help="by which rows may come out of order")
+    m.add_argument("--available-now", action="store_true")
+    w = sub.add_parser("restore", help="give result tables the totals of a checkpoint's state")
+    w.add_argument("--out", required=True, help="base folder of the new tables")
+    w.add_argument("--old", required=True, help="base folder of the stopped stream job")
+    for q in (s, b, c, r, m, w):
         q.add_argument("--master", default=None)
     return p
 
@@ -73,18 +88,34 @@ def run(argv: list[str] | None = None, spark=None):
     """Run a command; returns the started queries (stream) or None."""
     args = _parser().parse_args(argv)
     spark = spark or build_session(args.master)
+    ship(spark)
     if args.command == "compact":
-        from leadpulse.sinks.runs import compact_runs
         from leadpulse.streaming.jobs import CounterSink, DimSink, RawSink
         RawSink(args.out, args.compression).compact(spark)
-        compact_runs(spark, f"{args.out}/offset_ledger")
         dims = DimSink(args.out)
         for table in (CounterSink(args.out).table, dims.daily, dims.newest):
             table.compact(spark)
         return None
     if args.command == "recount":
         from leadpulse.streaming.recount import recount
-        recount(spark, args.out, args.before)
+        recount(spark, args.out, args.before, since=args.since)
+        return None
+    if args.command == "replies":
+        from leadpulse.operators.parse import split_good
+        from leadpulse.streaming.jobs import DEFAULT_TRIGGER, start
+        from leadpulse.streaming.replies import (REPLY_LOG_SCHEMA, ReplySink, first_attempts,
+                                                 match_replies)
+        stored = spark.readStream.schema(spark.read.parquet(f"{args.out}/leads").schema).parquet(
+            f"{args.out}/leads")
+        log = spark.readStream.schema(REPLY_LOG_SCHEMA).json(args.replies)
+        matched = match_replies(first_attempts(split_good(stored)), log, args.limit, args.delay)
+        trigger = {"availableNow": True} if args.available_now else DEFAULT_TRIGGER
+        return {"replies": start(matched, ReplySink(args.out), f"{args.out}/_checkpoints/replies",
+                                 trigger, output_mode="append")}
+    if args.command == "restore":
+        from leadpulse.streaming.state import restore
+        restore(spark, args.out, f"{args.old}/_checkpoints/counters",
+                f"{args.old}/_checkpoints/dims")
         return None
     parse_options = {"aliases": PRODUCER_ALIASES} if args.producer_aliases else {}
     if args.command == "backfill":
@@ -104,10 +135,12 @@ def run(argv: list[str] | None = None, spark=None):
     trigger = ({"availableNow": True} if args.available_now
                else {"processingTime": f"{args.trigger_seconds} seconds"})
     watermark = None if args.watermark.lower() == "none" else args.watermark
-    if args.ledger:
-        from leadpulse.streaming.ledger import OffsetLedgerListener
-        spark.streams.addListener(OffsetLedgerListener(spark, f"{args.out}/offset_ledger"))
-    return start_all(messages, args.out, trigger, watermark, args.state_partitions, **parse_options)
+    queries = start_all(messages, args.out, trigger, watermark, args.state_partitions,
+                        **parse_options)
+    if args.until_midnight and not args.available_now:
+        from leadpulse.streaming.drain import run_for, seconds_to_midnight
+        run_for(queries, seconds_to_midnight(spark))
+    return queries
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -26,6 +26,19 @@ def date_prefix(c: Column) -> Column:
     return F.try_to_date(F.regexp_extract(c, r"^\d{4}-\d{1,2}-\d{1,2}", 0), "yyyy-M-d")
 
 
+def lenient_date(c: Column) -> Column:
+    """Date that a text starts with, where month and day may lie out of range.
+
+    They carry over: month 13 is January of the next year, day 0 the last day of the
+    month before. NULL if the text does not start with three numbers joined by ``-``.
+    """
+    year, month, day = (F.try_to_number(F.nullif(
+        F.regexp_extract(c, r"^(\d{1,4})-(\d{1,5})-(\d{1,5})", n), F.lit("")), F.lit("99999"))
+        .cast("int") for n in (1, 2, 3))
+    first = F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1)
+    return F.date_add(first, day - 1)
+
+
 def ingest_day(ts: Column) -> Column:
     """Day a message belongs to (P8), in the session time zone."""
     return F.to_date(ts)

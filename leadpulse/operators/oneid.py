@@ -12,13 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadpulse.functions.dates import date_prefix, epoch_millis_of_day
+from leadpulse.functions.dates import date_prefix, epoch_millis_of_day, lenient_date
 from leadpulse.schema import ONEID_SCHEMA, REPLY_SCHEMA
 
 
-def oneid_payload(create_time: Column) -> Column:
-    """JSON payload for a lead's ``createTime`` text; NULL when no date parses."""
-    day = date_prefix(create_time)
+def oneid_payload(create_time: Column, lenient: bool = False) -> Column:
+    """JSON payload for a lead's ``createTime`` text; NULL when no date parses.
+
+    ``lenient`` lets months and days out of range carry over, as the reference does.
+    """
+    day = lenient_date(create_time) if lenient else date_prefix(create_time)
     fields = []
     for field in ONEID_SCHEMA.fields:
         if field.name == "createTime":
@@ -28,12 +31,12 @@ def oneid_payload(create_time: Column) -> Column:
     return F.when(day.isNotNull(), F.to_json(F.struct(*fields)))
 
 
-def oneid_outbox(leads: DataFrame, *extra: str) -> DataFrame:
+def oneid_outbox(leads: DataFrame, *extra: str, lenient: bool = False) -> DataFrame:
     """``leadid, payload`` per lead whose createTime gives a date.
 
     ``extra`` columns (for example ``day`` to partition by) are carried along.
     """
-    payload = oneid_payload(F.col("createTime"))
+    payload = oneid_payload(F.col("createTime"), lenient)
     return (leads.select(F.col("leadId").alias("leadid"), payload.alias("payload"), *extra)
             .filter(F.col("payload").isNotNull()))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from leadpulse.functions.dates import ms_to_next_midnight
 from leadpulse.functions.text import json_string_field
-from leadpulse.operators import lines, metrics, oneid
+from leadpulse.operators import lines, metrics, oneid, repair, untyped
 from leadpulse.operators.parse import parse_leads, quarantine
 from leadpulse.operators.upsert import upsert
 from leadpulse.schema import LEAD_FIELDS, TOTAL_COLUMNS
@@ -113,6 +113,41 @@ def q_oneid_reply(spark, sf_dir):
     return good.select(oneid.parse_reply(reply).alias("r")).select("r.*")
 
 
+def q_oneid_lenient(spark, sf_dir):
+    """Months and days out of range carried over."""
+    return oneid.oneid_outbox(leads(spark, sf_dir, "rollover"), lenient=True)
+
+
+def q_reply_variant(spark, sf_dir):
+    """Replies whose ``data`` is an object, a text, a list, null or a flag, or that are no
+    JSON at all, by the lead id modulo 6."""
+    key = F.col("leadId").cast("bigint")
+    data = F.concat(F.lit('{"createTime":'), key, F.lit("}"))
+    for remainder, text in enumerate(('"none"', "[1,2]", "null", "true"), 1):
+        data = F.when(key % 6 == remainder, F.lit(text)).otherwise(data)
+    text = F.concat(F.lit('{"code":200,"status":"success","data":'), data,
+                    F.when(key % 6 == 5, F.lit("")).otherwise(F.lit("}")))
+    rows = leads(spark, sf_dir).select("leadId", untyped.reply_variant(text).alias("r"))
+    return rows.select(F.col("leadId").alias("leadid"), "r.code", "r.data_type", untyped.variant_value(
+        F.col("r.data"), "$.createTime", "bigint").alias("create_time"))
+
+
+def q_unknown_fields(spark, sf_dir):
+    return untyped.unknown_fields(lead_messages(spark, sf_dir, "extra"))
+
+
+def q_line_repair(spark, sf_dir):
+    """Lines whose dealer's name holds a separator, put right by what regular lines hold; a
+    separator in the third source level could as well belong to the fourth."""
+    good = leads(spark, sf_dir, "dirty").withColumn("vfrom3", F.when(
+        F.col("leadId").cast("bigint") % 29 == 0, F.concat("vfrom3", F.lit(";x"))).otherwise(
+        F.col("vfrom3")))
+    stored = written(spark, good.select("leadId", lines.line_of().alias("line")), "lines")
+    repaired = repair.repair_lines(stored, repair.learn_kinds(stored))
+    return repaired.select(F.col("leadId").alias("leadid"), "status", *[
+        repair.repaired_field(n).alias(n.lower()) for n in ("dealerName", "regionCode", "newLeadDealer")])
+
+
 def q_csv_unquote(spark, sf_dir):
     return leads(spark, sf_dir, "csv", unquote=True).select(F.col("leadId").alias("leadid"))
 
@@ -166,6 +201,10 @@ BATCH_QUERIES = {
     "oneid_outbox": q_oneid_outbox,
     "oneid_reply": q_oneid_reply,
     "csv_unquote": q_csv_unquote,
+    "oneid_lenient": q_oneid_lenient,
+    "reply_variant": q_reply_variant,
+    "unknown_fields": q_unknown_fields,
+    "line_repair": q_line_repair,
     "quarantine": q_quarantine,
     "upsert_totals": q_upsert_totals,
     "expire_counters": q_expire_counters,

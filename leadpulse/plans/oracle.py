@@ -28,30 +28,30 @@ LEAD_VIEW = f"""L as (
   case o_orderkey % 3 when 0 then true when 1 then false end as newLeadDealer
  from {ORDER_JOIN})"""
 
-_FIELDS = ("leadId, createTime, dealerId, dealerName, countyCode, countyName, cityCode, "
+FIELDS = ("leadId, createTime, dealerId, dealerName, countyCode, countyName, cityCode, "
            "cityName, provinceCode, provinceName, regionCode, regionName, seriesCode, "
            "seriesName, vfrom1, vfrom2, vfrom3, vfrom4, newLeadHQ, newLeadDealer")
 
-_COMPLETE = ("newLeadDealer and vfrom1 is not null and vfrom2 is not null and vfrom3 is not null"
+COMPLETE = ("newLeadDealer and vfrom1 is not null and vfrom2 is not null and vfrom3 is not null"
              " and vfrom4 is not null and regionCode is not null and provinceCode is not null")
 
 _DD = f"""DD as (
  select day as lz_date, vfrom1, vfrom2, vfrom3, vfrom4,
   regionCode as region_code, provinceCode as province_code, count(*) as lead_cnt
- from L where {_COMPLETE}
+ from L where {COMPLETE}
  group by all)"""
 
-_DIM_COLS = "vfrom1, vfrom2, vfrom3, vfrom4, region_code, province_code"
+DIM_COLS = "vfrom1, vfrom2, vfrom3, vfrom4, region_code, province_code"
 
 _LINE = ("concat_ws(';', " + ", ".join(
-    f"coalesce(cast({f.strip()} as varchar), '\\N')" for f in _FIELDS.split(",")) + ", 'lead_center')")
+    f"coalesce(cast({f.strip()} as varchar), '\\N')" for f in FIELDS.split(",")) + ", 'lead_center')")
 
-_PAYLOAD = ("'{\"createTime\":' || epoch_ms(cast(cast(substr(createTime, 1, 10) as date) as timestamp))"
+PAYLOAD = ("'{\"createTime\":' || epoch_ms(cast(cast(substr(createTime, 1, 10) as date) as timestamp))"
             " || '}'")
 
 # The ``dirty`` fixture: its good leads, and the messages set aside.
 _FORM = "cast(leadId as bigint) % 23"
-_DIRTY_FIELDS = (_FIELDS
+_DIRTY_FIELDS = (FIELDS
     .replace("createTime", f"case {_FORM} when 7 then '2019-1-5 10:00:00' when 8 then 'soon'"
                            " else createTime end as createTime")
     .replace("dealerName", f"case {_FORM} when 6 then 'a;b' else dealerName end as dealerName")
@@ -75,7 +75,7 @@ def with_ctes(*ctes: str) -> str:
 
 
 ORACLE_SQL = {
-    "parse_leads": with_ctes(LEAD_VIEW) + f"select {_FIELDS} from L",
+    "parse_leads": with_ctes(LEAD_VIEW) + f"select {FIELDS} from L",
     "lead_lines": with_ctes(LEAD_VIEW) + f"select {_LINE} as line from L",
     "line_fields": with_ctes(LEAD_VIEW) + (
         "select leadId as leadid, regionCode as regioncode, vfrom2,"
@@ -96,15 +96,15 @@ ORACLE_SQL = {
     "lead_counters_daily": with_ctes(LEAD_VIEW) + (
         "select day, count(*) as total, count(*) filter (where newLeadHQ) as hq,"
         " count(*) filter (where newLeadDealer) as dealer from L group by day"),
-    "complete_leads": with_ctes(LEAD_VIEW) + f"select leadId as leadid from L where {_COMPLETE}",
+    "complete_leads": with_ctes(LEAD_VIEW) + f"select leadId as leadid from L where {COMPLETE}",
     "lead_dim_daily": with_ctes(LEAD_VIEW, _DD) + "select * from DD",
     "lead_dim_latest": with_ctes(LEAD_VIEW, _DD) + (
-        f"select {_DIM_COLS}, min(lz_date) as lz_date, arg_max(lead_cnt, lz_date) as lead_cnt"
+        f"select {DIM_COLS}, min(lz_date) as lz_date, arg_max(lead_cnt, lz_date) as lead_cnt"
         f" from DD group by all"),
     "oneid_outbox": with_ctes(LEAD_VIEW) + (
-        f"select leadId as leadid, {_PAYLOAD} as payload from L where createTime is not null"),
+        f"select leadId as leadid, {PAYLOAD} as payload from L where createTime is not null"),
     "oneid_reply": with_ctes(LEAD_VIEW) + (
-        f"select 200 as code, 'success' as status, leadId as msg, {_PAYLOAD} as data from L"),
+        f"select 200 as code, 'success' as status, leadId as msg, {PAYLOAD} as data from L"),
     "csv_unquote": with_ctes(LEAD_VIEW) + "select leadId as leadid from L",
     "quarantine": (f"select cast(o_orderkey as varchar) as leadid, 'malformed' as reason"
                    f" from {ORDER_JOIN} where o_orderkey % 19 = 0"),
@@ -119,10 +119,34 @@ ORACLE_SQL = {
         " as clue_amounts from old o full join new n on o.clue_dt = n.clue_dt"),
     "expire_counters": with_ctes(
         LEAD_VIEW, _DD,
-        f"latest as (select {_DIM_COLS}, max(lz_date) as last_day,"
+        f"latest as (select {DIM_COLS}, max(lz_date) as last_day,"
         f" arg_max(lead_cnt, lz_date) as lead_cnt from DD group by all)") + (
-        f"select {_DIM_COLS}, lead_cnt from latest"
+        f"select {DIM_COLS}, lead_cnt from latest"
         " where last_day > (select max(lz_date) from DD) - interval 365 days"),
     "ms_to_midnight": ("select event_id, epoch_us(date_trunc('day', ts) + interval 1 day) // 1000"
                        " - epoch_us(ts) // 1000 as ms from events"),
+    "oneid_lenient": with_ctes(LEAD_VIEW, "R as (select leadId, case cast(leadId as bigint) % 7"
+                               " when 0 then date '2020-01-05' when 1 then date '2019-03-02'"
+                               " when 2 then date '2018-12-10' when 3 then date '2019-02-28'"
+                               " when 4 then date '2021-03-02' when 5 then null"
+                               " else cast(substr(createTime, 1, 10) as date) end as d"
+                               " from L where createTime is not null)") + (
+        "select leadId as leadid, '{\"createTime\":' || epoch_ms(cast(d as timestamp)) || '}' as payload"
+        " from R where d is not null"),
+    "reply_variant": with_ctes(LEAD_VIEW) + (
+        "select leadId as leadid, case when cast(leadId as bigint) % 6 <> 5 then 200 end as code,"
+        " case cast(leadId as bigint) % 6 when 0 then 'OBJECT<createTime: BIGINT>' when 1 then 'STRING'"
+        " when 2 then 'ARRAY<BIGINT>' when 3 then 'VOID' when 4 then 'BOOLEAN' end as data_type,"
+        " case when cast(leadId as bigint) % 6 = 0 then cast(leadId as bigint) end as create_time from L"),
+    "unknown_fields": (
+        f"select 'pkId' as field, count(*) as messages, 'BIGINT' as kind from {ORDER_JOIN} union all"
+        f" select 'id', count(*) filter (where o_orderkey % 5 <> 0), 'STRING' from {ORDER_JOIN} union all"
+        f" select 'updateTime', count(*), 'VARIANT' from {ORDER_JOIN}"),
+    "line_repair": with_ctes(LEAD_VIEW, f"D as ({_DIRTY_LEADS})") + (
+        "select leadId as leadid, case when cast(leadId as bigint) % 29 = 0 then 'ambiguous'"
+        f" when {_FORM} = 6 then 'repaired' else 'whole' end as status,"
+        " case when cast(leadId as bigint) % 29 <> 0 then dealerName end as dealername,"
+        " case when cast(leadId as bigint) % 29 <> 0 then regionCode end as regioncode,"
+        " case when cast(leadId as bigint) % 29 <> 0 then cast(newLeadDealer as varchar) end as newleaddealer"
+        " from D"),
 }

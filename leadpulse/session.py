@@ -8,9 +8,11 @@ that has none (a local test run) gets a fresh folder of its own.
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,8 @@ DEFAULTS = {
     # Commit one changelog file per partition and batch, not a full snapshot.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Micro-batches without state are re-planned by size as well.
+    "spark.sql.adaptive.streaming.stateless.enabled": "true",
 }
 
 
@@ -73,3 +77,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/leadpulse/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the executors import this package, wherever they run: a zip of its modules goes to
+    them as a Spark file, once per application. ``--py-files`` does the same."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="leadpulse-ship-"), "leadpulse.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, files in os.walk(package):
+            for name in sorted(f for f in files if f.endswith(".py")):
+                file = os.path.join(folder, name)
+                out.write(file, os.path.relpath(file, os.path.dirname(package)))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)

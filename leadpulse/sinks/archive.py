@@ -63,3 +63,16 @@ def compact_archive(spark: SparkSession, path: str, compression: str | None = No
 def archive_counts(archive: DataFrame) -> DataFrame:
     """Lines per day of an archive."""
     return archive.groupBy("dt").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def recheck(archive: DataFrame, counts: DataFrame) -> DataFrame:
+    """Days whose lines need another look: ``dt, counted, recorded, lines``.
+
+    ``counts`` (a row per day) has what the leads count and what a record says of the
+    archive. Only the folders of the days where they differ are read (dynamic partition
+    pruning by the small side, which holds at most a row per day).
+    """
+    differ = counts.where(F.col("counted") != F.col("recorded"))
+    lines = archive.join(F.broadcast(differ.select("dt")), "dt").groupBy("dt").agg(
+        F.count(F.lit(1)).alias("lines"))
+    return differ.join(lines, "dt", "left").withColumn("lines", F.coalesce("lines", F.lit(0)))

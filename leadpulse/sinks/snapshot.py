@@ -50,7 +50,10 @@ class SnapshotTable:
 
     def missing(self, whole: DataFrame, writers: str) -> DataFrame:
         """What the writers whose names match a pattern lack of ``whole``'s counts."""
-        runs = self._runs(whole.sparkSession).filter(F.col(WRITER).rlike(writers))
+        try:
+            runs = self._runs(whole.sparkSession).filter(F.col(WRITER).rlike(writers))
+        except FileNotFoundError:  # nothing was written yet
+            return whole.select(*self.keys, *self.amounts)
         held = self._over_writers(self._last(runs)).select(
             *self.keys, *[F.col(c).alias(f"_held_{c}") for c in self.amounts])
         lack = {c: F.col(c) - F.coalesce(f"_held_{c}", F.lit(0)) for c in self.amounts}

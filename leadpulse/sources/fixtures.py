@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from leadpulse.functions.dates import timestamp_text
 
-VARIANTS = ("clean", "truncated", "csv", "dirty")
+VARIANTS = ("clean", "truncated", "csv", "dirty", "extra", "rollover")
 
 # Day-aligned cuts of the streaming fixture: three slices in time order.
 SLICE_CUTS = ("1997-01-01", "1999-01-01")
@@ -105,7 +105,8 @@ def lead_messages(spark: SparkSession, sf_dir: str, variant: str = "clean",
 
     ``truncated`` cuts the last five characters of every 19th message;
     ``csv`` doubles every quote and wraps the text in quotes; ``dirty`` gives
-    the forms of :func:`dirty` by the order key modulo 23.
+    the forms of :func:`dirty` by the order key modulo 23; ``extra`` adds fields that the
+    lead schema does not name; ``rollover`` gives dates out of range.
     """
     if variant not in VARIANTS:
         raise ValueError(f"variant must be one of {VARIANTS}")
@@ -116,6 +117,15 @@ def lead_messages(spark: SparkSession, sf_dir: str, variant: str = "clean",
                        F.expr("substring(value, 1, length(value) - 5)")).otherwise(value)
     elif variant == "csv":
         value = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+    elif variant == "extra":
+        key = F.col("o_orderkey")
+        value = F.concat(
+            F.lit("{"), F.when(key % 5 != 0, F.concat(F.lit('"id":"k'), key, F.lit('",')))
+            .otherwise(F.lit("")), F.lit('"updateTime":'),
+            F.when(key % 2 == 0, key.cast("string")).otherwise(F.lit('"2019-01-05 10:00:00"')),
+            F.lit(","), F.expr("substring(value, 2)"))
+    elif variant == "rollover":
+        value = rollover(value)
     ts = F.col("ingest_ts")
     if variant == "dirty":
         value, ts = dirty(value, ts)
@@ -123,6 +133,17 @@ def lead_messages(spark: SparkSession, sf_dir: str, variant: str = "clean",
     return messages.select(*key, value.alias("value"), ts.alias("ingest_ts"))
 
 
+def rollover(value):
+    """Message text whose ``createTime`` has a month or a day out of range, by the order
+    key modulo 7."""
+    text = value
+    for remainder, stamp in enumerate(("2019-13-5 10:00:00", "2019-2-30", "2019-0-10",
+                                       "2019-03-00 01:02:03", "2019-25-61", "none")):
+        text = F.when(F.col("o_orderkey") % 7 == remainder, F.regexp_replace(
+            value, '"createTime":"[^"]+"', f'"createTime":"{stamp}"')).otherwise(text)
+    return text
+
+
 def dirty(value, ts):
     """Message text and time with odd but valid forms (flags, dates, blanks, a
     separator in a value) and messages to set aside, by the order key modulo 23."""

@@ -25,17 +25,18 @@ them are dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from leadpulse.functions.dates import local_clock, window_day
+from leadpulse.functions.dates import ingest_day, local_clock, window_day
 from leadpulse.operators import metrics
 from leadpulse.operators.oneid import oneid_outbox
 from leadpulse.operators.parse import REASON, parse_messages, split_good, split_quarantine
 from leadpulse.schema import DIM_COLUMNS
 from leadpulse.sinks.archive import compact_archive, write_archive
-from leadpulse.sinks.runs import compact_runs, make_folder, run_name, write_run, writer_of
+from leadpulse.sinks.runs import (compact_runs, make_folder, read_runs, run_name, write_run,
+                                   writer_of)
 from leadpulse.sinks.snapshot import LatestTable, SnapshotTable
 
 DAY = "1 day"
@@ -49,6 +50,20 @@ def parsed_stream(messages: DataFrame, **parse_options) -> DataFrame:
     return parsed.withColumn("value", F.when(F.col(REASON).isNotNull(), F.col("value")))
 
 
+LEADS_DAY = "lead_day"  # partitions the leads table
+
+
+def leads_by_day(parsed: DataFrame) -> DataFrame:
+    """Parsed rows as the leads table holds them: by day, in few files per batch.
+
+    A batch is rebalanced by day (a small day to one file, a busy one split by size), so
+    its files do not multiply with the tasks that parsed it. Days are those of the
+    session's time zone; rows set aside for want of a time have none.
+    """
+    return (parsed.withColumn(LEADS_DAY, ingest_day(F.col("ingest_ts")))
+            .hint("rebalance", LEADS_DAY))
+
+
 def _parsed(rows: DataFrame, **parse_options) -> DataFrame:
     """``rows`` as they are if they are parsed, else parsed."""
     return rows if REASON in rows.columns else parse_messages(rows, **parse_options)
@@ -144,6 +159,7 @@ class DimSink:
         return self.newest.read(spark).drop("last_day")
 
 
+BATCH_RECORD = "batch bigint, messages bigint, leads bigint, set_aside bigint, newest bigint"
 RAW_OUTPUTS = ("archive", "outbox", "quarantine", "batches")
 
 
@@ -174,21 +190,32 @@ class RawSink:
             if rows.isEmpty():
                 return
             run = run_name(writer_of(batch.sparkSession), batch_id)
+            # The first output that is written carries the counts of the batch along.
+            counts = Observation()
+            seen = rows.observe(counts, F.count(F.lit(1)).alias("messages"),
+                                F.count_if(F.col(REASON).isNull()).alias("leads"),
+                                F.count_if(F.col(REASON).isNotNull()).alias("set_aside"),
+                                F.max(F.unix_micros("ingest_ts")).alias("newest"))
+            if "quarantine" in self.outputs:
+                write_run(split_quarantine(seen), self.quarantine, run)
+            elif "batches" in self.outputs:
+                seen.write.format("noop").mode("overwrite").save()
             good = split_good(rows)
             if "archive" in self.outputs:
                 write_archive(good, self.archive, run, compression=self.compression)
             if "outbox" in self.outputs:
                 write_run(oneid_outbox(good, "day"), self.outbox, run)
-            if "quarantine" in self.outputs:
-                write_run(split_quarantine(rows), self.quarantine, run)
             if "batches" in self.outputs:
-                write_run(rows.agg(F.lit(int(batch_id)).cast("bigint").alias("batch"),
-                                   F.count(F.lit(1)).alias("messages"),
-                                   F.count_if(F.col(REASON).isNull()).alias("leads"),
-                                   F.count_if(F.col(REASON).isNotNull()).alias("set_aside"),
-                                   F.max("ingest_ts").alias("newest")),
+                got = counts.get
+                row = (int(batch_id), got["messages"], got["leads"], got["set_aside"], got["newest"])
+                record = batch.sparkSession.createDataFrame([row], BATCH_RECORD)
+                write_run(record.withColumn("newest", F.timestamp_micros("newest")).coalesce(1),
                           self.batches, run)
 
+    def read_batches(self, spark: SparkSession) -> DataFrame:
+        """The record of the batches, each once."""
+        return read_runs(spark, self.batches)
+
     def compact(self, spark: SparkSession) -> int:
         """Fold the finished runs of the outputs; returns how many were folded."""
         folded = compact_archive(spark, self.archive, self.compression)
@@ -239,9 +266,10 @@ def start_all(messages: DataFrame, base: str, trigger: dict | None = None,
     trigger = trigger or DEFAULT_TRIGGER
     spark = messages.sparkSession
     path = f"{base}/leads"
-    parsed = parsed_stream(messages, **parse_options)
+    parsed = leads_by_day(parsed_stream(messages, **parse_options))
     make_folder(spark, path)    # the readers may come before its first batch
     leads = (parsed.writeStream.format("parquet").outputMode("append").trigger(**trigger)
+             .partitionBy(LEADS_DAY)
              .option("checkpointLocation", f"{base}/_checkpoints/leads").start(path))
     if "processingTime" not in trigger:
         leads.awaitTermination()

@@ -63,7 +63,7 @@ def test_every_query_is_registered_with_a_callable(spark):
     assert set(E.oracle_sql()) <= set(E.queries())
     qs = registry.queries()
     assert set(qs) <= set(E.queries())
-    assert set(qs) == set(registry.oracle_sql()) | {"offset_ledger"}
+    assert set(qs) == set(registry.oracle_sql())
     assert all(callable(q) for q in qs.values())
 
 

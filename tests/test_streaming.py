@@ -9,14 +9,18 @@ from leadpulse.session import scratch_dir
 from leadpulse.sources.fixtures import SLICE_CUTS, lead_messages
 from leadpulse.sources.stream import file_leads, kafka_options, write_envelopes
 from leadpulse.streaming import jobs
-from leadpulse.streaming.ledger import ledger_rows
-from leadpulse.streaming.recount import recount
+from leadpulse.streaming.recount import recount, stored_leads
 
 
 def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+def too_late(progress):
+    """Rows that a batch dropped behind the watermark."""
+    return sum(int(o.numRowsDroppedByWatermark) for o in progress.stateOperators)
+
+
 def test_counters_stream_equals_batch_and_survives_restarts(spark, small_dir):
     holder = {}
 
@@ -28,10 +32,10 @@ def test_counters_stream_equals_batch_and_survives_restarts(spark, small_dir):
     batch = metrics.split_counters(metrics.day_counters(leads(spark, small_dir)))
     for name, view in holder["sink"].views(spark).items():
         assert rows(view) == rows(batch[name])
-    ledger = ledger_rows(progress)
-    assert len(ledger) == 3                                    # one data batch per restart
-    assert all(r[6] == 0 for r in ledger)                      # nothing came too late
-    assert sum(r[5] for r in ledger) == lead_messages(spark, small_dir).count()
+    read = [p for p in progress if p.numInputRows]
+    assert len(read) == 3                                      # one data batch per restart
+    assert sum(map(too_late, read)) == 0
+    assert sum(p.numInputRows for p in read) == lead_messages(spark, small_dir).count()
 
 
 def test_replayed_batch_changes_nothing(spark, small_dir):
@@ -54,7 +58,7 @@ def test_late_slices_are_dropped_behind_the_watermark(spark, small_dir):
                           f"{base}/_ckpt", ONCE)
 
     _, progress = replay(spark, small_dir, run, reverse=True, name="late")
-    dropped = [r[6] for r in ledger_rows(progress)]
+    dropped = [too_late(p) for p in progress if p.numInputRows]
     assert dropped[0] == 0 and all(n > 0 for n in dropped[1:])
     got = holder["sink"].views(spark)["total"]
     newest = metrics.total_daily(leads(spark, small_dir)).filter(F.col("clue_dt") >= SLICE_CUTS[-1])
@@ -64,7 +68,7 @@ def test_late_slices_are_dropped_behind_the_watermark(spark, small_dir):
 def test_recount_adds_the_late_leads_and_no_more(spark, small_dir):
     base = scratch_dir(spark, "recount")
     msgs = lead_messages(spark, small_dir)
-    jobs.parsed_stream(msgs).write.parquet(f"{base}/leads")
+    jobs.leads_by_day(jobs.parsed_stream(msgs)).write.parquet(f"{base}/leads")
     counters, dims = jobs.CounterSink(base), jobs.DimSink(base)
     msgs.write.parquet(f"{base}/messages")
     msgs = spark.read.parquet(f"{base}/messages")
@@ -191,34 +195,58 @@ def test_processing_clock_counts_leads_under_the_run_day(spark, small_dir):
     assert abs((got[0]["clue_dt"] - dt.datetime.now(dt.timezone.utc).date()).days) <= 1
 
 
-def test_offset_ledger_listener_appends_a_row_per_batch(spark, small_dir):
-    import time
-    from leadpulse.streaming.ledger import OffsetLedgerListener
-    base = scratch_dir(spark, "ledger")
-    write_envelopes(lead_messages(spark, small_dir), f"{base}/in")
-    sink = jobs.CounterSink(base)
-    listener = OffsetLedgerListener(spark, f"{base}/ledger")   # the only running query
-    spark.streams.addListener(listener)
-    try:
-        q = jobs.start(jobs.counters_stream(file_leads(spark, f"{base}/in")), sink, f"{base}/ck",
-                       ONCE, state_partitions=4)
+def test_leads_table_is_partitioned_by_day_in_few_files_and_recount_prunes(spark):
+    import contextlib
+    import datetime as dt
+    import glob
+    import io
+    from lead_messages import messages
+    base = scratch_dir(spark, "byday")
+    texts = ['{"leadId":"%d"}' % i for i in range(400)]
+    for day in (1, 2, 3):
+        write_envelopes(messages(spark, texts, f"2024-03-0{day} 10:00:00").repartition(8), f"{base}/in")
+    for q in jobs.start_all(file_leads(spark, f"{base}/in"), base, ONCE, state_partitions=2).values():
+        q.awaitTermination()
+    files = glob.glob(f"{base}/leads/lead_day=*/*.parquet".removeprefix("file:"))
+    assert len(files) == 3                     # of 24 tasks' rows
+    df = stored_leads(spark, base, dt.date(2024, 3, 3), dt.date(2024, 3, 2))
+    assert [str(r.day) for r in df.select("day").distinct().collect()] == ["2024-03-02"]
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    assert "PartitionFilters: [isnotnull(lead_day" in out.getvalue()
+    recount(spark, base, "2024-03-03", since="2024-03-02")
+    assert [r[1] for r in rows(jobs.CounterSink(base).table.read(spark))] == [400] * 3
+
+
+def test_batch_record_is_observed_whatever_is_written(spark):
+    from lead_messages import messages
+    for outputs in (("batches",), jobs.RAW_OUTPUTS):
+        sink = jobs.RawSink(scratch_dir(spark, "observed"), outputs=outputs)
+        sink(messages(spark, ['{"leadId":"a"}', "{", ""]), 4)
+        got = sink.read_batches(spark).drop("run").collect()
+        assert [tuple(r)[:4] for r in got] == [(4, 3, 1, 2)]
+        assert str(got[0]["newest"]) == "2024-03-01 10:00:00"
+
+
+def test_drain_ends_batches_and_a_restart_loses_and_repeats_nothing(spark):
+    from lead_messages import messages
+    from leadpulse.streaming.drain import run_for, seconds_to_midnight
+    assert 0 < seconds_to_midnight(spark) <= 86400
+    base = scratch_dir(spark, "drain")
+    for part in (1, 2):
+        write_envelopes(messages(spark, ['{"leadId":"a"}', "{"] * 5), f"{base}/in")
+        queries = jobs.start_all(file_leads(spark, f"{base}/in"), f"{base}/out",
+                                 {"processingTime": "1 second"}, state_partitions=2)
+        run_for(queries, 3)
+        assert not any(q.isActive for q in queries.values())
+    for q in jobs.start_all(file_leads(spark, f"{base}/in"), f"{base}/out", ONCE,
+                            state_partitions=2).values():
         q.awaitTermination()
-        deadline = time.time() + 30
-        rows = []
-        while time.time() < deadline:           # listener events arrive asynchronously
-            try:
-                rows = spark.read.parquet(f"{base}/ledger").collect()
-            except Exception:
-                rows = []
-            if rows:
-                break
-            time.sleep(1)
-    finally:
-        spark.streams.removeListener(listener)
-    assert [r["num_rows"] for r in rows] == [lead_messages(spark, small_dir).count()]
-    assert rows[0]["end_offset"] is not None
-    listener.onQueryProgress(type("Event", (), {"progress": q.lastProgress}))  # reported again
-    assert spark.read.parquet(f"{base}/ledger").count() == 1
+    assert [r[1] for r in rows(jobs.CounterSink(f"{base}/out").table.read(spark))] == [10]
+    sink = jobs.RawSink(f"{base}/out")
+    assert spark.read.text(sink.archive).count() == 10
+    assert spark.read.parquet(sink.quarantine).count() == 10
 
 
 def test_any_split_into_ordered_batches_gives_the_batch_totals(spark, small_dir):
