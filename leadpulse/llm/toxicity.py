@@ -11,7 +11,9 @@ signs, by stem, and by the intersection of its Levenshtein automaton with the
 lexicon's trie, which finds words one edit away, and words that begin one edit away from
 a stem. A misspelling that is itself a word of clean texts is none, nor is a
 spelling, of a word or its beginning, that many texts without sure hits have:
-these are counted over the whole corpus. Each hit has a context-window score: inside
+these are counted over the whole corpus, and where they are too many to ship
+(``ORDINARY_ROWS``) they are joined to the texts that hold them. Tokens of any
+length are looked up. Each hit has a context-window score: inside
 quotation marks or after a word of reporting it counts less, as quotation
 rather than abuse.
 
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadpulse.llm.common import prepare, stage
+from leadpulse.llm.common import free_name, prepare, stage
 
 FIT_ROWS = 10000     # labelled rows that the model is fitted on, at most
 LEAST_CONTEXTS = 8   # contexts in toxic texts that an entry needs
@@ -43,10 +45,11 @@ STEMS = (3, 8)       # lengths of stems
 FUZZY = 4            # words and stems of so many letters may be misspelt
 LEAST_TEXTS = 3      # texts without a sure hit that an ordinary spelling needs
 LEAST_SHARE = 0.8    # share of its texts that these are
-LONGEST = 32         # longer tokens are no words
 WINDOW = 20          # tokens in which hits are counted together
 QUOTE_WINDOW = 80    # characters searched for quotation marks on either side
 KEPT_TOKENS = 400_000  # tokens whose lookup a worker remembers
+KEPT_LETTERS = 64    # longer tokens are looked up each time
+ORDINARY_ROWS = 100_000  # ordinary spellings that may be shipped to all tasks
 FOLDS = 5            # rows whose crc32(doc_id) mod 5 is 0 are held out
 
 TOKEN = re.compile(r"[^\W_]+(?:[*@$!]+[^\W_]+)*")
@@ -76,9 +79,10 @@ class LevenshteinAutomaton:
                             (i + 1, edits + (i >= len(self.word) or self.word[i] != letter))):
                 if j <= len(self.word) and cost < after.get(j, self.most + 1):
                     after[j] = cost
-        for i in range(len(self.word)):  # letters of the word left out
-            if i in after and after[i] + 1 < after.get(i + 1, self.most + 1):
+        for i in sorted(after):  # letters of the word left out
+            while i < len(self.word) and after[i] + 1 < after.get(i + 1, self.most + 1):
                 after[i + 1] = after[i] + 1
+                i += 1
         return after
 
     def accepts(self, state: dict[int, int]) -> bool:
@@ -120,6 +124,14 @@ class Trie:
                      if spelling not in benign), None)
 
 
+def cut(word: str) -> Iterator[str]:
+    """The word, and the word without each of its letters. Words one edit apart have one
+    of these in common, which tells most words apart without an automaton."""
+    yield word
+    for i in range(len(word)):
+        yield word[:i] + word[i + 1:]
+
+
 NONE, EXACT, STEM, NEAR = 0, 1, 2, 3
 
 
@@ -144,37 +156,77 @@ class Lexicon(dict):
                       for shift in (-1, 0, 1)}
         self.head_lengths = sorted({len(h) for h in self.heads})
         self.tail_lengths = sorted({len(t) for t in self.tails})
-        self.places = sorted({(at, at + len(t)) for at, t in self.inner})
+        self.places = [(at, to, {t for a, t in self.inner if a == at and len(t) == to - at})
+                       for at, to in sorted({(at, at + len(t)) for at, t in self.inner})]
+        self.cut_words = {c for w in long for c in cut(w)}
+        self.cut_stems = {c for s in stems for c in cut(s)}
+        self.longest = max(map(len, long), default=-2) + 1
+        self.beginnings = sorted({len(s) + d for s in stems for d in (-1, 0, 1)})
 
     def __reduce__(self):
         return Lexicon, (self.words, self.stems, self.benign, self.covered)
 
     def __missing__(self, token: str) -> int:
-        if len(token) > LONGEST:
-            return NONE
         if len(self) >= KEPT_TOKENS:
             self.clear()
-        plain = token
-        if not token.isalpha() and any(c.isalpha() for c in token):
-            plain = token.translate(LOOKALIKE)
-        self[token] = kind = self.kind(token) or self.kind(plain)
+        kind = self.kind(token)
+        if not kind and (word := plain(token)) != token:
+            kind = self.kind(word)
+        if len(token) <= KEPT_LETTERS:
+            self[token] = kind
         return kind
 
+    def spellings(self, token: str) -> set[str]:
+        """What must not be ordinary for a token to count as a misspelling: the word as it
+        is written and read, and its beginnings that are near a stem."""
+        out = {token, plain(token)}
+        for word in out.copy():
+            if self.may_be_near(word):
+                out.update(s for _, s in self.trie.matches(LevenshteinAutomaton(word)))
+        return out
+
+    def near_beyond(self, token: str, ordinary) -> bool:
+        """Whether a misspelling stays one beside further ordinary spellings."""
+        benign = self.benign.union(ordinary)
+        return any(word not in benign and self.may_be_near(word)
+                   and self.trie.near(LevenshteinAutomaton(word), benign)
+                   for word in {token, plain(token)})
+
     def kind(self, word: str) -> int:
         if word in self.words:
             return EXACT
-        if any(word[:n] in self.stems for n in self.stem_lengths if n <= len(word)):
-            return STEM
+        for n in self.stem_lengths:
+            if word[:n] in self.stems:
+                return STEM
         if word not in self.benign and self.may_be_near(word):
             if self.trie.near(LevenshteinAutomaton(word), self.benign):
                 return NEAR
         return NONE
 
     def may_be_near(self, word: str) -> bool:
-        return len(word) >= FUZZY - 1 and (
-            any(word[:n] in self.heads for n in self.head_lengths)
-            or any(word[-n:] in self.tails for n in self.tail_lengths)
-            or any((at, word[at:to]) in self.inner for at, to in self.places))
+        return len(word) >= FUZZY - 1 and self._has_half(word) and (
+            (len(word) <= self.longest and any(c in self.cut_words for c in cut(word)))
+            or any(c in self.cut_stems for n in self.beginnings if n <= len(word)
+                   for c in cut(word[:n])))
+
+    def _has_half(self, word: str) -> bool:
+        for n in self.head_lengths:
+            if word[:n] in self.heads:
+                return True
+        for n in self.tail_lengths:
+            if word[-n:] in self.tails:
+                return True
+        for at, to, halves in self.places:
+            if word[at:to] in halves:
+                return True
+        return False
+
+
+def plain(token: str) -> str:
+    """A token with letters in place of look-alike signs, if it has letters at all."""
+    if token.isalpha() or not any(map(str.isalpha, token)):
+        return token
+    return token.translate(LOOKALIKE)
 
 
 def quoted(text: str, start: int, end: int) -> bool:
@@ -190,12 +242,17 @@ def quoted(text: str, start: int, end: int) -> bool:
 FEATURES = 7
 
 
-def features(text: str | None, lexicon: Lexicon) -> np.ndarray:
+def features(text: str | None, lexicon: Lexicon, ordinary=()) -> np.ndarray:
     """What the lexicon finds in a text. All kinds of hits count alike, but for
-    their context, so what is learned of exact ones holds for misspelt ones."""
+    their context, so what is learned of exact ones holds for misspelt ones.
+    ``ordinary`` are spellings of the text that are ordinary ones, beside the
+    lexicon's own."""
     low = (text or "").lower()
     tokens = TOKEN.findall(low)
     kinds = list(map(lexicon.__getitem__, tokens))
+    if len(ordinary):
+        kinds = [NONE if kind == NEAR and not lexicon.near_beyond(t, ordinary) else kind
+                 for t, kind in zip(tokens, kinds)]
     out = np.zeros(FEATURES)
     out[0] = math.log1p(len(tokens))
     if not any(kinds):
@@ -222,14 +279,20 @@ def features(text: str | None, lexicon: Lexicon) -> np.ndarray:
 
 
 class Model:
-    """A lexicon and the weights of what it finds."""
+    """A lexicon and the weights of what it finds. ``ordinary`` is a table of further
+    ordinary spellings, where they are too many for the lexicon."""
 
-    def __init__(self, lexicon: Lexicon, mean, scale, weights, bias: float):
+    def __init__(self, lexicon: Lexicon, mean, scale, weights, bias: float,
+                 ordinary: DataFrame | None = None):
         self.lexicon, self.mean, self.scale = lexicon, mean, scale
-        self.weights, self.bias = weights, bias
+        self.weights, self.bias, self.ordinary = weights, bias, ordinary
+
+    def alone(self) -> Model:
+        """The model without its table, as tasks need it."""
+        return Model(self.lexicon, self.mean, self.scale, self.weights, self.bias)
 
-    def score(self, text: str | None) -> float:
-        x = (features(text, self.lexicon) - self.mean) / self.scale
+    def score(self, text: str | None, ordinary=()) -> float:
+        x = (features(text, self.lexicon, ordinary) - self.mean) / self.scale
         return float(1 / (1 + math.exp(-max(-30.0, min(30.0, x @ self.weights + self.bias)))))
 
 
@@ -269,8 +332,7 @@ def _contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         rows: set = set()
         for text, toxic in zip(frame.text, frame.toxic):
-            tokens = ["", *(t for t in TOKEN.findall((text or "").lower())
-                            if len(t) <= LONGEST), ""]
+            tokens = ["", *TOKEN.findall((text or "").lower()), ""]
             rows.update((b, xxhash.xxh64_intdigest(f"{a} {b} {c}") >> 1, toxic)
                         for a, b, c in zip(tokens, tokens[1:], tokens[2:]))
         yield pd.DataFrame(list(rows), columns=["word", "context", "toxic"])
@@ -301,37 +363,61 @@ def choose(stems: dict[str, int], words: dict[str, int]) -> tuple[set, set]:
     return kept, {w for w in words if not any(w.startswith(s) for s in kept)}
 
 
-def ordinary(spark: SparkSession, docs: DataFrame, draft: Lexicon) -> set:
-    """Spellings near an entry of ``draft`` that are ordinary ones: they stand in
-    different texts of the whole corpus, most of which have no sure hit."""
-    shared = spark.sparkContext.broadcast(draft)
+def near_spellings(spark: SparkSession, docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """(spelling, high, low, sure): the spellings near an entry that each text has, the
+    text's hash, and whether it has a sure hit."""
+    shared = spark.sparkContext.broadcast(lexicon)
 
     def spellings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lexicon, known = shared.value, {}
         for frame in frames:
             rows: set = set()
-            for text in frame.text:
+            for text, high, low in zip(frame.text, frame.high, frame.low):
                 kinds = {t: lexicon[t] for t in set(TOKEN.findall((text or "").lower()))}
                 near = [t for t, kind in kinds.items() if kind == NEAR]
                 if not near:
                     continue
                 sure = any(kind in (EXACT, STEM) for kind in kinds.values())
-                digest = xxhash.xxh64_intdigest(text) >> 1
                 if len(known) >= KEPT_TOKENS:
                     known.clear()
                 for token in near:
                     if token not in known:
-                        known[token] = {token, *(s for _, s in lexicon.trie.matches(
-                            LevenshteinAutomaton(token)))}
-                    rows.update((s, digest, sure) for s in known[token])
-            yield pd.DataFrame(list(rows), columns=["spelling", "text", "sure"])
+                        known[token] = lexicon.spellings(token)
+                    rows.update((s, high, low, sure) for s in known[token])
+            yield pd.DataFrame(list(rows), columns=["spelling", "high", "low", "sure"])
 
-    seen = docs.select("text").mapInPandas(spellings, "spelling string, text long, sure boolean")
-    texts = seen.distinct().groupBy("spelling").agg(
+    return docs.select("text", *text_key(F.col("text"))).mapInPandas(
+        spellings, "spelling string, high long, low long, sure boolean")
+
+
+def text_key(text: Column) -> tuple[Column, Column]:
+    """128 bits that stand for a text."""
+    return F.xxhash64(text).alias("high"), F.xxhash64(F.lit("low"), text).alias("low")
+
+
+def ordinary(spark: SparkSession, docs: DataFrame, draft: Lexicon) -> DataFrame:
+    """(spelling): those near an entry of ``draft`` that are ordinary ones: they stand in
+    different texts of the whole corpus, most of which have no sure hit."""
+    seen = near_spellings(spark, docs, draft).distinct()
+    texts = seen.groupBy("spelling").agg(
         F.count_if(~F.col("sure")).alias("without"), F.count(F.lit(1)).alias("n"))
     common = ((F.col("without") >= LEAST_TEXTS)
               & (F.col("without") >= LEAST_SHARE * F.col("n")))
-    return {r.spelling for r in texts.where(common).select("spelling").collect()}
+    return stage(spark, texts.where(common).select("spelling"), "toxic-ordinary")
+
+
+def with_ordinary(spark: SparkSession, docs: DataFrame, model: Model, out: str) -> DataFrame:
+    """``docs`` with the ordinary spellings of each text that only the model's table has:
+    null for nearly all texts."""
+    own = "array<string>"
+    if model.ordinary is None:
+        return docs.withColumn(out, F.lit(None).cast(own))
+    key = [free_name(docs, c) for c in ("_text_high", "_text_low")]
+    held = (near_spellings(spark, docs, model.lexicon).select("spelling", "high", "low").distinct()
+            .join(model.ordinary, "spelling").groupBy("high", "low")
+            .agg(F.collect_set("spelling").alias(out)).toDF(*key, out))
+    named = docs.withColumns(dict(zip(key, text_key(F.col("text")))))
+    return named.join(stage(spark, held, "toxic-held"), key, "left").drop(*key)
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
@@ -368,40 +454,46 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = FIT
     words = telling(seen, "word")
     every = set(words)
     stems, words = choose(telling(by_stem, "stem"), words)
-    plain = Lexicon(words, stems, (), every - words)
-    draft = spark.sparkContext.broadcast(plain)
+    drafted = Lexicon(words, stems, (), every - words)
+    draft = spark.sparkContext.broadcast(drafted)
 
     @F.pandas_udf("boolean")
     def near(names: pd.Series) -> pd.Series:
-        return names.map(lambda w: len(w) <= LONGEST and draft.value.kind(w) == NEAR)
+        return names.map(lambda w: draft.value.kind(w) == NEAR)
 
     benign = {r.word for r in seen.where(F.col("b") >= 2).where(near("word"))
               .select("word").collect()}
-    benign |= ordinary(spark, docs, plain)
-    lexicon = Lexicon(words, stems, benign, every - words)
+    more = ordinary(spark, docs, drafted)
+    few = [r.spelling for r in more.limit(ORDINARY_ROWS + 1).collect()]
+    table = None if len(few) <= ORDINARY_ROWS else more
+    lexicon = Lexicon(words, stems, benign if table else benign.union(few), every - words)
     shared = spark.sparkContext.broadcast(lexicon)
+    sample = with_ordinary(spark, sample, Model(lexicon, *none, 0.0, table), "ordinary")
 
     @F.pandas_udf("array<double>")
-    def found(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: features(t, shared.value))
+    def found(texts: pd.Series, own: pd.Series) -> pd.Series:
+        return pd.Series([features(t, shared.value, () if o is None else o)
+                          for t, o in zip(texts, own)], dtype=object)
 
-    got = sample.select(found("text").alias("x"), "toxic").collect()  # FIT_ROWS short rows
+    got = sample.select(found("text", "ordinary").alias("x"), "toxic").collect()  # FIT_ROWS short rows
     x = np.array([r.x for r in got])
     y = np.array([r.toxic for r in got], dtype=float)
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3)
-    return Model(lexicon, mean, scale, *logistic((x - mean) / scale, y))
+    return Model(lexicon, mean, scale, *logistic((x - mean) / scale, y), table)
 
 
 def with_score(spark: SparkSession, docs: DataFrame, model: Model, out: str) -> DataFrame:
     """``docs`` with the score of their text."""
     prepare(spark)
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model.alone())
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t) for t in texts], dtype="float64")
+    def score(texts: pd.Series, own: pd.Series) -> pd.Series:
+        return pd.Series([shared.value.score(t, () if o is None else o)
+                          for t, o in zip(texts, own)], dtype="float64")
 
-    return docs.withColumn(out, score("text"))
+    own = free_name(docs, "_ordinary")
+    return with_ordinary(spark, docs, model, own).withColumn(out, score("text", own)).drop(own)
 
 
 def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:

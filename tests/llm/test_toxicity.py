@@ -106,14 +106,56 @@ def test_misspelt_stems_and_short_terms():
     assert not any(lexicon[w] for w in ("scam", "chlichkeit", "bxc", "sam", "axhxichkeit"))
 
 
+def test_tokens_of_any_length(model):
+    lexicon = toxicity.Lexicon({"worthless"}, {"achlich"}, ())
+    assert lexicon["achlich" + "keit" * 10] == toxicity.STEM
+    assert lexicon["achxich" + "keit" * 10] == lexicon["achich" + "e" * 10 ** 6] == toxicity.NEAR
+    assert lexicon["worthless" + "s" * 40] == toxicity.NONE and lexicon["e" * 10 ** 6] == toxicity.NONE
+    assert all(len(t) <= toxicity.KEPT_LETTERS for t in lexicon)
+    stem = sorted(model.lexicon.stems, key=len)[-1]
+    assert model.score(f"so {stem}{'e' * (40 - len(stem))} it") == model.score(f"so {stem} it")
+
+
+def test_cut_words_tell_near_ones():
+    rng = random.Random(8)
+    for _ in range(3000):
+        a, b = ("".join(rng.choice("ab") for _ in range(rng.randint(0, 6))) for _ in range(2))
+        if edits(a, b) <= 1:
+            assert set(toxicity.cut(a)) & set(toxicity.cut(b))
+
+
+def test_ordinary_spellings_too_many_to_ship(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 3000")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    score = {}
+    for most in (100_000, 0):
+        monkeypatch.setattr(toxicity, "ORDINARY_ROWS", most)
+        model = toxicity.fit(spark, docs, labels)
+        assert (model.ordinary is None) == bool(most)
+        rows = toxicity.with_score(spark, docs, model, "s").select("doc_id", "s").collect()
+        score[most] = {r.doc_id: round(r.s, 9) for r in rows}
+    assert score[0] == score[100_000] and len(score[0]) == docs.count()
+
+
+def test_a_hundred_thousand_ordinary_spellings(spark):
+    rng = random.Random(6)
+    ends = ["".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(100_000)]
+    texts = [(" ".join(f"achxich{e}" for e in ends[i:i + 500]) + f" {n}",)
+             for n in range(3) for i in range(0, len(ends), 500)]
+    docs = spark.createDataFrame(texts, "text string").repartition(8)
+    draft = toxicity.Lexicon({"clown"}, {"achlich"}, ())
+    assert toxicity.ordinary(spark, docs, draft).count() > 99_000
+
+
 def test_ordinary_spellings_of_the_whole_corpus(spark):
     draft = toxicity.Lexicon({"clown"}, {"achlich"}, ())
     texts = [f"the crown of king {i}" for i in range(5)] + ["a clowm again"] * 5
     texts += [f"a clwn and a clown {i}" for i in range(5)]
     texts += ["one chlichbe", "two chlichau", "three chlichen", None, ""]
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    assert toxicity.ordinary(spark, docs, draft) == {"crown", "chlich"}
-    assert toxicity.ordinary(spark, docs.limit(0), draft) == set()
+    assert {r.spelling for r in toxicity.ordinary(spark, docs, draft).collect()} == {
+        "crown", "chlich"}
+    assert toxicity.ordinary(spark, docs.limit(0), draft).count() == 0
 
 
 def test_odd_documents(spark, model, odd_docs, no_docs):
