@@ -121,14 +121,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = WORDS,
 def deduplicated(spark: SparkSession, docs: DataFrame, words: int = WORDS,
                  max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each group: that of the smallest id (rows without an id
-    come last), of the smallest text among equal ids."""
-    fp, root, row = (free_name(docs, c) for c in ("_fp", "_root", "_row"))
-    whole = with_fingerprint(spark, docs, fp, words=words)
-    prints = stage(spark, whole.select(F.col("doc_id").cast("long").alias("doc_id"),
-                                       F.col(fp).alias("fp")), "simhash-docs")
-    placed = groups(spark, prints, max_bits).select(F.col("fp").alias(fp),
-                                                    F.col("root").alias(root))
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text"))
-    kept = (whole.join(placed, fp).groupBy(root)
-            .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias(row)))
-    return kept.select(f"{row}.*")
+    come last), of equal ids one by a hash of its text, of equal rows any one.
+
+    Fingerprints are computed once; the rows that stay are found by id and text
+    hash, so that the documents move once and copies of a text do not meet.
+    """
+    def keys(df: DataFrame) -> dict[str, Column]:
+        known = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
+        return {"no_id": F.col("doc_id").isNull(), "id": known, "high": F.xxhash64("text"),
+                "low": F.xxhash64(F.lit("low"), "text")}
+
+    texts = with_fingerprint(spark, docs.select("doc_id", "text"), "fp", words=words)
+    prints = stage(spark, texts.select(F.col("doc_id").cast("long").alias("doc_id"), "fp",
+                                       *[c.alias(n) for n, c in keys(docs).items()]), "simhash-docs")
+    placed = prints.join(groups(spark, prints, max_bits).select("fp", "root"), "fp")
+    first = F.struct(*keys(docs))
+    kept = placed.groupBy("root").agg(F.min(first).alias("first")).select("first.*")
+    kept = stage(spark, kept, "simhash-kept")
+    names = [free_name(docs, f"_key_{c}") for c in kept.columns]
+    wide = docs.withColumns(dict(zip(names, keys(docs).values())))
+    return wide.join(kept.toDF(*names), names).dropDuplicates(names).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
