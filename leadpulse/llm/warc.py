@@ -36,6 +36,7 @@ from leadpulse.llm.common import prepare, stage
 from leadpulse.session import scratch_dir
 
 RECORDS_PER_FILE = 1000
+FILE_BYTES = 32 << 20  # payloads of an archive, about; a task reads an archive whole
 LEAST_BYTES = 0  # payloads of fewer bytes are never revisits
 DATE = "2024-01-01T00:00:00Z"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -98,9 +99,15 @@ def records(spark: SparkSession, pages: DataFrame, least_bytes: int = LEAST_BYTE
 
 
 def write_archives(spark: SparkSession, pages: DataFrame, path: str,
-                   least_bytes: int = LEAST_BYTES,
-                   records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Archives of all pages under ``path``, as gzip files."""
+                   least_bytes: int = LEAST_BYTES, records_per_file: int | None = None) -> None:
+    """Archives of all pages under ``path``, as gzip files.
+
+    A file holds at most ``RECORDS_PER_FILE`` records, or as many of average size as
+    make ``FILE_BYTES``.
+    """
+    if records_per_file is None:
+        mean = pages.agg(F.avg(F.octet_length("html")).alias("bytes")).first()["bytes"] or 0
+        records_per_file = max(1, min(RECORDS_PER_FILE, int(FILE_BYTES // max(mean, 1))))
     (records(spark, pages, least_bytes).write.option("lineSep", END)
      .option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path))
 
@@ -120,8 +127,9 @@ FIELD = re.compile(rb"^([A-Za-z0-9-]+):(.*)$", re.M)
 
 
 def candidates(data: bytes) -> Iterator[tuple]:
-    """(offset, next, type, page_id, refers_to, uri, payload_bytes, digest) of
-    everything in an archive that looks like a record.
+    """(offset, next, type, page_id, refers_to, uri, payload_bytes, digest, named) of
+    everything in an archive that looks like a record; ``named`` is the digest that
+    its header names.
 
     The payload is measured only where the successor is an end or looks like a
     record too; elsewhere the candidate cannot be on the chain. Candidates
@@ -159,7 +167,9 @@ def candidates(data: bytes) -> Iterator[tuple]:
 
         yield (at, after, fields.get(b"warc-type", b"").decode("utf-8", "replace"),
                page(b"warc-record-id"), page(b"warc-refers-to"),
-               fields.get(b"warc-target-uri", b"").decode("utf-8", "replace"), size, digest)
+               fields.get(b"warc-target-uri", b"").decode("utf-8", "replace"), size, digest,
+               fields.get(b"warc-payload-digest", b"").rpartition(b":")[2].decode(
+                   "utf-8", "replace"))
 
 
 def reachable(offset: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -185,7 +195,7 @@ def reachable(offset: np.ndarray, after: np.ndarray) -> np.ndarray:
 
 
 FOUND = ("path string, offset long, after long, type string, page_id string, refers_to string, "
-         "uri string, payload_bytes long, payload_digest string")
+         "uri string, payload_bytes long, payload_digest string, named_digest string")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -199,8 +209,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 data = unpacked(raw)
                 # Ids as text: pandas would turn longs that may be null into floats.
                 rows = [(name, at, after, kind, None if p is None else str(p),
-                         None if r is None else str(r), uri, size, digest, len(data))
-                        for at, after, kind, p, r, uri, size, digest in candidates(data)]
+                         None if r is None else str(r), *rest, len(data))
+                        for at, after, kind, p, r, *rest in candidates(data)]
                 if data and not rows:
                     raise ValueError(f"{name}: no record in {len(data)} bytes")
                 yield pd.DataFrame(rows, columns=[*names, "file_bytes"])
@@ -225,12 +235,13 @@ def round_trip(spark: SparkSession, pages: DataFrame, least_bytes: int = LEAST_B
     path = scratch_dir(spark, "llm-warc")
     write_archives(spark, pages, path, least_bytes)
     got = stage(spark, read_archives(spark, path), "warc-records")
+    # Pages that share an id may differ in payload: a revisit is of the one it names.
     responses = stage(spark, got.where(F.col("type") == "response").groupBy(
-        F.col("page_id").alias("refers_to")).agg(
-            F.max("payload_bytes").alias("full_bytes"),
-            F.max("payload_digest").alias("full_digest")), "warc-responses")
-    both = got.join(responses, "refers_to", "left")
+        F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("full_digest")).agg(
+            F.max("payload_bytes").alias("full_bytes")), "warc-responses")
     revisit = F.col("type") == "revisit"
+    named = got.withColumn("full_digest", F.when(revisit, F.col("named_digest")))
+    both = named.join(responses, ["refers_to", "full_digest"], "left")
     return both.select(
         "page_id",
         F.when(revisit, F.col("full_bytes")).otherwise(F.col("payload_bytes"))

@@ -43,6 +43,8 @@ def odd_pages():
     bodies = [None, "", "x", "same", "same", "same", record, record * 3, "a\r\n\r\nb\r\n\r\n",
               "WARC/1.0\r\n", "\r\n\r\n" + record[:-4], "é\U0001f600" * 3000, "big " * 200000]
     pages = [(i, f"http://h/{i}\r\nX: y", b, "p") for i, b in enumerate(bodies)]
+    pages += [(60, "u", "aaaa", "p"), (60, "u", "zzzzzzzz", "p"), (59, "u", "aaaa", "p"),
+              (58, "u", "zzzzzzzz", "p")]
     pages += [(5, None, "same", "p"), (None, None, "same", "p"), (None, None, "alone", None),
               (-7, "", "x", "p"), (40, "u", "same2" + record * 2, "p"),
               (41, "u", "same2" + record * 2, "p"),
@@ -74,6 +76,14 @@ def test_archives_are_bounded_gzip_files_of_records(spark, tmp_path):
     assert warc.unpacked(members) == b"abc" and warc.unpacked(b"raw") == b"raw"
 
 
+def test_archives_roll_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 5000)
+    df = spark.createDataFrame([(i, "u", f"{i} " + "x" * 1000, "") for i in range(40)], PAGES)
+    warc.write_archives(spark, df.coalesce(1), str(tmp_path / "a"))
+    sizes = [gzip.decompress(f.read_bytes()).count(b"WARC-Type") for f in (tmp_path / "a").glob("*.gz")]
+    assert sum(sizes) == 40 and max(sizes) <= 4
+
+
 def test_pointer_jumping_equals_a_walk():
     rng = np.random.default_rng(0)
     for n in (0, 1, 2, 3, 50, 333):
