@@ -3,9 +3,10 @@
 Every whole text is searched for candidates: assignments of secrets, access
 keys, long hex strings, and (added to these) tokens of known shapes and private
 keys. A candidate's value, of a private key its body, is hashed at once. The distinct owners
-(sources) of each hash, counted over the whole corpus, separate widely copied
-examples from owner-specific values, which look live, however often their
-owners repeat them in their repositories (documents).
+(sources) and repositories (an owner's different texts) of each hash, counted over the
+whole corpus, separate widely copied examples from owner-specific values, which look
+live: those of few owners, however many repositories these have, and those of some
+owners that repeat them in very many repositories each.
 
 DataFrame functions only. A text's matches and the gaps between them come from
 one pattern by ``regexp_extract_all`` and ``split``; positions, in code points,
@@ -40,8 +41,12 @@ ADDED = (
      r"PRIVATE KEY"),
 )
 KINDS = BASE + ADDED
-MAX_OWNERS = 2  # a value of more owners is an example
-PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0{8}|1234567"
+MAX_OWNERS = 2   # values of so many owners are their own
+MAX_FORKS = 4    # so are those of so many owners, with this many repositories an owner
+OWN_REPOSITORIES = 50
+# What placeholders are made of; a value counts by what it holds beside it.
+PLACEHOLDER = (r"(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0{8}|1234567"
+               r"|password|passwd|secret|token|api|key|here")
 PEM_FRAME = r"-----(?:BEGIN|END) [A-Z ]*-----|\s|\\[nr]"
 PEM_BODY = 64  # letters of the shortest private key in use
 MARK = "[REDACTED]"
@@ -53,15 +58,15 @@ def _secret(value: Column, kind: str) -> Column:
 
 
 def _plausible(secret: Column, kind: str) -> Column:
-    """Eight different characters and no placeholder; in hex, which numbers and
-    words may look like, letters and digits as well."""
-    letters = F.array_distinct(F.split(secret, ""))
-    plain = ~secret.rlike(PLACEHOLDER)
+    """Eight different characters beside the words of placeholders; in hex, which
+    numbers and words may look like, letters and digits as well."""
+    plain = F.regexp_replace(secret, PLACEHOLDER, "")
+    if kind == "pem":  # a body is long enough to hold any short word by chance
+        plain = F.when(F.length(secret) >= PEM_BODY, secret).otherwise(plain)
+    out = F.size(F.array_distinct(F.split(plain, ""))) >= 8
     if kind == "hex":
-        plain &= secret.rlike(r"[a-f]") & secret.rlike(r"[0-9]")
-    elif kind == "pem":  # a body is long enough to hold any short word by chance
-        plain |= F.length(secret) >= PEM_BODY
-    return (F.size(letters) >= 8) & plain
+        out &= secret.rlike(r"[a-f]") & secret.rlike(r"[0-9]")
+    return out
 
 
 def _found(text: Column, rank: int) -> Column:
@@ -102,10 +107,16 @@ def scan(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "row", "doc_id", "owner", "text_hash", "rank", (F.col("end") - F.col("hit.len"))
         .alias("start"), "end", "hit.value_len", "hit.hash", "hit.plausible")
     spans = stage(spark, spans, "secret-spans")
-    seen = (spans.select("hash", "owner").distinct()
-            .groupBy("hash").agg(F.count(F.lit(1)).alias("owners")))
+    # Repositories per owner first, so that a value in very many texts meets as few rows.
+    seen = (spans.select("hash", "owner", "text_hash").distinct()
+            .groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("hash").agg(F.count(F.lit(1)).alias("owners"),
+                                 F.sum("n").alias("repositories")))
     seen = stage(spark, seen, "secret-owners")
-    live = F.col("plausible") & (F.col("owners") <= MAX_OWNERS)
+    own = (F.col("owners") <= MAX_OWNERS) | (
+        (F.col("owners") <= MAX_FORKS)
+        & (F.col("repositories") >= OWN_REPOSITORIES * F.col("owners")))
+    live = F.col("plausible") & own
     return rows, stage(spark, spans.join(seen, "hash").withColumn("live", live), "secret-live")
 
 

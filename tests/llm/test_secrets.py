@@ -119,6 +119,20 @@ def test_one_owner_may_repeat_a_value_in_any_number_of_documents(spark):
     assert out[2999] == "token=[REDACTED] 1499" and out[4000] == copied
 
 
+def test_repositories_and_owners_decide_not_a_word(spark):
+    vendor, spread, lone = "token=Zx9Kq2LmT1v8", "token=Hy7Gr4BnU5c2", "token=your8Kq2LmZx91Tv"
+    rows = [(i, f"{vendor} {i}", f"s{i % 4 if i < 8 else 0}") for i in range(300)]
+    rows += [(1000 + i, f"{spread} {i}", f"s{i % 4}") for i in range(40)]   # ten an owner
+    rows += [(2000, lone, "me"), (2001, "token=your_secret_token_key", "me")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.n_live for r in secret_scan.report(spark, df).collect()}
+    assert all(got[i] == 1 for i in range(300)) and not any(got[1000 + i] for i in range(40))
+    assert got[2000] == 1 and got[2001] == 0
+    copies = spark.createDataFrame([(i, vendor, f"s{i % 4}") for i in range(300)],
+                                   "doc_id long, text string, source string")
+    assert not any(r.n_live for r in secret_scan.report(spark, copies).collect())  # one text
+
+
 def test_main_path_is_native(spark, small_dir):
     df = registry.QUERIES["op7_secret_scan"](spark, small_dir)
     plan = df._jdf.queryExecution().toString()
