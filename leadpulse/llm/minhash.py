@@ -47,8 +47,8 @@ BANDS, BAND_ROWS = 40, 4
 BITS = 2                # of each minimum that a signature keeps
 BATCH = 64              # minima that are compared at a time
 MISS = 1e-9             # chance of dropping a pair at the threshold, per batch
-TILE_BYTES = 2 << 20    # shingles and signatures of a block, about
-TILE_ROWS = 512         # members of a block, about
+TILE_BYTES = 4 << 20    # shingles and signatures of a block, about
+TILE_ROWS = 1024        # members of a block, about
 BROADCAST_ROWS = 250_000    # ids that may be shipped to all tasks (40 bytes each)
 PIECE = 2048            # shingles, or columns, that are worked on at a time
 
@@ -293,14 +293,15 @@ def _intersections(left: list, right: list) -> np.ndarray:
 
 def _block_links(spark: SparkSession, members: DataFrame, classes: DataFrame,
                  sets: DataFrame) -> DataFrame:
-    """Links between different labels among members (key, node, label, n) of buckets of
-    ``n`` members.
+    """Links between different labels among members (key, node, low, label) of buckets
+    whose smallest node is ``low``.
 
-    A node's home is its largest bucket, and the nodes of a home are dealt to blocks.
-    Two blocks meet, once, if a bucket holds nodes of both: so any two nodes of a
-    bucket meet, in one task of at most two blocks.
+    A node's home is the smallest node of all its buckets, which those of a dense group
+    largely share, and the nodes of a home are dealt to blocks. Two blocks meet, once, if
+    a bucket holds nodes of both: so any two nodes of a bucket meet, in one task of at
+    most two blocks.
     """
-    homes = members.groupBy("node").agg(F.max_by("key", F.col("n")).alias("home"),
+    homes = members.groupBy("node").agg(F.min("low").alias("home"),
                                         F.min("label").alias("label"))
     rows = stage(spark, homes.join(sets, "node").join(classes.select("node", "signature"), "node"),
                  "minhash-homes")
@@ -353,12 +354,11 @@ def links(spark: SparkSession, docs: DataFrame, classes: DataFrame) -> DataFrame
         once.select("b", F.col("a").alias("up")), "b", "left").select(
         "node", F.coalesce("up", "b").alias("label"))
     # What is left: members but the smallest, of buckets that hold several labels.
-    rest = (members.where("node > low").select("key", "node").join(twice, "node", "left")
+    rest = (members.where("node > low").join(twice, "node", "left")
             .withColumn("label", F.coalesce("label", "node")))
     rest = stage(spark, rest, "minhash-rest")
-    mixed = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("least"),
-                                    F.max("label").alias("most")).where("least < most")
-    rest = stage(spark, rest.join(mixed.select("key", "n"), "key"), "minhash-mixed")
+    mixed = rest.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+    rest = stage(spark, rest.join(mixed.where("least < most").select("key"), "key"), "minhash-mixed")
     return first.union(stage(spark, _block_links(spark, rest, classes, sets), "minhash-met"))
 
 
