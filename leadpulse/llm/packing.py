@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadpulse.llm.common import prepare
+from leadpulse.llm.common import prepare, row_numbers, stage
 
 MAX_TOKENS = 4096
 MAX_SEGMENTS = 128
@@ -237,6 +237,71 @@ def pack_examples(spark: SparkSession, examples: DataFrame, id_bytes: int, n: in
         "doc_id", F.col("doc_id").cast("long"))
 
 
+TURNS = 64          # turns of a conversation in one example, at most
+CHAT_SEGMENTS = 4   # limits of a sequence of conversations
+CHAT_LOSS = 768
+
+
+def conversation_examples(spark: SparkSession, conversations: DataFrame, definition: str,
+                          end_id: int = END_ID) -> DataFrame:
+    """(doc_id, ids, free) of conversations (doc_id is their id): the turns in order, as role
+    and text, and the end token. What comes before the last answer bears no loss. A
+    conversation of more than ``TURNS`` turns gives several examples, one after the other;
+    one without an answer bears none at all."""
+    prepare(spark)
+    shared = spark.sparkContext.broadcast(definition)
+    turns = conversations.select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    order = [F.col("conv_id"), F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
+    ranges = [*order[:2], F.substring("role", 1, 32), F.substring("text", 1, 32)]
+    placed = stage(spark, row_numbers(spark, turns, order, "chat-turns", ranges=ranges), "chat-rows")
+    known = stage(spark, placed.groupBy("conv_id").agg(
+        F.min("row").alias("first"), F.max("row").alias("last"),
+        F.max(F.when(F.col("role") == "assistant", F.col("row"))).alias("answer")), "chat-ends")
+    both = placed.alias("t").join(known.alias("k"), F.col("t.conv_id").eqNullSafe(F.col("k.conv_id")))
+    said = F.concat("role", F.lit("\n"), "text", F.lit("\n"))
+    part = F.floor((F.col("row") - F.col("first")) / TURNS)
+    parts = both.select("t.conv_id", part.alias("part"), (F.col("row") == F.col("last")).alias("ends"),
+                        F.struct("row", said.alias("said"), F.coalesce(
+                            F.col("row") < F.col("answer"), F.lit(True)).alias("prompt")).alias("turn"))
+    # At most TURNS turns a group.
+    parts = parts.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list("turn")).alias("turns"),
+                                                 F.max("ends").alias("ends"))
+
+    def text(prompt: bool) -> Column:
+        return F.array_join(F.transform(F.filter("turns", lambda t: t["prompt"] == prompt),
+                                        lambda t: t["said"]), "")
+
+    @F.pandas_udf("ids binary, free long")
+    def ids(prompts: pd.Series, answers: pd.Series, ends: pd.Series) -> pd.DataFrame:
+        enc = encoder(shared.value)
+        end = np.array([end_id], dtype=enc.kind).tobytes()
+        rows = []
+        for before, after, last in zip(enc.encode(list(prompts)), enc.encode(list(answers)), ends):
+            whole = before + after + (end if last else b"")
+            # The end token is part of an answer, if there is one.
+            free = len(before) if after or not last else len(whole)
+            rows.append((whole, free // enc.kind.itemsize))
+        return pd.DataFrame(rows, columns=["ids", "free"])
+
+    return parts.select(F.col("conv_id").alias("doc_id"), ids(text(True), text(False), "ends")
+                        .alias("e")).select("doc_id", "e.ids", "e.free")
+
+
+def pack_conversations(spark: SparkSession, conversations: DataFrame, tokenizer_path: str,
+                       max_segments: int = CHAT_SEGMENTS, max_loss: int = CHAT_LOSS) -> DataFrame:
+    """Pieces of all conversations under limits of tokens, segments and loss-bearing tokens,
+    each of which closes sequences."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        definition = file.read()
+    examples = stage(spark, conversation_examples(spark, conversations, definition), "chat-examples")
+    return pack_examples(spark, examples, encoder(definition).kind.itemsize, examples.count(),
+                         max_segments=max_segments, max_loss=max_loss
+                         ).withColumnRenamed("doc_id", "conv_id")
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
                    **limits) -> DataFrame:
     """Pieces of all documents under a tokenizer's ids."""

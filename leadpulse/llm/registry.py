@@ -57,6 +57,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   str(public_tokenizers.path(TOKENIZER)))
 
 
+def pack_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same packing with loss on the last answers alone, so that all three limits bind."""
+    return packing.pack_conversations(spark, table(spark, sf_dir, "conversations"),
+                                      str(public_tokenizers.path(TOKENIZER)))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
@@ -81,7 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pivot_topk, op2_mix_sources, op3_fingerprints, op4_simhash, op5_language_id,
         op6_toxicity, op7_secret_scan, op8_packing, op9_warc, op10_sharding, op11_minhash,
-        op12_periodic_runs, op13_prefix_trie)
+        op12_periodic_runs, op13_prefix_trie, pack_conversations)
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -135,3 +135,60 @@ def test_groups_are_even_over_many_partitions(spark):
     rows = spark.range(0, 40960, numPartitions=64).select(packing.group_of(1024).alias("group"))
     sizes = [r["count"] for r in rows.groupBy("group").count().collect()]
     assert len(sizes) == 1024 and max(sizes) < 80
+
+
+def conversations_of(rows):
+    """Ids and loss-free tokens of each conversation, by definition."""
+    convs = defaultdict(list)
+    for r in rows:
+        convs[r.conv_id].append(((r.turn is not None, r.turn or 0), (r.role or "").encode(),
+                                 (r.text or "").encode()))
+    for conv, turns in convs.items():
+        turns = [(a.decode(), b.decode()) for _, a, b in sorted(turns)]
+        answers = [i for i, (role, _) in enumerate(turns) if role == "assistant"]
+        at = answers[-1] if answers else len(turns)
+        yield conv, *("".join(f"{a}\n{b}\n" for a, b in part) for part in (turns[:at], turns[at:]))
+
+
+def test_conversations_close_sequences_at_each_limit(spark, tokenizer):
+    sf = "/root/testdata/sf0.01"
+    turns = spark.read.parquet(f"{sf}/conversations.parquet").collect()
+    rows = registry.QUERIES["pack_conversations"](spark, sf).collect()
+    ids, free = {}, {}
+    for conv, before, after in conversations_of(turns):
+        one, two = (tokenizer.encode(t, add_special_tokens=False).ids for t in (before, after))
+        ids[conv], free[conv] = [*one, *two, 2], len(one) if after else len(one) + 1
+    sequences, covered = defaultdict(list), defaultdict(int)
+    for r in rows:
+        assert r.ids_crc32 == zlib.crc32(np.array(ids[r.conv_id][r.start:r.start + r.length], "<u4").tobytes())
+        assert r.loss_tokens == max(0, r.start + r.length - max(r.start, free[r.conv_id]))
+        covered[r.conv_id] += r.length
+        sequences[r.sequence_id].append(r)
+    assert covered == {c: len(x) for c, x in ids.items()}
+    closed = dict.fromkeys(("tokens", "segments", "loss"), 0)
+    for pieces in sequences.values():
+        tokens, loss = sum(r.length for r in pieces), sum(r.loss_tokens for r in pieces)
+        assert tokens <= 4096 and len(pieces) <= packing.CHAT_SEGMENTS and loss <= packing.CHAT_LOSS
+        assert tokens == 4096 or tokens & (tokens - 1) == 0
+        closed["tokens"] += tokens == 4096
+    lengths, frees = [len(ids[c]) for c in ids], [free[c] for c in ids]
+    for sequence in packing.pack(lengths, frees, 4096, packing.CHAT_SEGMENTS, 10 ** 9):
+        closed["segments"] += len(sequence) == packing.CHAT_SEGMENTS
+    for limits in ((4096, packing.CHAT_SEGMENTS, packing.CHAT_LOSS), (4096, 128, 10 ** 9)):
+        closed[limits] = len(packing.pack(lengths, frees, *limits))
+    print(closed)
+    assert closed["tokens"] and closed["segments"]
+    assert closed[(4096, packing.CHAT_SEGMENTS, packing.CHAT_LOSS)] > closed[(4096, 128, 10 ** 9)]
+
+
+def test_odd_conversations(spark):
+    schema = "conv_id long, turn long, role string, text string, row string"
+    rows = [(1, t, "user" if t % 2 else "assistant", f"turn {t}", "x") for t in range(150)]
+    rows += [(2, None, None, None, "x"), (None, 0, "user", "hi", "x"), (3, 0, "user", "", "x")] * 2
+    df = spark.createDataFrame(rows, schema)
+    got = packing.pack_conversations(spark, df, PATH).collect()
+    assert {r.conv_id for r in got} == {1, 2, 3, None}
+    assert sum(r.start == 0 for r in got if r.conv_id == 1) == 3      # of 64 turns at most
+    assert all(r.loss_tokens == 0 for r in got if r.conv_id != 1)
+    assert sum(r.loss_tokens for r in got) > 0
+    assert packing.pack_conversations(spark, df.limit(0), PATH).count() == 0
