@@ -75,15 +75,14 @@ def components(spark: SparkSession, links: DataFrame, name: str) -> DataFrame:
 
     Alternating large-star and small-star rounds on edges from the larger to
     the smaller end. Each round hangs nodes on the smallest neighbour of their
-    neighbour, until the edges no longer change. Per round, minima are partial
+    neighbour, until all edges are those of stars. Per round, minima are partial
     aggregates, and the joins read staged tables, so that Spark can split a hub.
     """
     a, b = F.col("a"), F.col("b")
     edges = stage(spark, links.where(a != b).select(F.greatest(a, b).alias("u"),
                                                     F.least(a, b).alias("v")).distinct(),
                   f"{name}-edges")
-    seen = _signature(edges)
-    while seen[0]:
+    while not _stars(edges):
         low = _lowest(spark, edges, name)
         hung = edges.join(low.withColumnRenamed("u", "v"), "v", "left").select(
             "u", F.coalesce("m", "v").alias("v")).distinct()
@@ -93,10 +92,6 @@ def components(spark: SparkSession, links: DataFrame, name: str) -> DataFrame:
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
             F.col("m").alias("v")).distinct()
         edges = stage(spark, met, f"{name}-small")
-        now = _signature(edges)
-        if now == seen:
-            break
-        seen = now
     roots = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
@@ -105,8 +100,13 @@ def _lowest(spark: SparkSession, edges: DataFrame, name: str) -> DataFrame:
     return stage(spark, edges.groupBy("u").agg(F.min("v").alias("m")), f"{name}-low")
 
 
-def _signature(edges: DataFrame) -> tuple:
-    """Count and order-free hash of an edge set."""
-    digest = F.xxhash64("u", "v").cast("decimal(38,0)")
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(digest).alias("h")).first()
-    return row.n, row.h
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node hangs on one other, which itself hangs on none."""
+    ends = F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("hangs"),
+                                      F.lit(0).alias("holds")),
+                             F.struct(F.col("v").alias("node"), F.lit(0).alias("hangs"),
+                                      F.lit(1).alias("holds"))))
+    nodes = edges.select(ends.alias("end")).groupBy("end.node").agg(
+        F.sum("end.hangs").alias("hangs"), F.max("end.holds").alias("holds"))
+    return nodes.where((F.col("hangs") > 1) | ((F.col("hangs") > 0) & (F.col("holds") > 0))
+                       ).isEmpty()

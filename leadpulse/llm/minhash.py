@@ -371,8 +371,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     classes = stage(spark, filled.join(same.select("node"), F.col("row") == F.col("node")).select(
         "node", "doc_id", "text_hash", "n_shingles", "high", "low", "signature", "bands"),
         "minhash-classes")
-    found = stage(spark, components(spark, links(spark, docs, classes), "minhash"),
-                  "minhash-roots")
+    found = components(spark, links(spark, docs, classes), "minhash")
     rooted = same.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     placed = stage(spark, rooted.join(ids, "root").select("high", "low", "component_id"),
