@@ -37,14 +37,14 @@ def write_archive(leads: DataFrame, path: str, run: str, dt_col: str = "day",
     ``run`` (:func:`leadpulse.sinks.runs.run_name`) names the write; writing it
     again replaces its files.
     ``compression`` (for example ``"gzip"``) compresses the files (K3).
-    ``single_file`` funnels each write through one task (K2): faithful to
-    the reference, but it does not scale and is off by default.
+    ``single_file`` gives each folder one file a write (K2): all lines of a day go to
+    one task, different days to several. A busy day is not split, so it is off by default.
 
     The lines are rebalanced by day, so that a day's lines of one write lie in
     few files; AQE merges small days and splits a busy one. One pass, no sampling.
     """
     out = archive_lines(leads, dt_col, legacy_suffix)
-    out = out.coalesce(1) if single_file else out.hint("rebalance", "dt")
+    out = out.repartition("dt") if single_file else out.hint("rebalance", "dt")
     options = {"compression": compression} if compression else {}
     write_run(out, path, run, "dt", fmt="text", **options)
 

@@ -13,6 +13,7 @@ from leadpulse.operators import metrics
 from leadpulse.operators.parse import parse_leads
 from leadpulse.plans.backfill import Backfill
 from leadpulse.plans.batch import leads
+from leadpulse.schema import LEAD_FIELDS
 from leadpulse.session import scratch_dir
 from leadpulse.sinks import runs, snapshot
 from leadpulse.sinks.archive import compact_archive, read_archive, write_archive
@@ -46,6 +47,27 @@ def test_archive_layout_gzip_single_file_and_suffix(spark):
     assert [r["value"].split(";")[0] for r in got] == ["c"]
 
 
+def test_single_files_of_several_days_are_written_by_several_tasks(spark):
+    path = scratch_dir(spark, "k2")
+    days = [None, *(f"2024-03-{d:02d}" for d in range(1, 13))]
+    leads = spark.createDataFrame([(f"{d}-{n}", d) for n in range(40) for d in days],
+                                  "leadId string, day string").repartition(4).select(
+        *[F.col("leadId") if n == "leadId" else F.lit(None).cast("string").alias(n) for n in LEAD_FIELDS],
+        F.to_date("day").alias("day"))
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")                              # so little would be one partition
+    try:
+        write_archive(leads, path, run_name("w", 0), single_file=True)
+    finally:
+        spark.conf.unset(merge)
+    files = glob.glob(local(path) + "/dt=*/run=w-0000000000/part-*")
+    assert len(files) == len({os.path.dirname(f) for f in files}) == len(days)
+    assert len({os.path.basename(f).split("-")[1] for f in files}) > 1
+    got = spark.read.text(path)
+    assert sorted(r["value"].split(";")[0] for r in got.collect()) == sorted(
+        f"{d}-{n}" for n in range(40) for d in days)
+
+
 def test_a_run_written_again_replaces_itself_alone(spark):
     path = scratch_dir(spark, "k3")
     good = two_day_leads(spark)
