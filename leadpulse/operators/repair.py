@@ -13,6 +13,8 @@ comes near the best; where one does, it is ``ambiguous`` and its fields stay emp
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,14 +29,21 @@ MARGIN = 3.0                   # by which the best alignment must beat the next,
 _NEVER = -1e9
 
 
+_BLANKS = " \t\n\x0b\f\r"      # what ``\s`` matches
+
+
 def pieces_of(line: Column) -> Column:
     return F.split(line, LINE_SEPARATOR, -1)
 
 
 def kind_of(piece: Column) -> Column:
     """Number of the kind of a piece in :data:`KINDS`."""
-    kinds = (piece == MISSING, piece.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), piece.isin("true", "false"),
-             piece.rlike(r"^-?\d+$"), piece == LINE_TAG, piece == "", ~piece.rlike(r"\s"))
+    # Patterns only where the first byte may begin a time or a number ("-" to "9").
+    digits = (piece >= "-") & (piece < ":")
+    blank = reduce(or_, [F.contains(piece, F.lit(c)) for c in _BLANKS])
+    kinds = (piece == MISSING, digits & piece.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"),
+             piece.isin("true", "false"), digits & piece.rlike(r"^-?\d+$"), piece == LINE_TAG,
+             piece == "", ~blank)
     out = F.lit(len(kinds))
     for number in range(len(kinds) - 1, -1, -1):
         out = F.when(kinds[number], F.lit(number)).otherwise(out)
@@ -66,6 +75,7 @@ def _takes(kinds: Column, table: list[list[float]]) -> Column:
         return F.struct(best.alias("best"), after.alias("next"), takes.alias("takes"))
 
     nothing = F.array().cast("array<int>")
+    none = state(F.lit(2 * _NEVER), F.lit(2 * _NEVER), nothing)
     start = F.transform(F.sequence(F.lit(0), extra), lambda e: state(
         F.when(e == 0, F.lit(0.0)).otherwise(F.lit(_NEVER)), F.lit(_NEVER), nothing))
 
@@ -79,11 +89,13 @@ def _takes(kinds: Column, table: list[list[float]]) -> Column:
                 return state(old["best"] + gain, old["next"] + gain,
                              F.concat(old["takes"], F.array(take)))
 
-            ways = F.transform(F.sequence(F.lit(0), e), from_)
-            likely = F.sort_array(F.concat(F.transform(ways, lambda w: w["best"]),
-                                           F.transform(ways, lambda w: w["next"])), asc=False)
-            return F.transform(F.array(F.array_max(ways)), lambda w: state(
-                w["best"], F.get(likely, 1), w["takes"]))[0]
+            def merge(top: Column, way: Column) -> Column:
+                ahead = way["best"] > top["best"]
+                return F.when(ahead, state(way["best"], F.greatest(top["best"], way["next"]), way["takes"])
+                              ).otherwise(state(top["best"], F.greatest(top["next"], way["best"]),
+                                                top["takes"]))
+
+            return F.aggregate(F.transform(F.sequence(F.lit(0), e), from_), none, merge)
 
         return F.transform(F.sequence(F.lit(0), extra), with_extra)
 
@@ -99,26 +111,31 @@ def repair_lines(lines: DataFrame, table: list[list[float]], line: str = "line")
     no tag at the end. ``fields`` is NULL for the last two.
     """
     columns = [F.col(f"`{c}`") for c in lines.columns]
-    pieces = pieces_of(F.regexp_replace(F.col(line), "\t $", ""))
-    # Each step sits in a one-row Generate, so that it is computed once per line.
-    split = lines.select("*", F.explode(F.array(F.struct(
-        pieces.alias("p"), F.transform(pieces, kind_of).alias("k")))).alias("_line"))
-    p, k = F.col("_line.p"), F.col("_line.k")
+    text = F.col(line)
+    text = F.when(F.contains(text, F.lit("\t ")), F.regexp_replace(text, "\t $", "")).otherwise(text)
+
+    def once(df: DataFrame, step: Column, name: str) -> DataFrame:
+        """``step`` in a one-row Generate, so that it is computed once per line."""
+        return df.select("*", F.explode(F.array(step)).alias(name))
+
+    p, way = F.col("_pieces"), F.col("_way")
     regular = F.size(p) == PLACES
     tagged = F.element_at(p, -1) == LINE_TAG
-    aligned = split.select("*", F.explode(F.array(F.when(
-        tagged & (F.size(p) > PLACES), _takes(k, table)))).alias("_way"))
-    way = F.col("_way")
-    status = (F.when(F.col(line).isNull() | ~tagged | (F.size(p) < PLACES), F.lit("broken"))
+    # Kinds and alignments only of the lines with extra pieces; a regular line is its pieces.
+    split = once(lines, pieces_of(text), "_pieces")
+    kinds = once(split, F.when(tagged & (F.size(p) > PLACES), F.transform(p, kind_of)), "_kinds")
+    aligned = once(kinds, F.when(F.col("_kinds").isNotNull(), _takes(F.col("_kinds"), table)), "_way")
+    status = (F.when(text.isNull() | ~tagged | (F.size(p) < PLACES), F.lit("broken"))
               .when(regular, F.lit("whole"))
               .when(way["best"] - way["next"] >= MARGIN, F.lit("repaired"))
               .otherwise(F.lit("ambiguous")))
-    takes = F.when(regular, F.array_repeat(F.lit(1), PLACES)).otherwise(way["takes"])
-    fields = F.transform(F.slice(takes, 1, len(LEAD_FIELDS)), lambda take, at: F.array_join(F.slice(
+    takes = way["takes"]
+    joined = F.transform(F.slice(takes, 1, len(LEAD_FIELDS)), lambda take, at: F.array_join(F.slice(
         p, F.aggregate(F.slice(takes, 1, at), F.lit(1), lambda a, b: a + b), take), LINE_SEPARATOR))
-    return (aligned.select(*columns, status.alias("status"), "_line", "_way")
-            .select(*columns, "status", F.when(F.col("status").isin("whole", "repaired"), fields)
-                    .alias("fields")))
+    fields = (F.when(F.col("status") == "whole", F.slice(p, 1, len(LEAD_FIELDS)))
+              .when(F.col("status") == "repaired", joined))
+    return (aligned.select(*columns, status.alias("status"), "_pieces", "_way")
+            .select(*columns, "status", fields.alias("fields")))
 
 
 def repaired_field(name: str, fields: Column | None = None) -> Column:

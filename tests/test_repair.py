@@ -2,13 +2,18 @@
 
 import contextlib
 import io
+import itertools
 import json
+import math
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from leadpulse.functions.dates import lenient_date
-from leadpulse.operators.repair import learn_kinds, repair_lines
+from leadpulse.operators import repair
+from leadpulse.operators.repair import (FREE, KINDS, MARGIN, PLACES, kind_of, learn_kinds,
+                                        repair_lines)
 from leadpulse.operators.untyped import reply_variant, unknown_fields, variant_value
 from leadpulse.schema import LEAD_FIELDS
 from leadpulse.session import scratch_dir
@@ -50,6 +55,68 @@ def test_lines_are_put_right_or_reported(spark):
     assert unknown.status == "ambiguous"                         # nothing to learn from
 
 
+def test_alignments_are_the_best_of_all(spark):
+    rng = random.Random(2)
+    df = spark.createDataFrame([(line(a_lead(rng)),) for _ in range(100)], "line string")
+    table = learn_kinds(df)
+    odd = [";".join(f[:4]) + ";" * (extra + 1) + ";".join(f[4:]) + ";lead_center"
+           for extra in (1, 2, 3) for f in [a_lead(rng, rng.choice(("a b", "", "7", "x")))]
+           for _ in range(4)]
+    odd += [line(a_lead(rng, name)) for name in ("a;b", "1;2", "x y;z;;", "\\N;\\N", "true; ;9")]
+    odd += [line(f[:16] + ["phone;call"] + f[17:]) for f in [a_lead(rng)]]  # as well the next level's
+    several = [repair.JOINED + math.log(sum(math.exp(row[KINDS.index(k)]) for k in FREE)) for row in table]
+
+    def best_two(text):
+        pieces = text.split(";")
+        ways = []
+        for cuts in itertools.combinations_with_replacement(range(PLACES), len(pieces) - PLACES):
+            takes = [1 + cuts.count(at) for at in range(PLACES)]
+            at, gain = 0, 0.0
+            for place, take in enumerate(takes):
+                gain += table[place][kind(pieces[at])] if take == 1 else several[place]
+                at += take
+            ways.append((gain, takes))
+        return sorted(ways, reverse=True)[:2]
+
+    def fields(text):
+        pieces, (best, after) = text.split(";"), best_two(text)
+        if best[0] - after[0] < MARGIN:
+            return "ambiguous", None
+        ends = list(itertools.accumulate(best[1]))
+        return "repaired", [";".join(pieces[e - t:e]) for e, t in zip(ends, best[1])][:-1]
+
+    got = repair_lines(spark.createDataFrame([(t,) for t in odd], "line string"), table).collect()
+    assert {r.line: (r.status, r.fields) for r in got} == {t: fields(t) for t in odd}
+    assert {r.status for r in got} == {"ambiguous", "repaired"}
+
+
+def kind(piece):
+    tests = (piece == "\\N", re.match(r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", piece), piece in ("true", "false"),
+             re.search(r"\A-?[0-9]+\n?\Z", piece), piece == "lead_center", piece == "",
+             not re.search(r"[ \t\n\x0b\f\r]", piece))
+    return next((n for n, t in enumerate(tests) if t), len(tests))
+
+
+def test_kinds_of_odd_pieces(spark):
+    pieces = ["", " ", "-", "--1", "-0", "12", "12\n", "\n12", "12 ", "1.5", "/", ":", "9:", "2024-1-1", "2024-03-011x",
+              "2024-", "2024-03-01 10:00", "-2024-03-01", "\u0661\u0662", "\u2028", "a\u00a0b", "a\u2028b",
+              "a\tb", "a\x0bb", "a\fb", "a\rb", "\\N", "\\n", "true", "True", "lead_center", "\u00e9", "~"]
+    rows = spark.createDataFrame([(p,) for p in pieces], "p string").select("p", kind_of(F.col("p")).alias("k"))
+    assert {r.p: r.k for r in rows.collect()} == {p: kind(p) for p in pieces}
+
+
+def test_regular_lines_are_not_aligned(spark):
+    rng = random.Random(3)
+    df = spark.createDataFrame([(line(a_lead(rng)),) for _ in range(3)], "line string")
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        repair_lines(df, learn_kinds(df)).explain()
+    plan = out.getvalue()
+    # kinds are computed where pieces are too many; a whole line is a slice of its pieces
+    assert re.search(r"> 21\)\) THEN transform\(_pieces", plan) and "array_repeat" not in plan
+    assert re.search(r"= whole\) THEN slice\(_pieces", plan) and "sort_array" not in plan
+
+
 def test_variants_of_replies_and_unknown_fields(spark):
     texts = ['{"code":"x","data":{"a":[1,"b"]}}', '{"code":7,"data":null}', '{"code":7}', "", "[1]", None,
              '{"data":1.5,"status":3}']
